@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from .bpe import encode_digest
 from .frames import table
 from .substring import substring_digest
 
 
+#: Vocabulary of the registered tokenising query; the operator takes any rank file.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op1_byte_bpe(spark, sf_dir):
+    return encode_digest(table(spark, sf_dir, "documents"), RANKS)
+
+
 def op4_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op4_substring_dedup,)}
 ORACLES: dict[str, str] = {}
