@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .bpe import encode_digest
+from .decontaminate import decontamination_digest
 from .frames import table
 from .substring import substring_digest
 
@@ -21,5 +22,24 @@ def op4_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op4_substring_dedup,)}
-ORACLES: dict[str, str] = {}
+def op10_decontamination(spark, sf_dir):
+    return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op4_substring_dedup, op10_decontamination)}
+ORACLES: dict[str, str] = {
+    "op10_decontamination": r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
+g AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[pos : pos + least(len(w), 10) - 1], ' ') AS gram
+      FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS pos FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM g),
+p AS (SELECT doc_id, pos, n, array_to_string(w[pos : pos + n - 1], ' ') AS gram FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM d, sizes)),
+h AS (SELECT doc_id, pos, p.n, item_id FROM p JOIN g ON p.n = g.n AND p.gram = g.gram),
+c AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS x FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
+""",
+}
