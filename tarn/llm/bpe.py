@@ -267,22 +267,25 @@ def encode_digest(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 RESULTS = ("ids", "slice_offsets", "slice_tokens")
 
 
-def encode(docs: DataFrame, vocabulary_path: str, text: str = "text") -> DataFrame:
-    """docs with ids array<int>, and for each pre-token slice_offsets array<int> (its first byte in the text) and slice_tokens array<int> (its number of ids)."""
+def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", offsets: bool = True) -> DataFrame:
+    """docs with ids array<int>, and for each pre-token slice_offsets array<int> (its first byte in the text) and slice_tokens array<int> (its number of ids);
+    without `offsets`, ids alone."""
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULTS])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at = docs.columns.index(text)
 
+    results = RESULTS if offsets else RESULTS[:1]
+
     def build(batch, encoded, merger):
-        ids, offsets, counts = [], [], []
+        ids, begins, counts = [], [], []
         for _, got, starts in encoded:
             ids.append(np.fromiter(chain.from_iterable([g[0] for g in got]), dtype=np.int32))
-            offsets.append(starts.astype(np.int32))
+            begins.append(starts.astype(np.int32))
             counts.append(np.fromiter((len(g[0]) for g in got), dtype=np.int32))
-        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.list_(pa.int32())) for x in (ids, offsets, counts))], [*batch.schema.names, *RESULTS])
+        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.list_(pa.int32())) for x in (ids, begins, counts)[: len(results)])], [*batch.schema.names, *results])
 
     make = _stage(docs.sparkSession, vocabulary_path, at, build)
-    return arrow_stage(docs, make, f"{fields}, ids array<int>, slice_offsets array<int>, slice_tokens array<int>")
+    return arrow_stage(docs, make, ", ".join([fields, *(f"{r} array<int>" for r in results)]))
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids") -> DataFrame:

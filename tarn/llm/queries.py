@@ -7,6 +7,7 @@ import public_tokenizers
 from .bpe import encode_digest
 from .decontaminate import decontamination_digest
 from .frames import table
+from .jaccard import jaccard_components
 from .quality import quality_scores
 from .substring import substring_digest
 
@@ -19,6 +20,10 @@ def op1_byte_bpe(spark, sf_dir):
     return encode_digest(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
 
@@ -31,7 +36,7 @@ def op10_decontamination(spark, sf_dir):
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op4_substring_dedup, op7_quality_classifier, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard_join, op4_substring_dedup, op7_quality_classifier, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op10_decontamination": r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
