@@ -1,23 +1,66 @@
-"""The corpus pipeline: documents through the filtering and tokenising operators, one stage after another."""
+"""The corpus pipeline: documents through quality filter, near-duplicate removal, passage dedup, decontamination and tokenising.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of
+documents. Side inputs (labels, benchmark) are read from sf_dir. `run` chains the stages with a Parquet table in the
+shared folder after each, so that a lost executor costs one stage's work and no stage is computed twice.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tarn.llm import bpe
+from tarn.llm.decontaminate import remove_documents
+from tarn.llm.frames import materialise
+from tarn.llm.jaccard import drop_near_duplicates
+from tarn.llm.quality import keep_good
 from tarn.llm.substring import dedup_substrings
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the factorisation machine scores under its threshold."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by shingle similarity, keep that with the smallest doc_id."""
+    return drop_near_duplicates(docs)
+
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages of 50 words or more that a document with a smaller doc_id has."""
-    return dedup_substrings(docs)
+    """Cut passages of 50 words or more that a document with a smaller doc_id has; n_chars follows the text."""
+    cut = dedup_substrings(docs)
+    return cut.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold an n-gram of a benchmark item."""
+    return remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document that is left."""
+    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, offsets=False)
+    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES = [("substring_dedup", substring_dedup)]
+STAGES = [
+    ("quality_filter", quality_filter),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("decontaminate", decontaminate),
+    ("tokenise", tokenise),
+]
+#: The first two stages can't be expressed in SQL; tests compare the chain with its operators' brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
