@@ -12,6 +12,7 @@ from .frames import table
 from .jaccard import jaccard_components
 from .quality import quality_scores
 from .substring import substring_digest
+from .warc import round_trip
 
 
 #: Vocabulary of the registered tokenising query; the operator takes any rank file.
@@ -30,6 +31,10 @@ def op4_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark, sf_dir):
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,8 +47,16 @@ def op10_decontamination(spark, sf_dir):
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard_join, op4_substring_dedup, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard_join, op4_substring_dedup, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
 ORACLES: dict[str, str] = {
+    "op6_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+k AS (SELECT digest, n, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY ALL)
+SELECT page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN keeper IS NOT NULL AND keeper IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper IS DISTINCT FROM page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.digest = k.digest AND p.n = k.n
+""",
     "op8_topk_bitsliced": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
