@@ -6,10 +6,10 @@
    the estimate's error costs speed only) and sends the prefix that any partner must share, packed by bucket of the shingle.
    A bucket holds the posting lists of its shingles. From a list the least digest is the pivot: pairs of the pivot and each
    other member pass the length filter and the positional filter. Lists of three and more are kept.
-3. Sets of the members are read in a third pass (a sketch of their digests keeps other documents out); pairs are verified
-   once, after a suffix filter: partitions of the hash space bound the overlap before the sets are intersected.
-4. Members that link to the same pivot are connected already. The other pairs of each kept list are formed, verified and
-   added, so no link between different sets that matters for a component is lost, and no group is expanded into all its pairs.
+3. Sets of the pairs' members are read in a third pass (a sketch of their digests keeps other documents out); pairs are
+   verified once, after a suffix filter: partitions of the hash space bound the overlap before the sets are intersected.
+4. Members that link to the same pivot are connected already. The other pairs of each kept list that pass the filters are
+   formed, verified and added, so no link between different sets that matters for a component is lost, and no group is expanded into all its pairs.
 5. Connected components of the links, labelled by the smallest doc_id.
 
 Defined results: null and empty texts, and texts without words, have empty sets, link with nothing and are their own
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .frames import arrow_stage, fresh, materialise, partitions, whole_texts
-from .sketch import ByteSketch, merged, segments
+from .sketch import CountSketch, merged, segments
 from .wordhash import Family, Words, grams, mix, slices, word_hashes
 
 SHINGLE = 5
@@ -85,7 +85,7 @@ def _first_pass(docs: DataFrame, size: int) -> DataFrame:
         family = Family(FAMILY, lower=True)
 
         def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sketch, waiting, count = ByteSketch(), [], 0
+            sketch, waiting, count = CountSketch(), [], 0
             for batch in batches:
                 for lo, hi, _, g, n, ids in _sets(batch.column(1), family, size):
                     waiting.append(g)
@@ -121,7 +121,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) ->
     parts = partitions(docs.sparkSession)
 
     def make():
-        family, counts = Family(FAMILY, lower=True), ByteSketch(shared.value)
+        family, counts = Family(FAMILY, lower=True), CountSketch(shared.value)
 
         def flush(held: list[np.ndarray]) -> pa.RecordBatch:
             entries = np.concatenate(held)
@@ -143,7 +143,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) ->
                             new[k] = True
                     keep = new[doc]
                     doc, g = doc[keep], g[keep]
-                    order = np.argsort(doc * 256 + counts.estimate(g), kind="stable")
+                    order = np.argsort((doc << 32) + counts.estimate(g), kind="stable")
                     doc, g = doc[order], g[order]
                     m = np.where(new, n, 0)
                     at = np.arange(len(doc)) - (np.cumsum(m) - m)[doc]
@@ -163,9 +163,10 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) ->
     return arrow_stage(docs.select("text"), make, "bucket int, entries binary")
 
 
-#: kind 0: a list of three members or more (sets, packed sizes); kind 1: a pivot and one other member, `good` if it passes the filters.
-LISTS_SCHEMA = "kind int, pivot long, set long, n int, good boolean, members binary"
-_LISTS = ["kind", "pivot", "set", "n", "good", "members"]
+#: kind 0: a list of three members or more (packed sets, and each one's first place in its own order over the shingles with this list); kind 1: a
+#: pivot and one other member, `good` if it passes the filters.
+LISTS_SCHEMA = "kind int, pivot long, set long, n int, good boolean, members binary, places binary"
+_LISTS = ["kind", "pivot", "set", "n", "good", "members", "places"]
 
 
 def _lists(prefixes: DataFrame, threshold: int) -> DataFrame:
@@ -197,46 +198,53 @@ def _lists(prefixes: DataFrame, threshold: int) -> DataFrame:
         keep = np.append(True, (p["set"][1:] != p["set"][:-1]) | (m["set"][1:] != m["set"][:-1]))
         p, m, good = p[keep], m[keep], good[keep]
         k = len(p)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(k), pa.int32()), pa.array(p["set"]), pa.array(m["set"]), pa.array(m["n"]), pa.array(good), pa.nulls(k, pa.binary())], _LISTS)
-        lists: dict[bytes, tuple[int, int]] = {}
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(k), pa.int32()), pa.array(p["set"]), pa.array(m["set"]), pa.array(m["n"]), pa.array(good), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], _LISTS)
+        lists: dict[bytes, np.ndarray] = {}
         for at, s in zip(lo[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            lists.setdefault(e["set"][at : at + s].tobytes(), (int(e["set"][at]), int(e["n"][at])))
+            key, places = e["set"][at : at + s].tobytes(), e["at"][at : at + s]
+            lists[key] = np.minimum(lists[key], places) if key in lists else places
         if lists:
             k = len(lists)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k), pa.int32()), pa.array([x[0] for x in lists.values()], pa.int64()), pa.nulls(k, pa.int64()), pa.array([x[1] for x in lists.values()], pa.int32()), pa.nulls(k, pa.bool_()), pa.array(list(lists), pa.binary())], _LISTS)
+            pivots = np.array([int.from_bytes(m[:8], "little", signed=True) for m in lists], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k), pa.int32()), pa.array(pivots), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.bool_()), pa.array(list(lists), pa.binary()), pa.array([x.tobytes() for x in lists.values()], pa.binary())], _LISTS)
 
     return prefixes.repartition(parts, "bucket").mapInArrow(stage, LISTS_SCHEMA)
 
 
+def _owner(sets: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    return mix(sets.view(np.uint64) ^ mix(docs.view(np.uint64)))
+
+
 def _member_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(set, shingles binary) of the given sets: sorted 64-bit hashes."""
+    """(set, shingles binary): sorted 64-bit hashes of the given sets, each from its smallest doc_id, and of a few others.
+
+    members: (set, low). A sketch of fixed size tells the documents to read; where it errs, a set too many is returned."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, any_ = ByteSketch(), False
+        sketch, any_ = CountSketch(), False
         for batch in batches:
-            sketch.add(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            sketch.add(_owner(*(c.to_numpy(zero_copy_only=False) for c in batch.columns)))
             any_ = True
         if any_:
             yield from segments(sketch)
 
-    shared = docs.sparkSession.sparkContext.broadcast(merged(ByteSketch, members.mapInArrow(mark, "segment int, cells binary")))
+    shared = docs.sparkSession.sparkContext.broadcast(merged(CountSketch, members.select("set", "low").mapInArrow(mark, "segment int, cells binary")))
 
     def make():
-        family, wanted = Family(FAMILY, lower=True), ByteSketch(shared.value)
+        family, wanted = Family(FAMILY, lower=True), CountSketch(shared.value)
 
         def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set[int] = set()
             for batch in batches:
-                for _, _, _, g, n, ids in _sets(batch.column(0), family, size):
+                keys = batch.column(0).to_numpy(zero_copy_only=False)
+                for lo, hi, _, g, n, ids in _sets(batch.column(1), family, size):
                     first = np.cumsum(n) - n
-                    rows = [k for k in np.flatnonzero((wanted.estimate(ids.view(np.uint64)) > 0) & (n > 0)).tolist() if not (int(ids[k]) in seen or seen.add(int(ids[k])))]
-                    if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array([g[first[k] : first[k] + n[k]].tobytes() for k in rows], pa.binary())], ["set", "shingles"])
+                    rows = np.flatnonzero((wanted.estimate(_owner(ids, keys[lo:hi])) > 0) & (n > 0))
+                    if len(rows):
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array([g[first[k] : first[k] + n[k]].tobytes() for k in rows.tolist()], pa.binary())], ["set", "shingles"])
 
         return stage
 
-    found = arrow_stage(docs.select("text"), make, "set long, shingles binary")
-    return found.join(members, "set", "left_semi").groupBy("set").agg(F.first("shingles").alias("shingles"))
+    return arrow_stage(docs.select("doc_id", "text"), make, "set long, shingles binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -271,7 +279,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("of_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
     pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return joined.mapInArrow(stage, "a long, b long")
+    return joined.mapInArrow(stage, "a long, b long").distinct()
 
 
 #: Members of a list that are compared with the others at a time.
@@ -279,37 +287,42 @@ BLOCK = 1024
 
 
 def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of a kept list whose members aren't known to be connected and whose sizes allow a link.
+    """Pairs (a, b) of a kept list whose members aren't known to be connected and that pass the length and positional filters.
 
     known: (pivot, set, n, label); members with equal labels are connected."""
     parts = partitions(lists.sparkSession)
-    rows = lists.select("pivot", F.col("n"), F.lit(None).cast("long").alias("set"), F.lit(None).cast("long").alias("label"), "members").unionByName(known.select("pivot", "n", "set", "label", F.lit(None).cast("binary").alias("members")))
+    none = F.lit(None).cast("long")
+    rows = lists.select("pivot", none.alias("set"), none.alias("n"), none.alias("label"), "members", "places").unionByName(known.select("pivot", "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.lit(None).cast("binary").alias("places")))
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, facts = {}, []
+        held: dict[bytes, np.ndarray] = {}
+        facts = []
         for batch in batches:
-            pivot, n, sets, label, members = (c.to_pylist() for c in batch.columns)
-            for p, k, s, l, m in zip(pivot, n, sets, label, members, strict=True):
-                if m is None:
-                    facts.append((s, k, l))
+            for _, s, n, label, members, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if members is None:
+                    facts.append((s, n, label))
                 else:
-                    held[m] = (p, k)
+                    places = np.frombuffer(places, dtype=np.int32)
+                    held[members] = np.minimum(held[members], places) if members in held else places
         if not held:
             return
         facts = np.unique(np.array(facts, dtype=[("set", "<i8"), ("n", "<i8"), ("label", "<i8")]))
         facts = facts[np.append(True, facts["set"][1:] != facts["set"][:-1])]
         found = []
-        for m, (p, _) in held.items():
-            ids = np.frombuffer(m, dtype=np.int64)
-            ids = ids[ids != p]
-            of = facts[np.searchsorted(facts["set"], ids)]
-            if len(of) < 2 or (of["label"] == of["label"][0]).all():
+        for members, places in held.items():
+            of = facts[np.searchsorted(facts["set"], np.frombuffer(members, dtype=np.int64)[1:])]
+            if (of["label"] == of["label"][0]).all():
                 continue
-            of = of[np.argsort(of["n"], kind="stable")]
+            order = np.argsort(of["n"], kind="stable")
+            of, left = of[order], of["n"][order] - places[1:][order]
             for lo in range(0, len(of), BLOCK):
-                a = of[lo : lo + BLOCK]
-                b = of[lo : np.searchsorted(of["n"], a["n"][-1] * 100 // threshold, "right")]
-                i, j = np.nonzero((a["label"][:, None] != b["label"][None, :]) & (100 * a["n"][:, None] >= threshold * b["n"][None, :]) & (np.arange(len(a))[:, None] < np.arange(len(b))[None, :]))
+                a, of_a = of[lo : lo + BLOCK], left[lo : lo + BLOCK]
+                hi = np.searchsorted(of["n"], a["n"][-1] * 100 // threshold, "right")
+                b, of_b = of[lo:hi], left[lo:hi]
+                short, long_ = a["n"][:, None], b["n"][None, :]
+                good = (a["label"][:, None] != b["label"][None, :]) & (100 * short >= threshold * long_) & (np.arange(len(a))[:, None] < np.arange(len(b))[None, :])
+                good &= np.minimum(of_a[:, None], of_b[None, :]) >= least_overlap(short, long_, threshold)
+                i, j = np.nonzero(good)
                 found.append(np.unique(np.column_stack([np.minimum(a["set"][i], b["set"][j]), np.maximum(a["set"][i], b["set"][j])]), axis=0))
             if sum(map(len, found)) > FLUSH:
                 found = [np.unique(np.concatenate(found), axis=0)]
@@ -324,19 +337,24 @@ def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD
     """docs: (doc_id, text). (doc_id, n, set) of each document, and links (a, b) between sets: all that components need."""
     first = materialise(_first_pass(docs, size), "sets")
     of = first.filter("segment is null").select("doc_id", "n", "set")
-    sketch = merged(ByteSketch, first.filter("segment is not null").select("segment", "cells"))
+    low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low"))
+    sketch = merged(CountSketch, first.filter("segment is not null").select("segment", "cells"))
+    docs = docs.filter("doc_id is not null")
     lists = materialise(_lists(_prefixes(docs, sketch, size, threshold), threshold), "lists")
-    stars = lists.filter("kind = 1").groupBy("pivot", "set").agg(F.max("n").alias("n"), F.max("good").alias("good"))
-    stars = materialise(stars, "stars")
-    members = stars.select("set").unionByName(stars.select(F.col("pivot").alias("set"))).distinct()
-    sets = materialise(_member_sets(docs, members, size), "shingles")
+    stars = materialise(lists.filter("kind = 1").groupBy("pivot", "set").agg(F.max("n").alias("n"), F.max("good").alias("good")), "stars")
+    ends = lambda pairs: pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+
     pairs = stars.filter("good").select(F.col("pivot").alias("a"), F.col("set").alias("b"))
+    members = ends(pairs)
+    sets = materialise(_member_sets(docs, members.join(low, "set"), size), "shingles")
     links = materialise(_verified(pairs, sets, threshold), "links")
+
     hung = links.groupBy(F.col("b").alias("set")).agg(F.min("a").alias("low"))
     known = stars.join(hung, "set", "left").select("pivot", "set", "n", F.coalesce("low", "set").alias("label"))
-    rest = _residual(lists.filter("kind = 0").select("pivot", "n", "members"), known, threshold)
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = materialise(_verified(rest, sets, threshold), "links")
+    rest = _residual(lists.filter("kind = 0").select("pivot", "members", "places"), known, threshold)
+    rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    missing = materialise(_member_sets(docs, ends(rest).join(members, "set", "left_anti").join(low, "set"), size), "shingles")
+    more = materialise(_verified(rest, sets.unionByName(missing), threshold), "links")
     return of, links.unionByName(more)
 
 

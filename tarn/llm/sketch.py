@@ -4,7 +4,7 @@ The size is a constant, whatever the input. On more data the estimates get loose
 later stages time and never correctness. Segments are merged while they stream through a task, so merging needs the memory
 of one sketch however many partitions send theirs.
 
-Two forms: ByteSketch counts to 255, TwiceSketch to 2 (two bit planes: seen, seen again).
+Two forms: CountSketch counts to 2**31, TwiceSketch to 2 (two bit planes: seen, seen again).
 """
 
 from __future__ import annotations
@@ -27,27 +27,27 @@ def _cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - width.bit_length() + 1)).astype(np.int64)
 
 
-class ByteSketch:
-    """2 rows of one-byte counters that stop at 255."""
+class CountSketch:
+    """2 rows of four-byte counters."""
 
     WIDTH = 1 << 22
     SHAPE = (2, WIDTH)
+    KIND = np.int32
 
     def __init__(self, counts: np.ndarray | None = None) -> None:
-        self.counts = np.zeros(self.SHAPE, dtype=np.uint8) if counts is None else counts.reshape(self.SHAPE)
+        self.counts = np.zeros(self.SHAPE, dtype=self.KIND) if counts is None else counts.reshape(self.SHAPE)
 
     def add(self, keys: np.ndarray) -> None:
         for row in range(2):
-            times = np.bincount(_cells(keys, row, self.WIDTH), minlength=self.WIDTH)
-            self.counts[row] = np.minimum(times + self.counts[row], 255)
+            self.counts[row] = self.merge(self.counts[row], np.bincount(_cells(keys, row, self.WIDTH), minlength=self.WIDTH))
 
     def estimate(self, keys: np.ndarray) -> np.ndarray:
-        """At least the true count, or 255 where that is more."""
+        """At least the true count (to 2**31)."""
         return np.minimum(self.counts[0, _cells(keys, 0, self.WIDTH)], self.counts[1, _cells(keys, 1, self.WIDTH)])
 
     @staticmethod
     def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.minimum(a.astype(np.uint16) + b, 255).astype(np.uint8)
+        return np.minimum(a.astype(np.int64) + b, 2**31 - 1).astype(np.int32)
 
 
 class TwiceSketch:
@@ -56,9 +56,10 @@ class TwiceSketch:
     BITS = 1 << 26
     #: For each eighth of the cells of a row both planes lie together, so that a segment can be merged alone.
     SHAPE = (2, SEGMENTS // 2, 2, BITS // 8 // (SEGMENTS // 2))
+    KIND = np.uint8
 
     def __init__(self, counts: np.ndarray | None = None) -> None:
-        self.counts = np.zeros(self.SHAPE, dtype=np.uint8) if counts is None else counts.reshape(self.SHAPE)
+        self.counts = np.zeros(self.SHAPE, dtype=self.KIND) if counts is None else counts.reshape(self.SHAPE)
 
     def _at(self, keys: np.ndarray, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cell = _cells(keys, row, self.BITS)
@@ -92,7 +93,7 @@ class TwiceSketch:
         return out
 
 
-def segments(sketch: ByteSketch | TwiceSketch) -> Iterator[pa.RecordBatch]:
+def segments(sketch: CountSketch | TwiceSketch) -> Iterator[pa.RecordBatch]:
     for k, part in enumerate(sketch.counts.reshape(SEGMENTS, -1)):
         if part.any():
             yield _row(k, part)
@@ -109,12 +110,12 @@ def merged(kind: type, found: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
+                part = np.frombuffer(zlib.decompress(raw), dtype=kind.KIND)
                 total[k] = kind.merge(total[k], part) if k in total else part
         for k, part in total.items():
             yield _row(k, part)
 
-    counts = np.zeros(kind.SHAPE, dtype=np.uint8).reshape(SEGMENTS, -1)
+    counts = np.zeros(kind.SHAPE, dtype=kind.KIND).reshape(SEGMENTS, -1)
     for row in found.repartition(SEGMENTS, "segment").mapInArrow(stage, SEGMENT_SCHEMA).collect():
-        counts[row.segment] = np.frombuffer(zlib.decompress(row.cells), dtype=np.uint8)
+        counts[row.segment] = np.frombuffer(zlib.decompress(row.cells), dtype=kind.KIND)
     return counts.reshape(kind.SHAPE)
