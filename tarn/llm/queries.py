@@ -9,6 +9,7 @@ from .bitsliced import top_k
 from .bpe import encode_digest
 from .decontaminate import decontamination_digest
 from .frames import table
+from .html import extract_text
 from .jaccard import jaccard_components
 from .quality import quality_scores
 from .substring import substring_digest
@@ -23,6 +24,10 @@ def op1_byte_bpe(spark, sf_dir):
     return encode_digest(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op3_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -47,7 +52,7 @@ def op10_decontamination(spark, sf_dir):
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_ngram_jaccard_join, op4_substring_dedup, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op6_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
