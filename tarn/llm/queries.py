@@ -13,6 +13,7 @@ from .html import extract_text
 from .jaccard import jaccard_components
 from .quality import quality_scores
 from .substring import substring_digest
+from .suffixtree import suffix_tree_scores
 from .warc import round_trip
 
 
@@ -36,6 +37,10 @@ def op4_substring_dedup(spark, sf_dir):
     return substring_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_tree_scoring(spark, sf_dir):
+    return suffix_tree_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages"))
 
@@ -52,7 +57,7 @@ def op10_decontamination(spark, sf_dir):
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op5_suffix_tree_scoring, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op6_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
