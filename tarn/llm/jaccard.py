@@ -7,7 +7,7 @@
    A bucket holds the posting lists of its shingles. From a list the least digest is the pivot: pairs of the pivot and each
    other member pass the length filter and the positional filter. Lists of three and more are kept.
 3. Sets of the pairs' members are read in a third pass (a sketch of their digests keeps other documents out); pairs are
-   verified once, after a suffix filter: partitions of the hash space bound the overlap before the sets are intersected.
+   verified once, after a suffix filter: counts by parts of the hash space bound the overlap before sets are intersected.
 4. Members that link to the same pivot are connected already. The other pairs of each kept list that pass the filters are
    formed, verified and added, so no link between different sets that matters for a component is lost, and no group is expanded into all its pairs.
 5. Connected components of the links, labelled by the smallest doc_id.
@@ -37,6 +37,8 @@ THRESHOLD = 75
 FAMILY = 31
 #: Entries that a task gathers before it sends them on.
 FLUSH = 2_000_000
+#: Parts of the hash space whose counts bound an overlap (suffix filter).
+PARTS = 512
 ENTRY = np.dtype([("shingle", "<u8"), ("set", "<i8"), ("n", "<i4"), ("at", "<i4")])
 
 
@@ -115,8 +117,18 @@ def least_overlap(a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
     return -(-threshold * (a + b) // (100 + threshold))
 
 
+def part_counts(of: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
+    """Of each of n sets, the number of hashes in each part of the hash space (255: that many or more)."""
+    return np.minimum(np.bincount(of * PARTS + (g >> np.uint64(55)).astype(np.int64), minlength=n * PARTS), 255).astype(np.uint8).reshape(n, PARTS)
+
+
+def suffix_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """No intersection is larger: sums over the parts of the smaller count (unbounded where a part is full)."""
+    return np.where((a == 255).any(axis=1) | (b == 255).any(axis=1), np.iinfo(np.int32).max, np.minimum(a, b).sum(axis=1, dtype=np.int64))
+
+
 def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) -> DataFrame:
-    """(bucket, entries): the packed prefix entries of every set, once for each task and set."""
+    """Once for each task and set: (bucket, null, entries), packed prefix entries; and (bucket, set, entries), the set's counts by parts of the hash space."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     parts = partitions(docs.sparkSession)
 
@@ -129,11 +141,12 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) ->
             order = np.argsort(bucket, kind="stable")
             entries, bucket = entries[order], bucket[order]
             lo = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            return pa.RecordBatch.from_arrays([pa.array(bucket[lo], pa.int32()), pa.array([entries[a:b].tobytes() for a, b in zip(lo, np.append(lo[1:], len(entries)), strict=True)], pa.binary())], ["bucket", "entries"])
+            return pa.RecordBatch.from_arrays([pa.array(bucket[lo], pa.int32()), pa.nulls(len(lo), pa.int64()), pa.array([entries[a:b].tobytes() for a, b in zip(lo, np.append(lo[1:], len(entries)), strict=True)], pa.binary())], ["bucket", "set", "entries"])
 
         def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = []
             count, seen = 0, set()
+            marks: list[tuple[int, bytes]] = []
             for batch in batches:
                 for _, _, doc, g, n, ids in _sets(batch.column(0), family, size):
                     new = np.zeros(len(n), dtype=bool)
@@ -143,6 +156,9 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) ->
                             new[k] = True
                     keep = new[doc]
                     doc, g = doc[keep], g[keep]
+                    rows = np.flatnonzero(new)
+                    signature = part_counts(np.searchsorted(rows, doc), g, len(rows))
+                    marks += [(x, y.tobytes()) for x, y in zip(ids[rows].tolist(), signature, strict=True)]
                     order = np.argsort((doc << 32) + counts.estimate(g), kind="stable")
                     doc, g = doc[order], g[order]
                     m = np.where(new, n, 0)
@@ -154,17 +170,23 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) ->
                     count += len(entries)
                     if count > FLUSH:
                         yield flush(held)
-                        held, count = [], 0
+                        yield marked(marks)
+                        held, count, marks = [], 0, []
             if count:
                 yield flush(held)
+                yield marked(marks)
+
+        def marked(marks: list[tuple[int, bytes]]) -> pa.RecordBatch:
+            ids = np.array([m[0] for m in marks], dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array((ids % parts).astype(np.int32)), pa.array(ids), pa.array([m[1] for m in marks], pa.binary())], ["bucket", "set", "entries"])
 
         return stage
 
-    return arrow_stage(docs.select("text"), make, "bucket int, entries binary")
+    return arrow_stage(docs.select("text"), make, "bucket int, set long, entries binary")
 
 
 #: kind 0: a list of three members or more (packed sets, and each one's first place in its own order over the shingles with this list); kind 1: a
-#: pivot and one other member, `good` if it passes the filters.
+#: pivot and one other member, `good` if it passes the filters; kind 2: a set and its counts by parts (in members).
 LISTS_SCHEMA = "kind int, pivot long, set long, n int, good boolean, members binary, places binary"
 _LISTS = ["kind", "pivot", "set", "n", "good", "members", "places"]
 
@@ -173,7 +195,18 @@ def _lists(prefixes: DataFrame, threshold: int) -> DataFrame:
     parts = partitions(prefixes.sparkSession)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(x, dtype=ENTRY) for batch in batches for x in batch.column(1).to_pylist()]
+        held, seen = [], set()
+        for batch in batches:
+            marks = []
+            for of, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if of is None:
+                    held.append(np.frombuffer(x, dtype=ENTRY))
+                elif of not in seen:
+                    seen.add(of)
+                    marks.append((of, x))
+            if marks:
+                k = len(marks)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, 2), pa.int32()), pa.nulls(k, pa.int64()), pa.array([m[0] for m in marks], pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.bool_()), pa.array([m[1] for m in marks], pa.binary()), pa.nulls(k, pa.binary())], _LISTS)
         if not held:
             return
         e = np.concatenate(held)
@@ -255,12 +288,6 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def _suffix_bound(a: np.ndarray, b: np.ndarray) -> int:
-    """No intersection is larger: the sum over 512 parts of the hash space of the smaller count."""
-    count = lambda x: np.bincount((x >> np.uint64(55)).astype(np.int64), minlength=512)
-    return int(np.minimum(count(a), count(b)).sum())
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Those of the distinct pairs (a, b) of sets that link."""
 
@@ -270,7 +297,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 need = least_overlap(len(x), len(y), threshold)
-                common = overlap(x, y) if _suffix_bound(x, y) >= need else 0
+                common = overlap(x, y) if suffix_bound(*(part_counts(np.zeros(len(z), dtype=np.int64), z, 1) for z in (x, y)))[0] >= need else 0
                 good.append(100 * common >= threshold * (len(x) + len(y) - common))
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
@@ -287,20 +314,21 @@ BLOCK = 1024
 
 
 def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of a kept list whose members aren't known to be connected and that pass the length and positional filters.
+    """Pairs (a, b) of a kept list whose members aren't known to be connected and that pass the length, positional and suffix filters.
 
-    known: (pivot, set, n, label); members with equal labels are connected."""
+    known: (pivot, set, n, label, counts); members with equal labels are connected."""
     parts = partitions(lists.sparkSession)
     none = F.lit(None).cast("long")
-    rows = lists.select("pivot", none.alias("set"), none.alias("n"), none.alias("label"), "members", "places").unionByName(known.select("pivot", "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.lit(None).cast("binary").alias("places")))
+    rows = lists.select("pivot", none.alias("set"), none.alias("n"), none.alias("label"), "members", "places").unionByName(known.select("pivot", "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.col("counts").alias("places")))
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
-        facts = []
+        facts, counts = [], {}
         for batch in batches:
             for _, s, n, label, members, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if members is None:
                     facts.append((s, n, label))
+                    counts[s] = places
                 else:
                     places = np.frombuffer(places, dtype=np.int32)
                     held[members] = np.minimum(held[members], places) if members in held else places
@@ -308,13 +336,15 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
             return
         facts = np.unique(np.array(facts, dtype=[("set", "<i8"), ("n", "<i8"), ("label", "<i8")]))
         facts = facts[np.append(True, facts["set"][1:] != facts["set"][:-1])]
+        counts = np.frombuffer(b"".join(counts[s] for s in facts["set"].tolist()), dtype=np.uint8).reshape(-1, PARTS)
         found = []
         for members, places in held.items():
-            of = facts[np.searchsorted(facts["set"], np.frombuffer(members, dtype=np.int64)[1:])]
+            at = np.searchsorted(facts["set"], np.frombuffer(members, dtype=np.int64)[1:])
+            of = facts[at]
             if (of["label"] == of["label"][0]).all():
                 continue
             order = np.argsort(of["n"], kind="stable")
-            of, left = of[order], of["n"][order] - places[1:][order]
+            of, at, left = of[order], at[order], of["n"][order] - places[1:][order]
             for lo in range(0, len(of), BLOCK):
                 a, of_a = of[lo : lo + BLOCK], left[lo : lo + BLOCK]
                 hi = np.searchsorted(of["n"], a["n"][-1] * 100 // threshold, "right")
@@ -323,6 +353,10 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
                 good = (a["label"][:, None] != b["label"][None, :]) & (100 * short >= threshold * long_) & (np.arange(len(a))[:, None] < np.arange(len(b))[None, :])
                 good &= np.minimum(of_a[:, None], of_b[None, :]) >= least_overlap(short, long_, threshold)
                 i, j = np.nonzero(good)
+                fine = [suffix_bound(counts[at[lo + i[k : k + BLOCK]]], counts[at[lo + j[k : k + BLOCK]]]) >= least_overlap(a["n"][i[k : k + BLOCK]], b["n"][j[k : k + BLOCK]], threshold) for k in range(0, len(i), BLOCK)]
+                if fine:
+                    fine = np.concatenate(fine)
+                    i, j = i[fine], j[fine]
                 found.append(np.unique(np.column_stack([np.minimum(a["set"][i], b["set"][j]), np.maximum(a["set"][i], b["set"][j])]), axis=0))
             if sum(map(len, found)) > FLUSH:
                 found = [np.unique(np.concatenate(found), axis=0)]
@@ -350,7 +384,8 @@ def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD
     links = materialise(_verified(pairs, sets, threshold), "links")
 
     hung = links.groupBy(F.col("b").alias("set")).agg(F.min("a").alias("low"))
-    known = stars.join(hung, "set", "left").select("pivot", "set", "n", F.coalesce("low", "set").alias("label"))
+    marks = lists.filter("kind = 2").select("set", F.col("members").alias("counts")).groupBy("set").agg(F.first("counts").alias("counts"))
+    known = stars.join(hung, "set", "left").join(marks, "set").select("pivot", "set", "n", F.coalesce("low", "set").alias("label"), "counts")
     rest = _residual(lists.filter("kind = 0").select("pivot", "members", "places"), known, threshold)
     rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
     missing = materialise(_member_sets(docs, ends(rest).join(members, "set", "left_anti").join(low, "set"), size), "shingles")
