@@ -8,8 +8,8 @@
    other member pass the length filter and the positional filter. Lists of three and more are kept.
 3. Sets of the pairs' members are read in a third pass (a sketch of their digests keeps other documents out); pairs are
    verified once, after a suffix filter: counts by parts of the hash space bound the overlap before sets are intersected.
-4. Members that link to the same pivot are connected already. The other pairs of each kept list that pass the filters are
-   formed, verified and added, so no link between different sets that matters for a component is lost, and no group is expanded into all its pairs.
+4. Members of one component of these links are connected already. The other pairs of each kept list that pass the filters
+   are formed, verified and added, so no link between different sets that matters for a component is lost, and no group is expanded into all its pairs.
 5. Connected components of the links, labelled by the smallest doc_id.
 
 Defined results: null and empty texts, and texts without words, have empty sets, link with nothing and are their own
@@ -309,6 +309,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return joined.mapInArrow(stage, "a long, b long").distinct()
 
 
+#: Lists of a pivot that go to one task.
+LISTS = 128
 #: Members of a list that are compared with the others at a time.
 BLOCK = 1024
 
@@ -319,13 +321,18 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
     known: (pivot, set, n, label, counts); members with equal labels are connected."""
     parts = partitions(lists.sparkSession)
     none = F.lit(None).cast("long")
-    rows = lists.select("pivot", none.alias("set"), none.alias("n"), none.alias("label"), "members", "places").unionByName(known.select("pivot", "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.col("counts").alias("places")))
+    # A pivot with many lists is dealt to several tasks, each with what is known of the pivot's members.
+    shares = lists.groupBy("pivot").agg(F.ceil(F.count("*") / LISTS).cast("int").alias("shares"))
+    share = F.pmod(F.xxhash64("members"), F.col("shares")).cast("int").alias("share")
+    own = lists.join(shares, "pivot").select("pivot", share, none.alias("set"), none.alias("n"), none.alias("label"), "members", "places")
+    facts = known.join(shares, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.col("counts").alias("places"))
+    rows = own.unionByName(facts)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
         facts, counts = [], {}
         for batch in batches:
-            for _, s, n, label, members, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, _, s, n, label, members, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if members is None:
                     facts.append((s, n, label))
                     counts[s] = places
@@ -364,11 +371,11 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
             pairs = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    return rows.repartition(parts, "pivot").mapInArrow(stage, "a long, b long").distinct()
+    return rows.repartition(parts, "pivot", "share").mapInArrow(stage, "a long, b long").distinct()
 
 
-def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """docs: (doc_id, text). (doc_id, n, set) of each document, and links (a, b) between sets: all that components need."""
+def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs: (doc_id, text). (doc_id, n, set) of each document; links (a, b) between sets, all that components need; and (set, label), each set's component."""
     first = materialise(_first_pass(docs, size), "sets")
     of = first.filter("segment is null").select("doc_id", "n", "set")
     low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low"))
@@ -383,24 +390,27 @@ def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD
     sets = materialise(_member_sets(docs, members.join(low, "set"), size), "shingles")
     links = materialise(_verified(pairs, sets, threshold), "links")
 
-    hung = links.groupBy(F.col("b").alias("set")).agg(F.min("a").alias("low"))
+    label = materialise(components(links), "labels").select(F.col("node").alias("set"), F.col("component").alias("label"))
     marks = lists.filter("kind = 2").select("set", F.col("members").alias("counts")).groupBy("set").agg(F.first("counts").alias("counts"))
-    known = stars.join(hung, "set", "left").join(marks, "set").select("pivot", "set", "n", F.coalesce("low", "set").alias("label"), "counts")
+    known = stars.join(label, "set", "left").join(marks, "set").select("pivot", "set", "n", F.coalesce("label", "set").alias("label"), "counts")
     rest = _residual(lists.filter("kind = 0").select("pivot", "members", "places"), known, threshold)
     rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
     missing = materialise(_member_sets(docs, ends(rest).join(members, "set", "left_anti").join(low, "set"), size), "shingles")
     more = materialise(_verified(rest, sets.unionByName(missing), threshold), "links")
-    return of, links.unionByName(more)
+    named = lambda end: more.join(label.select(F.col("set").alias(end), F.col("label").alias(f"of_{end}")), end, "left").select("a", "b", F.coalesce(f"of_{end}", end).alias(f"c{end}"))
+    across = components(named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    first_label = of.filter("n > 0").select("set").distinct().join(label, "set", "left").select("set", F.coalesce("label", "set").alias("label"))
+    label = first_label.join(across, F.col("label") == F.col("node"), "left").select("set", F.coalesce("component", "label").alias("label"))
+    return of, links.unionByName(more), label
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach), n_links (links of its set with other sets)."""
-    of, links = linked_sets(whole_texts(docs), size, threshold)
-    low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low"))
-    ends = links.join(low.select(F.col("set").alias("a"), F.col("low").alias("low_a")), "a").join(low.select(F.col("set").alias("b"), F.col("low").alias("low_b")), "b")
-    found = components(ends.select(F.col("low_a").alias("a"), F.col("low_b").alias("b")))
+    of, links, label = linked_sets(whole_texts(docs), size, threshold)
+    low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low")).join(label, "set")
+    least = low.groupBy("label").agg(F.min("low").alias("component"))
     degree = links.select(F.col("a").alias("set")).unionByName(links.select(F.col("b").alias("set"))).groupBy("set").agg(F.count("*").alias("degree"))
-    named = low.join(found, F.col("low") == F.col("node"), "left").select("set", F.coalesce("component", "low").alias("component")).join(degree, "set", "left")
+    named = low.join(least, "label").select("set", "component").join(degree, "set", "left")
     out = of.join(named, "set", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("degree", F.lit(0)).cast("long").alias("n_links"))
 
