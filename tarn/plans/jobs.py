@@ -82,6 +82,7 @@ def disk(files: DataFrame, free_bytes: int) -> DataFrame:
 def search(spark: SparkSession, url: str, query: catalogue.Search, top: int = 20) -> DataFrame:
     from tarn.sources.fetch import CatalogueSource
 
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(CatalogueSource)
     found = spark.read.format("catalogue").option("url", url).option("filter", query.odata()).option("top", top).load()
     return catalogue.summarise_products(found)

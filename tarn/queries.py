@@ -510,7 +510,8 @@ def d2_leak(spark, sf):
 
 @query(f"""WITH {M}, f AS (SELECT {LEAK} AS leak, sum(n_px_oil) / sum({TOTAL}) AS share FROM t)
 SELECT 'error' AS severity, 'binary source asserts other classes' AS "check", leak AS n FROM f WHERE leak > 0 UNION ALL SELECT 'warning', 'oil under 0.001 of pixels', 1 FROM f WHERE share < 0.001
-UNION ALL SELECT 'warning', 'no split assigned', 1 UNION ALL SELECT 'error', 'shared address', CAST(count(*) - count(DISTINCT store) AS BIGINT) FROM t""")
+UNION ALL SELECT 'warning', 'no split assigned', 1 UNION ALL SELECT 'error', 'shared address', CAST(count(*) - count(DISTINCT store) AS BIGINT) FROM t
+UNION ALL SELECT 'error', 'duplicate tile_id', CAST(count(*) - count(DISTINCT tile_id) AS BIGINT) AS n FROM t HAVING n > 0""")
 def integrity_warnings(spark, sf):
     return manifest.integrity(_records(spark, sf))
 
@@ -562,12 +563,12 @@ def split_sizes(spark, sf):
     return splits.split_sizes(splits.assign(_m(spark, sf), SplitConfig("cross_source", test_sources=("R",))))
 
 
-@query(f"WITH {M} SELECT 0 AS n_changed, count(*) AS n FROM t WHERE \"row\" <= 4")
+@query(f"WITH {M} SELECT 0 AS n_changed, count(DISTINCT tile_id) AS n FROM t WHERE \"row\" <= 4")
 def append_stability(spark, sf):
     """Assignments of the first rows, alone and with the others appended: none changes."""
     whole = _m(spark, sf)
-    alone = splits.assign(whole.filter("row <= 4"), SplitConfig()).select("tile_id", F.col("split").alias("before"))
-    both = alone.join(splits.assign(whole, SplitConfig()).select("tile_id", "split"), "tile_id")
+    alone = splits.assign(whole.filter("row <= 4"), SplitConfig()).select("tile_id", F.col("split").alias("before")).distinct()
+    both = alone.join(splits.assign(whole, SplitConfig()).select("tile_id", "split").distinct(), "tile_id")
     return both.agg(F.count_if(F.col("before") != F.col("split")).alias("n_changed"), F.count("*").alias("n"))
 
 
