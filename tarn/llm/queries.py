@@ -30,7 +30,7 @@ def op2_html_extraction(spark, sf_dir):
 
 
 def op3_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("n_links")
 
 
 def op4_substring_dedup(spark, sf_dir):
@@ -59,6 +59,26 @@ def op10_decontamination(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op5_suffix_tree_scoring, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[pos : pos + 4], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS pos FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+""",
+    "op4_substring_dedup": r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, pos, md5(array_to_string(w[pos : pos + 49], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50)),
+m AS (SELECT k, min(doc_id) AS lo FROM p GROUP BY k),
+g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS x FROM p JOIN m USING (k) WHERE lo < doc_id),
+u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS x FROM d),
+t AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.x) AS kept, count(*) AS n FROM u LEFT JOIN g ON u.doc_id = g.doc_id AND u.x = g.x WHERE g.x IS NULL GROUP BY u.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)
+""",
     "op6_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
 k AS (SELECT digest, n, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY ALL)
