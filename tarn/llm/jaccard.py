@@ -241,7 +241,7 @@ def _lists(prefixes: DataFrame, threshold: int) -> DataFrame:
             pivots = np.array([int.from_bytes(m[:8], "little", signed=True) for m in lists], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k), pa.int32()), pa.array(pivots), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.bool_()), pa.array(list(lists), pa.binary()), pa.array([x.tobytes() for x in lists.values()], pa.binary())], _LISTS)
 
-    return prefixes.repartition(parts, "bucket").mapInArrow(stage, LISTS_SCHEMA)
+    return prefixes.repartitionById(parts, F.col("bucket")).mapInArrow(stage, LISTS_SCHEMA)
 
 
 def _owner(sets: np.ndarray, docs: np.ndarray) -> np.ndarray:

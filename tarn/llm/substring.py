@@ -214,7 +214,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
             yield out(_runs(doc[later], start[later], window))
 
     found = arrow_stage(docs.filter("doc_id is not null").select("doc_id", "text"), make, FOUND_SCHEMA)
-    return found.repartition(parts, "bucket").mapInArrow(decide, "doc_id long, start int, end int")
+    return found.repartitionById(parts, F.col("bucket")).mapInArrow(decide, "doc_id long, start int, end int")
 
 
 def _kept(text: str, runs: list[dict] | None) -> tuple[list[bytes], int]:
