@@ -47,7 +47,7 @@ STEP = {
 #: Slices of more bytes are merged with a heap, in time n log n.
 LONG_SLICE = 48
 #: Slices that a worker's cache holds in each of its two generations.
-CACHE_SLICES = 150_000
+CACHE_SLICES = 400_000
 
 
 def _monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
