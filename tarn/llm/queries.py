@@ -11,6 +11,7 @@ from .decontaminate import decontamination_digest
 from .frames import table
 from .html import extract_text
 from .jaccard import jaccard_components
+from .licences import licence_scan
 from .quality import quality_scores
 from .substring import substring_digest
 from .suffixtree import suffix_tree_scores
@@ -53,11 +54,15 @@ def op8_topk_bitsliced(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op9_licence_scan(spark, sf_dir):
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op5_suffix_tree_scoring, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op5_suffix_tree_scoring, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op9_licence_scan, op10_decontamination)}
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard_join": r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
