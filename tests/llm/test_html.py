@@ -72,3 +72,18 @@ def test_odd_rows(spark):
     got = H.extract_text(df).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in got)[1:4] == [(1, 0), (2, 0), (2, 0)] and len(got) == 5
     assert H.extract_text(df.limit(0)).count() == 0
+
+
+def _named(nodes):
+    """Children's sibling statistics by plain counting: share of the same name, position."""
+    return [(sum(x.name == n.name for x in n.parent.children) / len(n.parent.children), n.parent.children.index(n) / len(n.parent.children)) for n in nodes[1:]]
+
+
+@pytest.mark.parametrize("count", [63, 64, 300, 2000])
+def test_long_articles_are_kept_whole(model, count):
+    texts = [f"Paragraph number {k} of a long piece, with a few plain words in it. And one more sentence." for k in range(count)]
+    page = "<html><body><nav><ul><li><a href=/>Home</a></li><li><a href=/b>About</a></li></ul></nav><article><h1>A long piece of writing</h1>" + "".join(f"<p>{t}</p>" for t in texts) + "</article><footer>&copy; site.example</footer></body></html>"
+    assert H.extract_batch([page], model)[0].split("\n\n") == ["A long piece of writing", *texts]
+    nodes = H._walk(H.parse(page))
+    rows = H.node_features(nodes)
+    assert [(r[H.KINDS + 11], r[H.KINDS + 9]) for r in rows[1:]] == _named(nodes)
