@@ -8,8 +8,9 @@
    other member pass the length filter and the positional filter. Lists of three and more are kept.
 3. Sets of the pairs' members are read in a third pass (a sketch of their digests keeps other documents out); pairs are
    verified once, after a suffix filter: counts by parts of the hash space bound the overlap before sets are intersected.
-4. Members of one component of these links are connected already. The other pairs of each kept list that pass the filters
-   are formed, verified and added, so no link between different sets that matters for a component is lost, and no group is expanded into all its pairs.
+4. The other pairs of each kept list that pass the filters are formed and verified, so that no link between different sets is lost and each set's
+   links are counted exactly; the members' sets travel to the lists, never to each pair. Where only components are asked for, pairs within one
+   component of the links so far are left out.
 5. Connected components of the links, labelled by the smallest doc_id.
 
 Defined results: null and empty texts, and texts without words, have empty sets, link with nothing and are their own
@@ -316,26 +317,28 @@ BLOCK = 1024
 
 
 def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of a kept list whose members aren't known to be connected and that pass the length, positional and suffix filters.
+    """Pairs (a, b) of a kept list whose members have different labels and that pass the length, positional and suffix filters.
 
-    known: (pivot, set, n, label, counts); members with equal labels are connected."""
+    known: (pivot, set, n, label, counts, shingles); where shingles are given, only pairs that link are returned."""
     parts = partitions(lists.sparkSession)
     none = F.lit(None).cast("long")
     # A pivot with many lists is dealt to several tasks, each with what is known of the pivot's members.
     shares = lists.groupBy("pivot").agg(F.ceil(F.count("*") / LISTS).cast("int").alias("shares"))
     share = F.pmod(F.xxhash64("members"), F.col("shares")).cast("int").alias("share")
-    own = lists.join(shares, "pivot").select("pivot", share, none.alias("set"), none.alias("n"), none.alias("label"), "members", "places")
-    facts = known.join(shares, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.col("counts").alias("places"))
+    own = lists.join(shares, "pivot").select("pivot", share, none.alias("set"), none.alias("n"), none.alias("label"), "members", "places", F.lit(None).cast("binary").alias("shingles"))
+    facts = known.join(shares, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.col("counts").alias("places"), "shingles")
     rows = own.unionByName(facts)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
-        facts, counts = [], {}
+        facts, counts, sets = [], {}, {}
         for batch in batches:
-            for _, _, s, n, label, members, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, _, s, n, label, members, places, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if members is None:
                     facts.append((s, n, label))
                     counts[s] = places
+                    if shingles is not None:
+                        sets[s] = shingles
                 else:
                     places = np.frombuffer(places, dtype=np.int32)
                     held[members] = np.minimum(held[members], places) if members in held else places
@@ -369,13 +372,18 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
                 found = [np.unique(np.concatenate(found), axis=0)]
         if found:
             pairs = np.unique(np.concatenate(found), axis=0)
+            if sets:
+                sets = {s: np.frombuffer(x, np.uint64) for s, x in sets.items()}
+                common = np.array([overlap(sets[a], sets[b]) for a, b in pairs.tolist()], dtype=np.int64)
+                both = np.array([len(sets[a]) + len(sets[b]) for a, b in pairs.tolist()], dtype=np.int64)
+                pairs = pairs[100 * common >= threshold * (both - common)]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return rows.repartition(parts, "pivot", "share").mapInArrow(stage, "a long, b long").distinct()
 
 
-def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs: (doc_id, text). (doc_id, n, set) of each document; links (a, b) between sets, all that components need; and (set, label), each set's component."""
+def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, every: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs: (doc_id, text). (doc_id, n, set) of each document; links (a, b) between sets, all of them or those that components need; and (set, label), each set's component."""
     first = materialise(_first_pass(docs, size), "sets")
     of = first.filter("segment is null").select("doc_id", "n", "set")
     low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low"))
@@ -386,38 +394,49 @@ def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD
     ends = lambda pairs: pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
 
     pairs = stars.filter("good").select(F.col("pivot").alias("a"), F.col("set").alias("b"))
-    members = ends(pairs)
+    members = ends(stars.select(F.col("pivot").alias("a"), F.col("set").alias("b")) if every else pairs)
     sets = materialise(_member_sets(docs, members.join(low, "set"), size), "shingles")
     links = materialise(_verified(pairs, sets, threshold), "links")
 
     label = materialise(components(links), "labels").select(F.col("node").alias("set"), F.col("component").alias("label"))
     marks = lists.filter("kind = 2").select("set", F.col("members").alias("counts")).groupBy("set").agg(F.first("counts").alias("counts"))
-    known = stars.join(label, "set", "left").join(marks, "set").select("pivot", "set", "n", F.coalesce("label", "set").alias("label"), "counts")
-    rest = _residual(lists.filter("kind = 0").select("pivot", "members", "places"), known, threshold)
-    rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    missing = materialise(_member_sets(docs, ends(rest).join(members, "set", "left_anti").join(low, "set"), size), "shingles")
-    more = materialise(_verified(rest, sets.unionByName(missing), threshold), "links")
+    kept = lists.filter("kind = 0").select("pivot", "members", "places")
+    known = stars.join(label, "set", "left").join(marks, "set").select("pivot", "set", "n", F.col("set" if every else "label").alias("label"), "counts")
+    known = known.withColumn("label", F.coalesce("label", "set"))
+    if every:
+        more = materialise(_residual(kept, known.join(sets.dropDuplicates(["set"]), "set"), threshold).join(links, ["a", "b"], "left_anti"), "links")
+    else:
+        rest = _residual(kept, known.withColumn("shingles", F.lit(None).cast("binary")), threshold)
+        rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        missing = materialise(_member_sets(docs, ends(rest).join(members, "set", "left_anti").join(low, "set"), size), "shingles")
+        more = materialise(_verified(rest, sets.unionByName(missing), threshold), "links")
     named = lambda end: more.join(label.select(F.col("set").alias(end), F.col("label").alias(f"of_{end}")), end, "left").select("a", "b", F.coalesce(f"of_{end}", end).alias(f"c{end}"))
-    across = components(named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    across = components(named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a <> b").distinct())
     first_label = of.filter("n > 0").select("set").distinct().join(label, "set", "left").select("set", F.coalesce("label", "set").alias("label"))
     label = first_label.join(across, F.col("label") == F.col("node"), "left").select("set", F.coalesce("component", "label").alias("label"))
     return of, links.unionByName(more), label
 
 
-def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach), n_links (links of its set with other sets)."""
-    of, links, label = linked_sets(whole_texts(docs), size, threshold)
+def _components(of: DataFrame, label: DataFrame) -> DataFrame:
+    """(set, component) of each set that a document with a doc_id has."""
     low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low")).join(label, "set")
     least = low.groupBy("label").agg(F.min("low").alias("component"))
+    return low.join(least, "label").select("set", "component")
+
+
+def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach), n_links (links of its set with other sets, all counted; 0 for a null doc_id)."""
+    of, links, label = linked_sets(whole_texts(docs), size, threshold)
     degree = links.select(F.col("a").alias("set")).unionByName(links.select(F.col("b").alias("set"))).groupBy("set").agg(F.count("*").alias("degree"))
-    named = low.join(least, "label").select("set", "component").join(degree, "set", "left")
+    named = _components(of, label).join(degree, "set", "left")
     out = of.join(named, "set", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("degree", F.lit(0)).cast("long").alias("n_links"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("degree", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """docs with one document of each component: that with the smallest doc_id. Rows with a null key stay; all columns stay."""
-    found = jaccard_components(whole_texts(docs, key, text), size, threshold)
+    rows, _, label = linked_sets(whole_texts(docs, key, text), size, threshold, every=False)
+    found = rows.filter("doc_id is not null and n > 0").join(_components(rows, label), "set")
     of = fresh(docs, "copy_doc")
-    gone = found.filter("component_id < doc_id").select(F.col("doc_id").alias(of)).distinct()
+    gone = found.filter("component < doc_id").select(F.col("doc_id").alias(of)).distinct()
     return docs.join(gone, F.col(f"`{key}`").cast("long") == F.col(of), "left_anti")

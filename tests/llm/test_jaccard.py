@@ -88,3 +88,21 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(300, 200), (5, 5), (None, 1)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 300: 200}
+
+
+def degrees(rows, size=5, threshold=75):
+    """Per row: doc_id and the number of different sets of documents with a doc_id that its set links with."""
+    s = [(d, frozenset(sets(t, size))) for d, t in rows]
+    distinct = {x for d, x in s if d is not None and x}
+    count = {x: sum(x != y and 100 * len(x & y) >= threshold * len(x | y) for y in distinct) for x in distinct}
+    return sorted(((d, count.get(x, 0) if d is not None else 0) for d, x in s), key=str)
+
+
+def test_links_equal_brute_force(spark):
+    rows = fixture_rows(25)
+    # Mutually similar texts, which meet in the same lists of one pivot.
+    body = " ".join(f"v{k}" for k in range(100))
+    rows += [(5000 + k, f"{body} end{k}") for k in range(12)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=str) == degrees(rows)
+    assert {r.n_links for r in got.filter("doc_id >= 5000").collect()} == {11}
