@@ -47,3 +47,25 @@ def test_sample(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = sorted((tuple(r) for r in licence_scan(docs).collect()), key=str)
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()]) and any(r[1] for r in got)
+
+
+def test_usual_licence_files(spark):
+    import textwrap
+    from pathlib import Path
+
+    mit, bsd = (next(b for n, b in KNOWN if n == name and len(b) > 500) for name in ("MIT", "BSD-3-Clause"))
+    owner = "Copyright (c) 2021 Some Body"
+    files = {}
+    for k, width in enumerate((50, 72, 79, 100)):
+        wrapped = lambda body, w=width: "\n\n".join(textwrap.fill(p, w) for p in body.split("\n"))
+        files[f"MIT {k}"] = ("MIT", f"MIT License\n\n{owner}\n\n{wrapped(mit)}\n")
+        files[f"BSD {k}"] = ("BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright 2020, Some Body\nAll rights reserved.\n\n{wrapped(bsd)}\n")
+        files[f"bullets {k}"] = ("BSD-3-Clause", f"Copyright The Project Authors\n\n{wrapped(re.sub(r'(?m)^[123][.] ', '* ', bsd))}\n")
+    for name, file in {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}.items():
+        text = (Path(__file__).parents[2] / "tarn/llm/licence_texts" / f"{file}.txt").read_text()
+        files[file] = (name, text)
+        files[f"{file} rewrapped"] = (name, "\n\n".join(textwrap.fill(p, 60) if "opyright (" not in p and "opyright [" not in p else p for p in re.split(r"\n\s*\n", text)))
+        files[f"{file} without heading"] = (name, text.strip("\n").split("\n\n", 1)[1])
+    rows = [(i, text) for i, (_, text) in enumerate(files.values())]
+    got = {r.doc_id: r.whole for r in licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {n: got[i] for i, n in enumerate(files)} == {n: want for n, (want, _) in files.items()}
