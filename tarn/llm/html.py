@@ -35,7 +35,10 @@ from .frames import arrow_stage
 # Fixed sets of element names.
 BLOCKS = frozenset("html body div p h1 h2 h3 h4 h5 h6 article section main nav aside header footer ul ol li dl dt dd table caption thead tbody tfoot tr td th form fieldset legend blockquote pre figure figcaption address details summary center dialog menu hgroup search".split())
 RAW = frozenset("script style title textarea xmp noembed noframes iframe".split())
-HIDDEN = frozenset("head noscript template svg math select button object canvas video audio datalist label".split())
+HIDDEN = frozenset("head noscript template select button datalist".split())
+#: What may stand in a head; anything else, and text, ends it. Elements that an unclosed form control doesn't reach into.
+HEAD = frozenset("head html base basefont bgsound link meta noscript script style template title noframes".split())
+BEYOND = BLOCKS - {"div", "p", "ul", "ol", "li"}
 PARAGRAPH_ENDS = BLOCKS - {"html", "body"}
 #: Of each name: what an open element of which names ends when it begins, and the containers beyond which it doesn't look.
 IMPLIED = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}
@@ -90,9 +93,12 @@ def parse(page: str) -> Node:
     root = Node("html", None, "", 0)
     stack = [root]
     at, anchors, hidden, seen, n = 0, 0, [], 0, len(page)
+    inside: list[str] = []  # open blocks inside hidden elements
 
     def text(piece: str) -> None:
         nonlocal seen
+        if hidden == ["head"] and piece.strip():
+            hidden.clear()
         if hidden or not piece:
             return
         piece = _html.unescape(piece) if "&" in piece else piece
@@ -130,6 +136,8 @@ def parse(page: str) -> Node:
         if not name:
             continue
         name = name.lower()
+        if hidden == ["head"] and not slash and name not in HEAD:
+            hidden.clear()
         if not slash and name in RAW:
             end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
             at = n if end is None else page.find(">", end.start()) + 1 or n
@@ -137,13 +145,25 @@ def parse(page: str) -> Node:
             if slash:
                 if name in hidden:
                     del hidden[hidden.index(name) :]
+                    inside.clear()
             elif not attributes.endswith("/"):
                 hidden.append(name)
         elif name in BLOCKS:
+            # A hidden element ends with an enclosing block; an unclosed form control also where a block begins that it can't hold.
             if name == "body":
                 hidden.clear()
+            elif hidden and slash and name in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(name) :]
+            elif hidden and slash and any(x.name == name for x in stack[1:]):
+                hidden.clear()
+            elif hidden and not slash and (hidden[-1] in ("select", "datalist") or hidden[-1] == "button" and name in BEYOND):
+                while hidden and hidden[-1] in ("select", "datalist", "button"):
+                    hidden.pop()
             if hidden:
+                if not slash:
+                    inside.append(name)
                 continue
+            inside.clear()
             if slash:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].name == name:

@@ -87,3 +87,22 @@ def test_long_articles_are_kept_whole(model, count):
     nodes = H._walk(H.parse(page))
     rows = H.node_features(nodes)
     assert [(r[H.KINDS + 11], r[H.KINDS + 9]) for r in rows[1:]] == _named(nodes)
+
+
+def test_unclosed_hidden_elements_end():
+    def keep(page):
+        root = H.parse(page)
+        return H.blocks(root, [True] * len(H._walk(root)))
+
+    rest = "<article><p>text</p></article>"
+    for hidden in ("button", "select", "template", "noscript", "datalist"):
+        assert keep(f"<div><{hidden}>gone</div>{rest}") == ["text"]
+    for hidden in ("button", "template", "noscript"):  # a select can't hold blocks
+        assert keep(f"<div><{hidden}><div>gone</div><p>gone</{hidden}>stays</div>{rest}") == ["stays", "text"]
+    for control in ("button", "select"):
+        assert keep(f"<body><{control}>gone{rest}") == ["text"]
+    assert keep(f"<div><label>Search<input></div>{rest}") == ["Search", "text"]
+    for plain in ("label", "math", "svg", "object", "canvas", "video"):
+        assert keep(f"<article><p>a <{plain}>b</{plain}> c</p></article>") == ["a b c"] and keep(f"<div><{plain}></div>{rest}") == ["text"]
+    assert keep("<head><title>t</title><p>text") == ["text"] and keep("<head><meta x><title>t</title>text") == ["text"]
+    assert keep("<head>\n<noscript><link x></noscript>\n<style>s</style></head>b") == ["b"]
