@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,11 +56,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or named
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder and read it back."""
+def materialise(df: DataFrame, name: str, *used: Broadcast) -> DataFrame:
+    """Cut the lineage: write df as Parquet in the shared folder and read it back; broadcasts that nothing else needs are freed."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for one in used:
+        one.destroy()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,14 +8,15 @@
    other member pass the length filter and the positional filter. Lists of three and more are kept.
 3. Sets of the pairs' members are read in a third pass (a sketch of their digests keeps other documents out); pairs are
    verified once, after a suffix filter: counts by parts of the hash space bound the overlap before sets are intersected.
-4. The other pairs of each kept list that pass the filters are formed and verified, so that no link between different sets is lost and each set's
-   links are counted exactly; the members' sets travel to the lists, never to each pair. Where only components are asked for, pairs within one
-   component of the links so far are left out.
+4. Of each kept list, the other pairs that pass the filters and lie in different components of the links so far are verified.
 5. Connected components of the links, labelled by the smallest doc_id.
+6. All links lie inside components, so each set's links are counted there: a component is cut into blocks of sets, each pair of
+   blocks is one group of its own, and its overlaps are counted for all pairs at once. No pair leaves its task.
 
-Defined results: null and empty texts, and texts without words, have empty sets, link with nothing and are their own
+Defined results of the join: null and empty texts, and texts without words, have empty sets, link with nothing and are their own
 component; fewer words than a shingle make one shingle of the whole sequence; rows that repeat a doc_id are judged each by their own text; a null
 doc_id gives a row with a null component and links nothing. Extra columns are ignored. An empty table gives an empty result.
+`drop_near_duplicates` states its own cases.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import arrow_stage, fresh, materialise, partitions, whole_texts
-from .sketch import CountSketch, merged, segments
+from .frames import arrow_stage, discard, fresh, materialise, partitions, whole_texts
+from .sketch import SEGMENT_SCHEMA, CountSketch, merged, segments
 from .wordhash import Family, Words, grams, mix, slices, word_hashes
 
 SHINGLE = 5
@@ -82,7 +84,7 @@ def _sets(column: pa.Array, family: Family, size: int) -> Iterator[tuple]:
 
 
 def _first_pass(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, set) of each document, and the segments of the sketch (doc_id null, segment not null)."""
+    """docs: (doc_id, copy, text). (doc_id, copy, n, set) of each document, and the segments of the sketch (segment not null, all else null)."""
 
     def make():
         family = Family(FAMILY, lower=True)
@@ -90,23 +92,23 @@ def _first_pass(docs: DataFrame, size: int) -> DataFrame:
         def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch, waiting, count = CountSketch(), [], 0
             for batch in batches:
-                for lo, hi, _, g, n, ids in _sets(batch.column(1), family, size):
+                for lo, hi, _, g, n, ids in _sets(batch.column(2), family, size):
                     waiting.append(g)
                     count += len(g)
                     if count > FLUSH:
                         sketch.add(np.concatenate(waiting))
                         waiting, count = [], 0
                     k = hi - lo
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, k), pa.array(n, pa.int32()), pa.array(ids), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], NAMES)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, k), batch.column(1).slice(lo, k), pa.array(n, pa.int32()), pa.array(ids), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], NAMES)
             if waiting:
                 sketch.add(np.concatenate(waiting))
             for part in segments(sketch):
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), *part.columns], NAMES)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), *part.columns], NAMES)
 
         return stage
 
-    NAMES = ["doc_id", "n", "set", "segment", "cells"]
-    return arrow_stage(docs, make, "doc_id long, n int, set long, segment int, cells binary")
+    NAMES = ["doc_id", "copy", "n", "set", "segment", "cells"]
+    return arrow_stage(docs, make, "doc_id long, copy long, n int, set long, segment int, cells binary")
 
 
 def prefix_length(n: np.ndarray, threshold: int) -> np.ndarray:
@@ -128,9 +130,10 @@ def suffix_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((a == 255).any(axis=1) | (b == 255).any(axis=1), np.iinfo(np.int32).max, np.minimum(a, b).sum(axis=1, dtype=np.int64))
 
 
-def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, threshold: int) -> DataFrame:
-    """Once for each task and set: (bucket, null, entries), packed prefix entries; and (bucket, set, entries), the set's counts by parts of the hash space."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+def _prefixes(docs: DataFrame, shared: Broadcast, size: int, threshold: int) -> DataFrame:
+    """Once for each task and set: (bucket, null, entries), packed prefix entries; and (bucket, set, entries), the set's counts by parts of the hash space.
+
+    shared: the counts of the merged sketch."""
     parts = partitions(docs.sparkSession)
 
     def make():
@@ -245,12 +248,16 @@ def _lists(prefixes: DataFrame, threshold: int) -> DataFrame:
     return prefixes.repartitionById(parts, F.col("bucket")).mapInArrow(stage, LISTS_SCHEMA)
 
 
+#: Stands for a null doc_id.
+NONE = -(2**63)
+
+
 def _owner(sets: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return mix(sets.view(np.uint64) ^ mix(docs.view(np.uint64)))
 
 
-def _member_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(set, shingles binary): sorted 64-bit hashes of the given sets, each from its smallest doc_id, and of a few others.
+def _member_sets(docs: DataFrame, members: DataFrame, size: int, name: str) -> DataFrame:
+    """(set, n, shingles binary): sorted 64-bit hashes of the given sets, each from the rows with its smallest doc_id (once a task), and of a few others.
 
     members: (set, low). A sketch of fixed size tells the documents to read; where it errs, a set too many is returned."""
 
@@ -262,23 +269,23 @@ def _member_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
         if any_:
             yield from segments(sketch)
 
-    shared = docs.sparkSession.sparkContext.broadcast(merged(CountSketch, members.select("set", "low").mapInArrow(mark, "segment int, cells binary")))
+    shared = docs.sparkSession.sparkContext.broadcast(merged(CountSketch, members.select("set", "low").mapInArrow(mark, SEGMENT_SCHEMA)))
 
     def make():
-        family, wanted = Family(FAMILY, lower=True), CountSketch(shared.value)
+        family, wanted, seen = Family(FAMILY, lower=True), CountSketch(shared.value), set()
 
         def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keys = batch.column(0).to_numpy(zero_copy_only=False)
                 for lo, hi, _, g, n, ids in _sets(batch.column(1), family, size):
                     first = np.cumsum(n) - n
-                    rows = np.flatnonzero((wanted.estimate(_owner(ids, keys[lo:hi])) > 0) & (n > 0))
-                    if len(rows):
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array([g[first[k] : first[k] + n[k]].tobytes() for k in rows.tolist()], pa.binary())], ["set", "shingles"])
+                    rows = [k for k in np.flatnonzero((wanted.estimate(_owner(ids, keys[lo:hi])) > 0) & (n > 0)).tolist() if not (ids[k] in seen or seen.add(ids[k]))]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(n[rows], pa.int32()), pa.array([g[first[k] : first[k] + n[k]].tobytes() for k in rows], pa.binary())], ["set", "n", "shingles"])
 
         return stage
 
-    return arrow_stage(docs.select("doc_id", "text"), make, "set long, shingles binary")
+    return materialise(arrow_stage(docs.select(F.coalesce("doc_id", F.lit(NONE)).alias("doc_id"), "text"), make, "set long, n int, shingles binary"), name, shared)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -319,26 +326,24 @@ BLOCK = 1024
 def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of a kept list whose members have different labels and that pass the length, positional and suffix filters.
 
-    known: (pivot, set, n, label, counts, shingles); where shingles are given, only pairs that link are returned."""
+    known: (pivot, set, n, label, counts)."""
     parts = partitions(lists.sparkSession)
     none = F.lit(None).cast("long")
     # A pivot with many lists is dealt to several tasks, each with what is known of the pivot's members.
     shares = lists.groupBy("pivot").agg(F.ceil(F.count("*") / LISTS).cast("int").alias("shares"))
     share = F.pmod(F.xxhash64("members"), F.col("shares")).cast("int").alias("share")
-    own = lists.join(shares, "pivot").select("pivot", share, none.alias("set"), none.alias("n"), none.alias("label"), "members", "places", F.lit(None).cast("binary").alias("shingles"))
-    facts = known.join(shares, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.col("counts").alias("places"), "shingles")
+    own = lists.join(shares, "pivot").select("pivot", share, none.alias("set"), none.alias("n"), none.alias("label"), "members", "places")
+    facts = known.join(shares, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set", F.col("n").cast("long").alias("n"), "label", F.lit(None).cast("binary").alias("members"), F.col("counts").alias("places"))
     rows = own.unionByName(facts)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
-        facts, counts, sets = [], {}, {}
+        facts, counts = [], {}
         for batch in batches:
-            for _, _, s, n, label, members, places, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, _, s, n, label, members, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if members is None:
                     facts.append((s, n, label))
                     counts[s] = places
-                    if shingles is not None:
-                        sets[s] = shingles
                 else:
                     places = np.frombuffer(places, dtype=np.int32)
                     held[members] = np.minimum(held[members], places) if members in held else places
@@ -372,71 +377,178 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
                 found = [np.unique(np.concatenate(found), axis=0)]
         if found:
             pairs = np.unique(np.concatenate(found), axis=0)
-            if sets:
-                sets = {s: np.frombuffer(x, np.uint64) for s, x in sets.items()}
-                common = np.array([overlap(sets[a], sets[b]) for a, b in pairs.tolist()], dtype=np.int64)
-                both = np.array([len(sets[a]) + len(sets[b]) for a, b in pairs.tolist()], dtype=np.int64)
-                pairs = pairs[100 * common >= threshold * (both - common)]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return rows.repartition(parts, "pivot", "share").mapInArrow(stage, "a long, b long").distinct()
 
 
-def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, every: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs: (doc_id, text). (doc_id, n, set) of each document; links (a, b) between sets, all of them or those that components need; and (set, label), each set's component."""
+#: A component's sets are cut into blocks of about BLOCK_SETS, at most FEW of them while a block's shingles stay under BLOCK_BYTES.
+BLOCK_SETS, FEW, BLOCK_BYTES = 256, 16, 16 << 20
+#: Sets whose overlaps are counted at a time, and columns of their table.
+SIDE, COLUMNS = 512, 8192
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of a with each of b.
+
+    Shingles that many sets of both sides hold are columns of two 0/1 tables, whose product counts them; others are counted by their pairs of holders."""
+    n, m = len(a), len(b)
+    _, inverse = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    size = int(inverse.max(initial=-1)) + 1
+    cut = sum(map(len, a))
+    left, right = inverse[:cut], inverse[cut:]
+    of_left, of_right = (np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (a, b))
+    times, other = np.bincount(left, minlength=size), np.bincount(right, minlength=size)
+    dense = times * other * 100 >= n * m
+    number = np.cumsum(dense) - 1
+    out = np.zeros((n, m), dtype=np.float32)
+    ends = [(number[x[dense[x]]], of[dense[x]]) for x, of in ((left, of_left), (right, of_right))]
+    for lo in range(0, int(dense.sum()), COLUMNS):
+        tables = [np.zeros((k, COLUMNS), dtype=np.float32) for k in (n, m)]
+        for table, (column, of) in zip(tables, ends, strict=True):
+            here = (column >= lo) & (column < lo + COLUMNS)
+            table[of[here], column[here] - lo] = 1
+        out += tables[0] @ tables[1].T
+    rare = np.flatnonzero(~dense[left] & (other[left] > 0))
+    rest = np.flatnonzero(~dense[right] & (times[right] > 0))
+    rest = rest[np.argsort(right[rest], kind="stable")]
+    first, each = np.searchsorted(right[rest], left[rare]), other[left[rare]]
+    at = np.repeat(first - (np.cumsum(each) - each), each) + np.arange(each.sum())
+    return out.astype(np.int64) + np.bincount(np.repeat(of_left[rare], each) * m + of_right[rest[at]], minlength=n * m).reshape(n, m)
+
+
+def link_counts(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set of a, its links with sets of b, and the other way round; without b, links of the sets of a with each other."""
+    other = a if b is None else b
+    n, m = np.zeros(len(a), dtype=np.int64), np.zeros(len(other), dtype=np.int64)
+    for lo in range(0, len(a), SIDE):
+        for to in range(0 if b is not None else lo, len(other), SIDE):
+            x, y = a[lo : lo + SIDE], other[to : to + SIDE]
+            common = overlaps(x, y)
+            both = np.array([len(z) for z in x])[:, None] + np.array([len(z) for z in y])[None, :]
+            good = 100 * common >= threshold * (both - common)
+            if b is None and lo == to:
+                np.fill_diagonal(good, False)
+            n[lo : lo + SIDE] += good.sum(axis=1)
+            if b is not None or lo != to:
+                m[to : to + SIDE] += good.sum(axis=0)
+    return (n, m) if b is not None else (n + m, m[:0])
+
+
+def _degrees(sets: DataFrame, label: DataFrame, threshold: int) -> DataFrame:
+    """(set, n_links): how many other sets each set links with, for those that link. sets: (set, n, shingles); label: (set, label)."""
+    parts = partitions(sets.sparkSession)
+    owned = sets.select("set", "n").distinct().join(label, "set")
+    sizes = owned.groupBy("label").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).filter("sets > 1")
+    two = owned.join(sizes.filter("sets = 2"), "label").select("set", F.lit(1).cast("long").alias("n_links"))
+    blocks = F.greatest(F.least(F.ceil(F.col("sets") / BLOCK_SETS), F.lit(FEW)), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
+    dealt = label.join(sizes.filter("sets > 2").select("label", blocks.alias("blocks")), "label").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sets.select("set", "shingles"), "set")
+    rows = dealt.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).alias("right"), "set", "shingles")
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, ({}, {})
+
+        def counted() -> pa.RecordBatch:
+            left, right = ([np.frombuffer(x, np.uint64) for x in side.values()] for side in held)
+            n, m = link_counts(left, right if key[1] != key[2] else None, threshold)
+            return pa.RecordBatch.from_arrays([pa.array([*held[0], *held[1]], pa.int64()), pa.array(np.append(n, m))], ["set", "n_links"])
+
+        for batch in batches:
+            for label, i, j, right, s, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (label, i, j) != key:
+                    if key:
+                        yield counted()
+                    key, held = (label, i, j), ({}, {})
+                held[right][s] = x  # a set may come twice
+        if key:
+            yield counted()
+
+    found = rows.repartition(parts, "label", "i", "j").sortWithinPartitions("label", "i", "j").mapInArrow(stage, "set long, n_links long")
+    return two.unionByName(found.groupBy("set").agg(F.sum("n_links").alias("n_links")))
+
+
+def _keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, copy, text): null texts are read as empty; `copy` tells rows of one doc_id with different texts apart."""
+    return whole_texts(docs, key, text).select("doc_id", F.xxhash64("text").alias("copy"), "text")
+
+
+def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, among: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs: (doc_id, copy, text). (doc_id, copy, n, set) of each row; (set, label), the component of each set that rows chosen by `among` (all) have; and
+    (set, n, shingles) of the sets that link with others, and of some that don't."""
+    context = docs.sparkSession.sparkContext
+    among = F.lit(True) if among is None else among
     first = materialise(_first_pass(docs, size), "sets")
-    of = first.filter("segment is null").select("doc_id", "n", "set")
-    low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low"))
-    sketch = merged(CountSketch, first.filter("segment is not null").select("segment", "cells"))
-    docs = docs.filter("doc_id is not null")
-    lists = materialise(_lists(_prefixes(docs, sketch, size, threshold), threshold), "lists")
+    of = first.filter("segment is null").select("doc_id", "copy", "n", "set")
+    low = of.filter(among & (F.col("n") > 0)).groupBy("set").agg(F.coalesce(F.min("doc_id"), F.lit(NONE)).alias("low"))
+    sketch = context.broadcast(merged(CountSketch, first.filter("segment is not null").select("segment", "cells")))
+    docs = docs.filter(among).select("doc_id", "text")
+    lists = materialise(_lists(_prefixes(docs, sketch, size, threshold), threshold), "lists", sketch)
     stars = materialise(lists.filter("kind = 1").groupBy("pivot", "set").agg(F.max("n").alias("n"), F.max("good").alias("good")), "stars")
     ends = lambda pairs: pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
 
     pairs = stars.filter("good").select(F.col("pivot").alias("a"), F.col("set").alias("b"))
-    members = ends(stars.select(F.col("pivot").alias("a"), F.col("set").alias("b")) if every else pairs)
-    sets = materialise(_member_sets(docs, members.join(low, "set"), size), "shingles")
+    sets = _member_sets(docs, ends(pairs).join(low, "set"), size, "shingles")
     links = materialise(_verified(pairs, sets, threshold), "links")
+    label = materialise(components(links).select(F.col("node").alias("set"), F.col("component").alias("label")), "labels")
 
-    label = materialise(components(links), "labels").select(F.col("node").alias("set"), F.col("component").alias("label"))
+    # What can still join two components: lists of a pivot with a member outside the pivot's own.
+    of_pivot = label.select(F.col("set").alias("pivot"), F.col("label").alias("own"))
+    known = stars.join(label, "set", "left").join(of_pivot, "pivot", "left").select("pivot", "set", "n", F.coalesce("label", "set").alias("label"), F.coalesce("own", "pivot").alias("own"))
+    open_ = known.filter("label <> own").select("pivot").distinct()
     marks = lists.filter("kind = 2").select("set", F.col("members").alias("counts")).groupBy("set").agg(F.first("counts").alias("counts"))
-    kept = lists.filter("kind = 0").select("pivot", "members", "places")
-    known = stars.join(label, "set", "left").join(marks, "set").select("pivot", "set", "n", F.col("set" if every else "label").alias("label"), "counts")
-    known = known.withColumn("label", F.coalesce("label", "set"))
-    if every:
-        more = materialise(_residual(kept, known.join(sets.dropDuplicates(["set"]), "set"), threshold).join(links, ["a", "b"], "left_anti"), "links")
-    else:
-        rest = _residual(kept, known.withColumn("shingles", F.lit(None).cast("binary")), threshold)
-        rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        missing = materialise(_member_sets(docs, ends(rest).join(members, "set", "left_anti").join(low, "set"), size), "shingles")
-        more = materialise(_verified(rest, sets.unionByName(missing), threshold), "links")
+    kept = lists.filter("kind = 0").join(open_, "pivot", "left_semi").select("pivot", "members", "places")
+    rest = _residual(kept, known.join(open_, "pivot", "left_semi").drop("own").join(marks, "set"), threshold)
+    rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    missing = _member_sets(docs, ends(rest).join(ends(pairs), "set", "left_anti").join(low, "set"), size, "shingles")
+    sets = sets.unionByName(missing)
+    more = materialise(_verified(rest, sets, threshold), "links")
     named = lambda end: more.join(label.select(F.col("set").alias(end), F.col("label").alias(f"of_{end}")), end, "left").select("a", "b", F.coalesce(f"of_{end}", end).alias(f"c{end}"))
     across = components(named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a <> b").distinct())
-    first_label = of.filter("n > 0").select("set").distinct().join(label, "set", "left").select("set", F.coalesce("label", "set").alias("label"))
-    label = first_label.join(across, F.col("label") == F.col("node"), "left").select("set", F.coalesce("component", "label").alias("label"))
-    return of, links.unionByName(more), label
+    label = low.select("set").join(label, "set", "left").select("set", F.coalesce("label", "set").alias("label"))
+    label = label.join(across, F.col("label") == F.col("node"), "left").select("set", F.coalesce("component", "label").alias("label"))
+    for frame in (lists, stars, links, rest, more):
+        discard(frame)
+    return of, materialise(label, "labels"), sets
 
 
-def _components(of: DataFrame, label: DataFrame) -> DataFrame:
-    """(set, component) of each set that a document with a doc_id has."""
+def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach), n_links (other sets that its set links with, all counted; 0 for a null doc_id)."""
+    of, label, sets = linked_sets(_keyed(docs), size, threshold, F.col("doc_id").isNotNull())
     low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low")).join(label, "set")
     least = low.groupBy("label").agg(F.min("low").alias("component"))
-    return low.join(least, "label").select("set", "component")
-
-
-def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach), n_links (links of its set with other sets, all counted; 0 for a null doc_id)."""
-    of, links, label = linked_sets(whole_texts(docs), size, threshold)
-    degree = links.select(F.col("a").alias("set")).unionByName(links.select(F.col("b").alias("set"))).groupBy("set").agg(F.count("*").alias("degree"))
-    named = _components(of, label).join(degree, "set", "left")
+    named = low.join(least, "label").join(_degrees(sets, label, threshold), "set", "left").select("set", "component", "n_links")
     out = of.join(named, "set", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("degree", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
+    here = F.col("doc_id").isNotNull()
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.when(here, F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"), F.when(here, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """docs with one document of each component: that with the smallest doc_id. Rows with a null key stay; all columns stay."""
-    rows, _, label = linked_sets(whole_texts(docs, key, text), size, threshold, every=False)
-    found = rows.filter("doc_id is not null and n > 0").join(_components(rows, label), "set")
-    of = fresh(docs, "copy_doc")
-    gone = found.filter("component < doc_id").select(F.col("doc_id").alias(of)).distinct()
-    return docs.join(gone, F.col(f"`{key}`").cast("long") == F.col(of), "left_anti")
+    """docs with one row of each component: that with the smallest doc_id. All columns stay.
+
+    Defined results: rows without words (null and empty texts too) all stay; rows with a null doc_id are compared like others and stay only
+    where no row of their component has a doc_id; rows that repeat a doc_id are judged each by their own text, and of several of one component one
+    stays; an empty table gives an empty result; columns may have any names."""
+    of, label, _ = linked_sets(_keyed(docs, key, text), size, threshold)
+    rows = of.filter("n > 0").groupBy("set", "doc_id", "copy").agg(F.count("*").alias("times")).join(label, "set")
+    # The least of each component: a doc_id before none, then by doc_id and text.
+    least = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("least"))
+    judged = rows.join(least, "label").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("copy") == F.col("least.copy")))
+    judged = materialise(judged.filter("not stays or times > 1").select(F.col("doc_id").alias("gone_doc"), F.col("copy").alias("gone_copy"), "stays"), "gone")
+    out = docs.join(_renamed(judged, docs), _same(docs, key, text), "left_anti")
+    again = judged.filter("stays")
+    if not again.isEmpty():  # rows with one doc_id and one text: one of them stays
+        number = fresh(docs, "number")
+        window = Window.partitionBy(F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))).orderBy(F.lit(0))
+        twice = docs.join(_renamed(again, docs), _same(docs, key, text), "left_semi").withColumn(number, F.row_number().over(window))
+        out = out.unionByName(twice.filter(F.col(number) == 1).drop(number))
+    return out
+
+
+def _renamed(judged: DataFrame, docs: DataFrame) -> DataFrame:
+    return judged.select(F.col("gone_doc").alias(fresh(docs, "gone_doc")), F.col("gone_copy").alias(fresh(docs, "gone_copy")))
+
+
+def _same(docs: DataFrame, key: str, text: str) -> Column:
+    """Whether a row of docs is the one that a row of `_renamed` names."""
+    return F.col(f"`{key}`").cast("long").eqNullSafe(F.col(fresh(docs, "gone_doc"))) & (F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))) == F.col(fresh(docs, "gone_copy")))

@@ -1,7 +1,10 @@
 import random
 
+import numpy as np
+
+from tarn.llm import jaccard
 from tarn.llm.components import components
-from tarn.llm.jaccard import drop_near_duplicates, jaccard_components
+from tarn.llm.jaccard import drop_near_duplicates, jaccard_components, link_counts, overlaps
 
 
 def sets(text, size):
@@ -80,7 +83,7 @@ def test_nulls_repeats_and_empty(spark):
     rows = [(7, text), (7, text), (None, text), (9, text + " b"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in jaccard_components(docs).drop("n_links").collect()), key=str) == sorted([(7, 26, 7), (7, 26, 7), (None, 26, None), (9, 27, 7), (3, 0, 3)], key=str)
-    assert sorted((tuple(r) for r in drop_near_duplicates(docs).collect()), key=str) == sorted([(7, text), (7, text), (None, text), (3, None)], key=str)
+    assert sorted((tuple(r) for r in drop_near_duplicates(docs).collect()), key=str) == sorted([(7, text), (3, None)], key=str)
     assert jaccard_components(docs.limit(0)).count() == 0
 
 
@@ -90,6 +93,56 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 300: 200}
 
 
+def brute_kept(rows, size=5, threshold=75):
+    """Rows that stay of (doc_id, text, ...): all without words, and of each component of rows the least by doc_id (none last)."""
+    s = [sets(r[1], size) for r in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if s[i] and s[j] and 100 * len(s[i] & s[j]) >= threshold * len(s[i] | s[j]):
+                root[find(i)] = find(j)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(find(i) if s[i] else ("none", i), []).append(rows[i])
+    return [min((r[0] is None, r[0] or 0) for r in g) for g in groups.values()], groups
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(2)
+    body = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcd"]
+    rows = []
+    for k in range(90):
+        text = body[k % 4] + rng.choice(["", " x", " y z", "\n"])
+        rows.append((rng.choice([None, 1, 2, 3, k]), rng.choice([text, text.upper()]), k % 3))
+    rows += [(1, None, 0), (None, None, 0), (1, " ", 1), (1, None, 0), (50, "other words", 5), (50, "quite different words here", 5), (None, "lonely", 1), (None, "lonely", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_doc int").repartition(5)
+    got = [tuple(r) for r in drop_near_duplicates(docs).collect()]
+    least, groups = brute_kept(rows)
+    assert sorted((r[0] is None, r[0] or 0) for r in got) == sorted(least)
+    for g in groups.values():
+        assert sum(r in got for r in set(g)) >= 1
+    assert all(got.count(r) <= rows.count(r) for r in got)
+    assert drop_near_duplicates(docs.limit(0)).count() == 0 and drop_near_duplicates(docs).columns == docs.columns
+
+
+def test_overlaps_equal_sets():
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 2**63, 300).astype(np.uint64)
+    draw = lambda: np.unique(np.concatenate([rng.choice(common, rng.integers(1, 250)), rng.integers(0, 40, 5).astype(np.uint64)]))
+    a, b = [draw() for _ in range(130)], [draw() for _ in range(70)]
+    want = np.array([[len(np.intersect1d(x, y)) for y in b] for x in a])
+    assert (overlaps(a, b) == want).all()
+    n, m = link_counts(a, b, 20)
+    good = np.array([[100 * len(np.intersect1d(x, y)) >= 20 * len(np.union1d(x, y)) for y in b] for x in a])
+    assert good.any() and not good.all() and (n == good.sum(axis=1)).all() and (m == good.sum(axis=0)).all()
+
+
 def degrees(rows, size=5, threshold=75):
     """Per row: doc_id and the number of different sets of documents with a doc_id that its set links with."""
     s = [(d, frozenset(sets(t, size))) for d, t in rows]
@@ -106,3 +159,11 @@ def test_links_equal_brute_force(spark):
     got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=str) == degrees(rows)
     assert {r.n_links for r in got.filter("doc_id >= 5000").collect()} == {11}
+
+
+def test_links_of_a_component_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
+    monkeypatch.setattr(jaccard, "SIDE", 3)
+    rows = fixture_rows(40)
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=str) == degrees(rows)
