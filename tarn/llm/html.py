@@ -16,12 +16,13 @@ unclosed, unbalanced or cut off anywhere; text that isn't inside any tag is a bl
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html as _html
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -93,7 +94,9 @@ def parse(page: str) -> Node:
     root = Node("html", None, "", 0)
     stack = [root]
     at, anchors, hidden, seen, n = 0, 0, [], 0, len(page)
-    inside: list[str] = []  # open blocks inside hidden elements
+    open_: dict[str, list[int]] = defaultdict(list)  # of each name, where its open elements (but the root) stand in the stack
+    inside: list[str] = []  # open blocks inside hidden elements, and how many there are of each name
+    within: Counter[str] = Counter()
 
     def text(piece: str) -> None:
         nonlocal seen
@@ -117,6 +120,7 @@ def parse(page: str) -> Node:
     def close(depth: int) -> None:
         while len(stack) > depth:
             node = stack.pop()
+            open_[node.name].pop()
             up = node.parent
             up.text += node.text
             up.links += node.links
@@ -125,6 +129,10 @@ def parse(page: str) -> Node:
             up.tags += node.tags
             up.paragraphs += node.paragraphs + (node.name == "p" and node.text > 0)
 
+    def last(names: tuple[str, ...]) -> int:
+        """Where the innermost open element of these names stands; 0 if none is open."""
+        return max((open_[x][-1] for x in names if open_[x]), default=0)
+
     while True:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -146,15 +154,19 @@ def parse(page: str) -> Node:
                 if name in hidden:
                     del hidden[hidden.index(name) :]
                     inside.clear()
+                    within.clear()
             elif not attributes.endswith("/"):
                 hidden.append(name)
         elif name in BLOCKS:
             # A hidden element ends with an enclosing block; an unclosed form control also where a block begins that it can't hold.
             if name == "body":
                 hidden.clear()
-            elif hidden and slash and name in inside:
-                del inside[len(inside) - 1 - inside[::-1].index(name) :]
-            elif hidden and slash and any(x.name == name for x in stack[1:]):
+            elif hidden and slash and within[name]:
+                gone = ""
+                while gone != name:
+                    gone = inside.pop()
+                    within[gone] -= 1
+            elif hidden and slash and open_[name]:
                 hidden.clear()
             elif hidden and not slash and (hidden[-1] in ("select", "datalist") or hidden[-1] == "button" and name in BEYOND):
                 while hidden and hidden[-1] in ("select", "datalist", "button"):
@@ -162,33 +174,29 @@ def parse(page: str) -> Node:
             if hidden:
                 if not slash:
                     inside.append(name)
+                    within[name] += 1
                 continue
             inside.clear()
+            within.clear()
             if slash:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].name == name:
-                        close(k)
-                        anchors = 0
-                        break
+                if open_[name]:
+                    close(open_[name][-1])
+                    anchors = 0
                 continue
-            if name in ("html", "body") and any(x.name == name for x in stack):
+            if name == "html" or name == "body" and open_[name]:
                 continue
-            if name in PARAGRAPH_ENDS:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].name == "p":
-                        close(k)
-                        break
-                    if stack[k].name in ("td", "th", "button", "table"):
-                        break
+            if name in PARAGRAPH_ENDS and open_["p"] and open_["p"][-1] > last(("td", "th", "table")):
+                close(open_["p"][-1])
             if name in IMPLIED:
                 ends, limits = IMPLIED[name]
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].name in limits:
-                        break
-                    if stack[k].name in ends:
-                        close(k)
-                        if name != "tr":
-                            break
+                limit = last(limits)
+                if name == "tr":  # a row ends all cells and rows of its table
+                    found = [open_[x][k] for x in ends for k in [bisect.bisect(open_[x], limit)] if k < len(open_[x])]
+                    if found:
+                        close(min(found))
+                elif last(ends) > limit:
+                    close(last(ends))
+            open_[name].append(len(stack))
             stack.append(Node(name, stack[-1], attributes, seen))
             anchors = 0
         elif name == "a":

@@ -1,5 +1,8 @@
 import html
+import itertools
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -106,3 +109,47 @@ def test_unclosed_hidden_elements_end():
         assert keep(f"<article><p>a <{plain}>b</{plain}> c</p></article>") == ["a b c"] and keep(f"<div><{plain}></div>{rest}") == ["text"]
     assert keep("<head><title>t</title><p>text") == ["text"] and keep("<head><meta x><title>t</title>text") == ["text"]
     assert keep("<head>\n<noscript><link x></noscript>\n<style>s</style></head>b") == ["b"]
+
+
+def test_deep_and_broken_nesting_takes_linear_time():
+    for page in ("<div>" * 20_000, "<ul><li>" * 20_000, "<table><tr><td>" * 10_000, "<div></p>" * 20_000, "<noscript>" + "<div>" * 20_000 + "</div>" * 20_000):
+        began = time.process_time()
+        H.parse(page + "x")
+        assert time.process_time() - began < 3
+    for name, inner in (("td", "<td>a<table><tr><td>b<td>c<tr><td>d</table>e"), ("li", "<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>")):
+        root = H.parse(inner)
+        assert H.blocks(root, [True] * len(H._walk(root))) == ["a", "b", "c", "d", "e"], name
+
+
+def test_margins_equal_walks_of_single_trees():
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 9, (400, 5)).astype(float)
+    y = ((x[:, 1] > 4) & (x[:, 3] < 6)).astype(float)
+    model = H.boost(x, y, trees=12, depth=3)
+    inner = model.feature.shape[1]
+    for row, margin in zip(x, model.margins(x), strict=True):
+        total = model.start
+        for f, t, v in zip(model.feature, model.threshold, model.value, strict=True):
+            at = 0
+            while at < inner:
+                at = 2 * at + (2 if row[f[at]] > t[at] else 1)
+            total += v[at - inner]
+        assert abs(total - margin) < 1e-9
+    assert ((model.margins(x) > 0) == (y > 0)).mean() > 0.97
+
+
+def test_decoding_equals_all_consistent_labellings():
+    """On small trees: no labelling that keeps nothing under a dropped node has a larger sum of log-probabilities."""
+    rng = random.Random(5)
+    for _ in range(60):
+        page = "".join(rng.choice(["<div>", "<div>", "<section>", "</div>", "x"]) for _ in range(12))
+        nodes = H._walk(H.parse(page))[:11]
+        if len(nodes) < 2 or any(c.index >= len(nodes) for n in nodes for c in n.children):
+            continue
+        margin = np.array([rng.gauss(0, 2) for _ in nodes])
+        best = []
+        for labels in itertools.product((False, True), repeat=len(nodes) - 1):
+            kept = [True, *labels]
+            if all(kept[n.parent.index] or not kept[n.index] for n in nodes[1:]):
+                best.append((sum(-np.logaddexp(0, -margin[k] if kept[k] else margin[k]) for k in range(1, len(nodes))), kept))
+        assert H.decode(nodes, margin) == max(best)[1]
