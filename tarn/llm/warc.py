@@ -6,11 +6,11 @@ has to hold a record of its own size beside the input. The rows of one record, i
 of an archive one after another are a WARC file (`export_archive`, `parse_file`).
 
 Among records whose payloads are equal and at least REVISIT_BYTES long, the one with the largest page_id is the response and the others are
-revisits without payload that refer to it. Which they are is settled on narrow rows (digest, length, id); texts are moved once, by
+revisits without payload that refer to it by its record id, which is made of page and payload digest. Which they are is settled on narrow rows (digest, length, id); texts are moved once, by
 page, so copies of one payload spread evenly.
 
 Defined results: a null html is an empty payload; a null url has no target line, and line breaks and control signs in a url are percent-encoded; rows that repeat page_id and payload
-are separate records with the same outcome; a null page_id is a record of its own, never a referred-to one, and a revisit if a page has its payload; other columns are ignored;
+are separate records with the same outcome and the same record id; a null page_id is a record of its own, never a referred-to one, and a revisit if a page has its payload; other columns are ignored;
 an empty table gives none.
 """
 
@@ -42,12 +42,13 @@ def _safe(url: str) -> str:
 
 
 def header(kind: str, page: int | None, record: int, url: str | None, size: int, digest: str, refers_to: int | None, block: int) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page if page is not None else ''}:{record}>", f"WARC-Date: {DATE}"]
+    name = f"{page}:{digest}" if page is not None else f":{record}"
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{name}>", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_safe(url)}")
     lines += [f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Bytes: {size}"]
     if kind == "revisit":
-        lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}:{digest}>"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {block}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
@@ -156,7 +157,7 @@ class _Reader:
         if self.left or kind not in ("response", "revisit") or kind == "response" and (size, digest) != (self.size, self.sum.hexdigest()):
             raise ValueError(f"damaged record {head.get('warc-record-id')}")
         page = head["warc-record-id"].split(":")[2]
-        refers_to = head["warc-refers-to"].split(":")[2].rstrip(">") if kind == "revisit" else ""
+        refers_to = head["warc-refers-to"].split(":")[2] if kind == "revisit" else ""
         return int(page) if page else None, size, digest, kind, int(refers_to) if refers_to else None
 
 

@@ -3,7 +3,7 @@ import io
 
 import pytest
 
-from tarn.llm.warc import export_archive, parse_file, read_records, round_trip, write_records
+from tarn.llm.warc import export_archive, parse_file, parsed_header, read_records, round_trip, write_records
 
 
 def brute(rows):
@@ -47,5 +47,9 @@ def test_files_and_chunks(spark):
         out.seek(0)
         got += list(parse_file(out, chunk=37))
     assert sorted(got, key=str) == brute(rows)
+    heads = [parsed_header(bytes(r.data).split(b"\r\n\r\n")[0]) for r in table.filter("chunk = 0").collect()]
+    responses = {h["warc-record-id"] for h in heads if h["warc-type"] == "response"}
+    asked = [h["warc-refers-to"] for h in heads if h["warc-type"] == "revisit"]
+    assert asked and set(asked) <= responses and not responses & {h["warc-record-id"] for h in heads if h["warc-type"] == "revisit"}
     with pytest.raises(Exception, match="damaged|differs|cut"):
         read_records(table.filter("chunk <> 3")).collect()
