@@ -6,11 +6,12 @@ block are added with bitmap arithmetic: every bit of a query component selects s
 and carry-save adders reduce the bitmaps of each weight to one, carrying into the next. That gives the scores as bit slices
 again. The top rows are selected from the most significant slice downward; rows that tie at the boundary are taken by id.
 
-Blocks are keyed by hash, so their number follows the rows and no task holds more than one block and one chunk of queries.
-Each block answers each query with at most k rows; the k best of those are exact.
+Blocks are keyed by hash, so their number follows the rows. A task gets one block and one group of query chunks (GROUP of them), and holds one
+chunk at a time, so more queries give more tasks. Each block answers each query with at most k rows; the k best of those are exact.
 
-Defined results: vectors that are null, empty, or hold a null or non-finite component, and null ids, take no part; rows that
-repeat an id count once, with the least of their vectors; a query meets only vectors of its own length; fewer than k candidates give fewer
+Defined results: vectors that are null or hold a null or non-finite component, and null ids, take no part; every other row is a candidate
+for every query but itself, also where ids repeat: rows that share an id are queries, and candidates, each on its own (their answers have the same
+query_id and their own ranks); a query meets only vectors of its own length, the empty vector too; fewer than k candidates give fewer
 rows; an empty table gives none. Scores must fit 63 bits.
 """
 
@@ -26,25 +27,24 @@ from pyspark.sql import functions as F
 from .frames import materialise, partitions
 
 BLOCK = 8192
-#: Queries that travel together.
-CHUNK = 256
+#: Queries that travel together, and chunks of them that meet a block in one task.
+CHUNK, GROUP = 256, 16
 SCALE = 256
 
 
 def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(vec_id, embedding array<double>) of the rows that take part."""
-    rows = df.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("embedding"))
+    """(row, vec_id, embedding array<double>) of the rows that take part; row: a number of its own."""
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("embedding"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)).filter(F.coalesce(fine, F.lit(False)))
-    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(F.coalesce(fine, F.lit(False)))
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in order, and their quantised vectors."""
-    ids = table.column("vec_id").to_numpy()
-    x = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-    order = np.argsort(ids)
-    return ids[order], np.floor(SCALE * x).astype(np.int64)[order]
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids in order, the numbers of their rows, and their quantised vectors."""
+    ids, numbers = (table.column(c).to_numpy() for c in ("vec_id", "row"))
+    x = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), table.column("dim")[0].as_py())
+    order = np.lexsort((numbers, ids))
+    return ids[order], numbers[order], np.floor(SCALE * x).astype(np.int64)[order]
 
 
 def _packed(kind: str, dim: int, number: int, data: bytes) -> pa.Table:
@@ -52,33 +52,34 @@ def _packed(kind: str, dim: int, number: int, data: bytes) -> pa.Table:
 
 
 class Block:
-    """ids, the least value and number of bits of each component, and slices: (bits of all components) x words."""
+    """Ids in order, row numbers, the least value and number of bits of each component, and slices: (bits of all components) x words."""
 
-    def __init__(self, ids: np.ndarray, low: np.ndarray, bits: np.ndarray, slices: np.ndarray) -> None:
-        self.ids, self.low, self.bits, self.slices = ids, low, bits, slices
+    def __init__(self, ids: np.ndarray, numbers: np.ndarray, low: np.ndarray, bits: np.ndarray, slices: np.ndarray) -> None:
+        self.ids, self.numbers, self.low, self.bits, self.slices = ids, numbers, low, bits, slices
         self.first = np.cumsum(bits) - bits
         pad = np.zeros(-(-len(ids) // 64) * 64, dtype=bool)
         pad[: len(ids)] = True
         self.rows = np.packbits(pad, bitorder="little").view(np.uint64)
 
     @classmethod
-    def build(cls, ids: np.ndarray, x: np.ndarray) -> Block:
+    def build(cls, ids: np.ndarray, numbers: np.ndarray, x: np.ndarray) -> Block:
         low = x.min(axis=0)
         above = x - low
         bits = np.array([int(v).bit_length() for v in above.max(axis=0)], dtype=np.int64)
         words = -(-len(ids) // 64)
         pad = np.zeros((words * 64 - len(ids),), dtype=np.uint8)
         slices = [np.packbits(np.append(((above[:, d] >> b) & 1).astype(np.uint8), pad), bitorder="little") for d in range(x.shape[1]) for b in range(bits[d])]
-        return cls(ids, low, bits, np.array(slices, dtype=np.uint8).reshape(-1, words * 8).view(np.uint64))
+        return cls(ids, numbers, low, bits, np.array(slices, dtype=np.uint8).reshape(-1, words * 8).view(np.uint64))
 
     def dump(self) -> bytes:
-        return b"".join([np.int64(len(self.ids)).tobytes(), self.ids.astype(np.int64).tobytes(), self.low.tobytes(), self.bits.tobytes(), self.slices.tobytes()])
+        return b"".join([np.int64(len(self.ids)).tobytes(), self.ids.astype(np.int64).tobytes(), self.numbers.astype(np.int64).tobytes(), self.low.tobytes(), self.bits.tobytes(), self.slices.tobytes()])
 
     @classmethod
     def load(cls, data: bytes, dim: int) -> Block:
         n = int(np.frombuffer(data, np.int64, 1)[0])
-        head = np.frombuffer(data, np.int64, 1 + n + 2 * dim)
-        return cls(head[1 : 1 + n], head[1 + n : 1 + n + dim], head[1 + n + dim :], np.frombuffer(data, np.uint64, -1, 8 * len(head)).reshape(-1, -(-n // 64)))
+        head = np.frombuffer(data, np.int64)
+        ids, numbers, low, bits, slices = np.split(head, np.cumsum([n, n, dim, dim]) + 1)
+        return cls(ids[1:], numbers, low, bits, slices.view(np.uint64).reshape(-1, -(-n // 64)))
 
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Bit slices, least significant first, of (score - base) for all rows; and base."""
@@ -110,11 +111,10 @@ class Block:
         return out, base
 
     def top(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows other than `own`: those above the boundary, and of the ties the smallest ids."""
+        """Ids and scores of the k best rows but that with number `own`: those above the boundary, and of the ties the smallest ids."""
         slices, base = self.scores(query)
         open_ = self.rows.copy()
-        at = int(np.searchsorted(self.ids, own))
-        if at < len(self.ids) and self.ids[at] == own:
+        for at in np.flatnonzero(self.numbers == own).tolist():
             open_[at >> 6] &= ~(np.uint64(1) << np.uint64(at & 63))
         sure = np.zeros_like(open_)
         for s in reversed(slices):
@@ -156,55 +156,62 @@ def _added(stack: np.ndarray, carries: list[np.ndarray]) -> np.ndarray:
     return stack[0]
 
 
-def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
-    """(dim, block, packed): every row that takes part, in bit-sliced blocks of about `block` rows."""
-    rows = materialise(_vectors(df, key, vector), "vectors")
-    count = max(1, -(-rows.count() // block))
+def _blocks(rows: DataFrame, block: int) -> int:
+    return max(1, -(-rows.count() // block))
 
+
+def _index(rows: DataFrame, count: int) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
-        ids, x = _matrix(table)
-        return _packed("block", x.shape[1], table.column("block")[0].as_py(), Block.build(ids, x).dump())
+        ids, numbers, x = _matrix(table)
+        return _packed("block", x.shape[1], table.column("block")[0].as_py(), Block.build(ids, numbers, x).dump())
 
-    keyed = rows.select("vec_id", "embedding", F.size("embedding").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int").alias("block"))
+    keyed = rows.select("row", "vec_id", "embedding", F.size("embedding").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(count)).cast("int").alias("block"))
     return keyed.groupBy("dim", "block").applyInArrow(build, "dim int, block int, packed binary")
 
 
-def _chunks(df: DataFrame, wanted: Column, key: str, vector: str) -> DataFrame:
-    rows = materialise(_vectors(df, key, vector).filter(wanted), "queries")
-    count = max(1, -(-rows.count() // CHUNK))
+def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """(dim, block, packed): every row that takes part, in bit-sliced blocks of about `block` rows."""
+    rows = materialise(_vectors(df, key, vector), "vectors")
+    return _index(rows, _blocks(rows, block))
 
+
+def _chunks(rows: DataFrame) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
-        ids, q = _matrix(table)
-        return _packed("chunk", q.shape[1], table.column("chunk")[0].as_py(), np.column_stack([ids, q]).astype(np.int64).tobytes())
+        ids, numbers, q = _matrix(table)
+        return _packed("chunk", q.shape[1], table.column("chunk")[0].as_py(), np.column_stack([ids, numbers, q]).astype(np.int64).tobytes())
 
-    keyed = rows.select("vec_id", "embedding", F.size("embedding").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int").alias("chunk"))
+    keyed = rows.select("row", "vec_id", "embedding", F.size("embedding").alias("dim"), F.pmod(F.xxhash64("row"), F.lit(_blocks(rows, CHUNK))).cast("int").alias("chunk"))
     return keyed.groupBy("dim", "chunk").applyInArrow(build, "dim int, chunk int, packed binary")
 
 
 def top_k(df: DataFrame, wanted: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of df for which `wanted` (a condition on vec_id) holds, against every other row."""
     spark = df.sparkSession
-    index = materialise(build_index(df, key, vector, block), "index")
-    chunks = materialise(_chunks(df, wanted, key, vector), "chunks")
-    # Each chunk of the stated query set goes to each block: blocks first within a key, then chunks one after another.
-    sent = chunks.join(index.select("dim", "block"), "dim").select("dim", "block", "chunk", "packed")
-    both = index.select("dim", "block", F.lit(-1).alias("chunk"), "packed").unionByName(sent)
+    rows = materialise(_vectors(df, key, vector), "vectors")
+    count = _blocks(rows, block)
+    index = materialise(_index(rows, count), "index")
+    chunks = materialise(_chunks(rows.filter(wanted)), "chunks")
+    # Each chunk of the stated query set goes to each block: blocks first within a key, then a group's chunks one after another.
+    groups = -(-_blocks(rows.filter(wanted), CHUNK) // GROUP)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    sent = chunks.select("dim", every(count).alias("block"), F.pmod("chunk", F.lit(groups)).alias("group"), "chunk", "packed")
+    both = index.select("dim", "block", every(groups).alias("group"), F.lit(-1).alias("chunk"), "packed").unionByName(sent)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, of = None, None
         for batch in batches:
-            for dim, chunk, packed in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-                data = packed.as_py()
+            for dim, at, group, chunk, packed in zip(*(batch.column(c).to_pylist() for c in range(4)), batch.column(4), strict=True):
                 if chunk < 0:
-                    held = Block.load(data, dim)
+                    held, of = Block.load(packed.as_py(), dim), (dim, at, group)
+                if chunk < 0 or of != (dim, at, group):  # a block without vectors of this length isn't there
                     continue
-                queries = np.frombuffer(data, np.int64).reshape(-1, dim + 1)
-                found = [held.top(q[1:], k, int(q[0])) for q in queries]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(queries[:, 0], [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], ["query_id", "vec_id", "score"])
+                queries = np.frombuffer(packed.as_py(), np.int64).reshape(-1, dim + 2)
+                found = [held.top(q[2:], k, int(q[1])) for q in queries]
+                size = [len(f[0]) for f in found]
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(queries[:, c], size)) for c in (0, 1)), *(pa.array(np.concatenate([f[c] for f in found])) for c in (0, 1))], ["query_id", "query_row", "vec_id", "score"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    blocks = max(1, index.count())
-    dealt = both.repartition(max(blocks, partitions(spark)), "dim", "block").sortWithinPartitions("dim", "block", "chunk")
-    found = dealt.mapInArrow(stage, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    dealt = both.repartition(max(count * groups, partitions(spark)), "dim", "block", "group").sortWithinPartitions("dim", "block", "group", "chunk")
+    found = dealt.mapInArrow(stage, "query_id long, query_row long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
