@@ -8,7 +8,8 @@ and one for each document, so only these are shuffled, never texts.
 
 Defined results: a null text has no words and is never contaminated; a null item_id is no item; items without words match nothing; items
 that repeat an id count once. Every input row gives its own result row, also where a doc_id repeats. A word is
-hit if any occurrence of an n-gram covers it. `remove_spans` joins the words that stay with the original signs between them.
+hit if any occurrence of an n-gram covers it. `remove_documents` and `remove_spans` judge each row by its own text (rows are told apart by
+128 bits of text hash), whatever its key, null and repeated keys included; `remove_spans` joins the words that stay with the original signs between them.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import fresh
+from .frames import fresh, materialise
 
 WINDOW = 10
 #: Fixed pattern: what separates words, once A-Z are lower case.
@@ -41,7 +42,7 @@ def test_ngrams(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_bytes: int = SET_BYTES) -> DataFrame:
-    """docs: (row, doc_id, text). Per row: n_words, spans array<struct<start,end>> of hit words (0-based, end excluded, sorted), items array<bigint> (distinct, sorted)."""
+    """docs: (row, doc_id, text), where row and doc_id together name a text. Per row: n_words, spans array<struct<start,end>> of hit words (0-based, end excluded, sorted), items array<bigint> (distinct, sorted)."""
     grams = test_ngrams(benchmark, window)
     measured = grams.agg(F.collect_set("size").alias("sizes"), F.coalesce(F.sum(F.octet_length(F.concat_ws(" ", "gram")) + 24 * F.col("size") + 64), F.lit(0)).alias("bytes")).first()
     sizes = sorted(measured.sizes) or [window]  # at most `window` different ones
@@ -86,21 +87,40 @@ def decontamination_digest(docs: DataFrame, benchmark: DataFrame, window: int =
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """docs without the rows whose text holds a test n-gram; columns stay as they are. Rows that share a doc_id go together."""
-    found = hits(_rows(docs.filter(F.col(f"`{key}`").isNotNull()), key, text), benchmark, window).filter(F.size("spans") > 0)
-    of = fresh(docs, "hit_doc")
-    bad = found.select(F.col("doc_id").alias(of)).distinct()
-    return docs.join(bad, F.col(f"`{key}`").cast("long") == F.col(of), "left_anti")
+#: Most contaminated texts whose hashes are broadcast.
+FOUND_ROWS = 200_000
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """docs with the hit words cut out of `text`, each with the signs after it; rows without hits keep their text. Where rows share
-    a doc_id the same word positions go from each of them."""
-    found = hits(_rows(docs.filter(F.col(f"`{key}`").isNotNull()), key, text), benchmark, window).filter(F.size("spans") > 0)
-    of, cut = fresh(docs, "hit_doc"), fresh(docs, "hit_spans")
-    spans = found.groupBy(F.col("doc_id").alias(of)).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias(cut))
-    joined = docs.join(spans, F.col(f"`{key}`").cast("long") == F.col(of), "left")
+def _named(text: Column) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(text), F.xxhash64(F.lit("second"), text)]
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, text: str, window: int) -> tuple[DataFrame, Column]:
+    """The distinct contaminated texts by their hashes, with spans; and the condition that joins them to docs. Names are those that docs doesn't have."""
+    names = [fresh(docs, c) for c in ("hit_text", "hit_again")]
+    keyed = docs.select(*[k.alias(c) for k, c in zip(_named(F.col(f"`{text}`")), ("row", "doc_id"), strict=True)], F.col(f"`{text}`").alias("text"))
+    found = hits(keyed, benchmark, window).filter(F.size("spans") > 0)
+    found = materialise(found.select(F.col("row").alias(names[0]), F.col("doc_id").alias(names[1]), F.col("spans").alias(fresh(docs, "hit_spans"))), "hits")
+    same = [k == F.col(c) for k, c in zip(_named(F.col(f"`{text}`")), names, strict=True)]
+    return found, same[0] & same[1]
+
+
+def _small(found: DataFrame) -> DataFrame:
+    return F.broadcast(found) if found.count() <= FOUND_ROWS else found
+
+
+def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """docs without the rows whose text holds a test n-gram; all columns stay as they are, whatever their names."""
+    found, same = _found(docs, benchmark, text, window)
+    return docs.join(_small(found.drop(fresh(docs, "hit_spans"))), same, "left_anti")
+
+
+def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """docs with the hit words cut out of `text`, each with the signs after it; rows without hits keep their text."""
+    cut = fresh(docs, "hit_spans")
+    found, same = _found(docs, benchmark, text, window)
+    joined = docs.join(found, same, "left")
     body = F.col(f"`{text}`")
     pieces = F.regexp_extract_all(body, F.lit(f"([^{SIGNS}]+[{SIGNS}]*)"), F.lit(1))
     stay = F.filter(F.transform(pieces, lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda x: ~F.exists(F.col(cut), lambda s: (x["i"] >= s["start"]) & (x["i"] < s["end"])))

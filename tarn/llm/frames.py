@@ -50,7 +50,9 @@ def shared_dir(spark: SparkSession) -> str:
     if found:
         return found
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not named:  # one machine, as in tests
         named = os.path.join(tempfile.gettempdir(), "checkpoints")
     spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext.getCheckpointDir() or named

@@ -67,15 +67,23 @@ def test_shuffled_set_gives_the_same(spark):
     assert sorted(map(str, decontaminate.hits(rows, b, set_bytes=0).drop("row").collect())) == sorted(map(str, decontaminate.hits(rows, b).drop("row").collect()))
 
 
-def test_removal(spark):
+def test_removal_judges_each_row_by_its_text(spark):
     docs, items = fixture_rows()
     d, b = frames(spark, docs, items)
-    bad = {r[0] for r in brute(docs, items) if r[5]}
+    dirty = {x[1] for x in docs if brute([x], items)[0][5]}
     left = remove_documents(d, b)
     assert left.columns == d.columns
-    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted((x[0] for x in docs if x[0] not in bad or x[0] is None), key=str)
-    assert remove_spans(d, b).columns == d.columns and remove_spans(d, b).count() == len(docs)
+    assert sorted((tuple(r)[:2] for r in left.collect()), key=str) == sorted((x for x in docs if x[1] not in dirty), key=str)
+    cut = [tuple(r)[:2] for r in remove_spans(d, b).collect()]
+    assert remove_spans(d, b).columns == d.columns and len(cut) == len(docs)
+    assert sorted((x for x in docs if x[1] not in dirty), key=str) == sorted((r for r in cut if r in docs and r[1] not in dirty), key=str)
+    hit = {(x[0], x[1]): (x[0], n[1] - n[2]) for x in docs if x[1] in dirty for n in brute([x], items)}
+    assert sorted(((r[0], len(split(r[1]))) for r in cut if r not in docs), key=str) == sorted((hit[x] for x in docs if x[1] in dirty), key=str)
     b2 = spark.createDataFrame([(1, "Alpha beta gamma")], "item_id long, text string")
-    d2 = spark.createDataFrame([(1, "<x> ALPHA, beta; gamma! éa Keep-this."), (2, "alpha beta"), (3, None)], "doc_id long, text string")
+    d2 = spark.createDataFrame([(1, "<x> ALPHA, beta; gamma! éa Keep-this.", 0), (2, "alpha beta", 1), (3, None, 2)], "doc_id long, text string, hit_text int")
     assert {r.doc_id: r.text for r in remove_spans(d2, b2).collect()} == {1: "<x> éa Keep-this.", 2: "alpha beta", 3: None}
     assert remove_documents(d2.limit(0), b2).count() == 0
+    # A dirty and a clean row share an id; a dirty row has none.
+    mixed = spark.createDataFrame([(None, "alpha beta gamma"), (7, "so Alpha beta gamma it is"), (7, "all clean here"), (None, "clean")], "doc_id long, text string")
+    assert sorted((tuple(r) for r in remove_documents(mixed, b2).collect()), key=str) == [(7, "all clean here"), (None, "clean")]
+    assert sorted((tuple(r) for r in remove_spans(mixed, b2).collect()), key=str) == sorted([(None, ""), (7, "so it is"), (7, "all clean here"), (None, "clean")], key=str)
