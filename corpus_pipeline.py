@@ -43,9 +43,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document that is left."""
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, offsets=False)
-    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """The token ids of every document that is left, its pre-tokens' offsets and numbers of ids, and the digest of what the ids decode to."""
+    found = bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, digest=True)
+    return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "slice_offsets", "slice_tokens", "decoded_sha256")
 
 
 STAGES = [

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import arrow_stage, whole_texts
+from .frames import arrow_stage, fresh, whole_texts
 from .wordhash import slices
 
 LETTER, NUMBER, SPACE, WHITE, OTHER, QUOTE1, QUOTE2 = range(7)
@@ -265,31 +265,36 @@ def encode_digest(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
 
 RESULTS = ("ids", "slice_offsets", "slice_tokens")
+DIGEST = "decoded_sha256"
 
 
-def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", offsets: bool = True) -> DataFrame:
+def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", offsets: bool = True, digest: bool = False) -> DataFrame:
     """docs with ids array<int>, and for each pre-token slice_offsets array<int> (its first byte in the text) and slice_tokens array<int> (its number of ids);
-    without `offsets`, ids alone."""
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULTS])
+    without `offsets`, ids alone. With `digest` also decoded_sha256, of the bytes that the ids decode to: the round trip of every row.
+
+    All columns of docs stay; where one has the name of a result, the result's name gets an underscore more."""
+    results = [*RESULTS[: 3 if offsets else 1], *[DIGEST] * digest]
+    names = [fresh(docs, r) for r in results]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at = docs.columns.index(text)
 
-    results = RESULTS if offsets else RESULTS[:1]
-
     def build(batch, encoded, merger):
-        ids, begins, counts = [], [], []
+        found: dict[str, list] = {r: [] for r in (*RESULTS, DIGEST)}
         for _, got, starts in encoded:
-            ids.append(np.fromiter(chain.from_iterable([g[0] for g in got]), dtype=np.int32))
-            begins.append(starts.astype(np.int32))
-            counts.append(np.fromiter((len(g[0]) for g in got), dtype=np.int32))
-        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.list_(pa.int32())) for x in (ids, begins, counts)[: len(results)])], [*batch.schema.names, *results])
+            ids = np.fromiter(chain.from_iterable([g[0] for g in got]), dtype=np.int32)
+            found["ids"].append(ids)
+            found["slice_offsets"].append(starts.astype(np.int32))
+            found["slice_tokens"].append(np.fromiter((len(g[0]) for g in got), dtype=np.int32))
+            if digest:
+                found[DIGEST].append(hashlib.sha256(merger.decode(ids.tolist())).hexdigest())
+        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[r], pa.string() if r == DIGEST else pa.list_(pa.int32())) for r in results)], [*batch.schema.names, *names])
 
     make = _stage(docs.sparkSession, vocabulary_path, at, build)
-    return arrow_stage(docs, make, ", ".join([fields, *(f"{r} array<int>" for r in results)]))
+    return arrow_stage(docs, make, ", ".join([fields, *(f"`{n}` {'string' if r == DIGEST else 'array<int>'}" for n, r in zip(names, results, strict=True))]))
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids") -> DataFrame:
-    """encoded with decoded binary: the bytes of its ids (null for null)."""
+    """encoded with decoded binary (decoded_ where that name is taken): the bytes of its ids (null for null)."""
     ranks = read_ranks(vocabulary_path)
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
@@ -298,4 +303,4 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids") -> DataFr
         merger = Merger(shared.value)
         return column.map(lambda x: None if x is None else merger.decode(x))
 
-    return encoded.withColumn("decoded", joined(F.col(f"`{ids}`")))
+    return encoded.withColumn(fresh(encoded, "decoded"), joined(F.col(f"`{ids}`")))

@@ -42,7 +42,12 @@ def test_sample_equals_library(spark, known):
 
 def test_round_trip_with_offsets(spark):
     rows = [(1, "It's  a test'll\n do", 5), (2, None, 6), (3, "", 7), (3, "日本 12", 8)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, slice_offsets int")
+    clash = spark.createDataFrame(rows, "doc_id long, text string, slice_offsets int")
+    got = bpe.encode(clash, PATH)
+    assert got.columns == [*clash.columns, "ids", "slice_offsets_", "slice_tokens"] and sorted(r.slice_offsets for r in got.collect()) == [5, 6, 7, 8]
+    docs = clash.drop("slice_offsets")
+    digests = bpe.encode(docs, PATH, digest=True).collect()
+    assert all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for r in digests)
     out = bpe.decode(bpe.encode(docs, PATH), PATH)
     assert bpe.encode(docs.limit(0), PATH).count() == 0
     for r in out.collect():
