@@ -39,6 +39,12 @@ def to_pixel(x: Column, y: Column, transform: Column) -> Column:
     return F.when(rotated, F.raise_error(F.lit("rotated geotransform"))).otherwise(F.struct(((x - transform[0]) / transform[1]).alias("x"), ((y - transform[3]) / transform[5]).alias("y")))
 
 
+def closed_ring(west: Column, south: Column, east: Column, north: Column) -> Column:
+    """A box as a closed five-point polygon literal in SRID 4326."""
+    corners = [F.concat_ws(" ", x, y) for x, y in ((west, south), (east, south), (east, north), (west, north), (west, south))]
+    return F.concat(F.lit("geography'SRID=4326;POLYGON(("), F.concat_ws(",", *corners), F.lit("))'"))
+
+
 def closed_ring_wkt(west: float, south: float, east: float, north: float) -> str:
     """A box as a closed five-point polygon literal in SRID 4326."""
     corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]

@@ -10,9 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarn.model import SchemaError
+
 FLOOR = 1e-12
 INCIDENCE = (29.1, 46.0)
 SPEED = (0.2, 30.0)
+#: What rounding may add to an incidence at the edge.
+MARGIN = 1e-9
 ITERATIONS = 40
 GATE = (3.0, 10.0)
 
@@ -87,9 +91,20 @@ def forward_array(speed: np.ndarray, phi: np.ndarray, incidence: np.ndarray) ->
         return _model(_Arrays, *(np.asarray(a, dtype=np.float64) for a in (speed, phi, incidence)))
 
 
-def inverse_array(sigma0: np.ndarray, incidence: np.ndarray, phi: np.ndarray | float = 45.0, low: float = SPEED[0], high: float = SPEED[1], iterations: int = ITERATIONS) -> np.ndarray:
+def check_domain(incidence: np.ndarray, high: float = SPEED[1]) -> None:
+    """Raise where halving isn't valid: a speed bound over 30 m/s, or a finite incidence outside INCIDENCE."""
+    if high > SPEED[1]:
+        raise SchemaError(f"the inverse is not unique above {SPEED[1]} m/s, asked for {high}")
+    outside = np.isfinite(incidence) & ((incidence < INCIDENCE[0] - MARGIN) | (incidence > INCIDENCE[1] + MARGIN))
+    if outside.any():
+        raise SchemaError(f"incidence {float(incidence[outside][0]):.2f} is outside {INCIDENCE}; clip it, or pass strict=False")
+
+
+def inverse_array(sigma0: np.ndarray, incidence: np.ndarray, phi: np.ndarray | float = 45.0, low: float = SPEED[0], high: float = SPEED[1], iterations: int = ITERATIONS, strict: bool = True) -> np.ndarray:
     """Wind speed by a fixed number of halvings of [low, high]; out-of-range values end at a bound, missing ones stay missing."""
     sigma0, incidence, phi = np.broadcast_arrays(*(np.asarray(a, dtype=np.float64) for a in (sigma0, incidence, phi)))
+    if strict:
+        check_domain(incidence, high)
     lo, hi = np.full(sigma0.shape, low), np.full(sigma0.shape, high)
     for _ in range(iterations):
         middle = 0.5 * (lo + hi)
@@ -98,15 +113,17 @@ def inverse_array(sigma0: np.ndarray, incidence: np.ndarray, phi: np.ndarray | f
     return np.where(np.isnan(sigma0) | np.isnan(incidence) | np.isnan(phi), np.nan, 0.5 * (lo + hi))
 
 
-@F.pandas_udf(T.DoubleType())
-def _inverse(sigma0: pd.Series, incidence: pd.Series, phi: pd.Series) -> pd.Series:
-    return pd.Series(inverse_array(sigma0.to_numpy(float), incidence.to_numpy(float), phi.to_numpy(float)))
+def wind_speed_from_sigma0(sigma0: Column, incidence: Column, phi: Column | float = 45.0, strict: bool = True) -> Column:
+    """The inverse model: an Arrow kernel that halves whole batches at once; null where an input is missing.
+
+    strict: an incidence outside the valid domain fails the query (`domain_violations` lists such rows)."""
 
+    @F.pandas_udf(T.DoubleType())
+    def inverse(sigma0: pd.Series, incidence: pd.Series, phi: pd.Series) -> pd.Series:
+        return pd.Series(inverse_array(sigma0.to_numpy(float), incidence.to_numpy(float), phi.to_numpy(float), strict=strict))
 
-def wind_speed_from_sigma0(sigma0: Column, incidence: Column, phi: Column | float = 45.0) -> Column:
-    """The inverse model: an Arrow kernel that halves whole batches at once; null where an input is missing."""
     phi = phi if isinstance(phi, Column) else F.lit(float(phi))
-    return F.nullif(_inverse(sigma0.cast("double"), incidence.cast("double"), phi.cast("double")), F.lit(float("nan")))
+    return F.nullif(inverse(sigma0.cast("double"), incidence.cast("double"), phi.cast("double")), F.lit(float("nan")))
 
 
 def wind_speed_native(sigma0: Column, incidence: Column, phi: Column | float = 45.0) -> Column:
@@ -124,7 +141,7 @@ def wind_speed_native(sigma0: Column, incidence: Column, phi: Column | float = 4
 
 
 def domain_violations(df: DataFrame, incidence: str, highest_speed: float = SPEED[1]) -> DataFrame:
-    """Rows outside the inverse's valid domain: finite incidence beyond INCIDENCE; all rows if the speed bound exceeds 30."""
+    """Rows on which a strict inversion fails: finite incidence beyond INCIDENCE; all rows if the speed bound exceeds 30."""
     angle = F.col(incidence)
     outside = angle.isNotNull() & ~F.isnan(angle) & ~angle.between(*INCIDENCE)
     return df.filter(outside | F.lit(highest_speed > SPEED[1]))

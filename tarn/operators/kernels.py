@@ -137,13 +137,36 @@ def on_arrays(kernel: Callable[..., np.ndarray], pixels: Column, height: Column
 
     @F.pandas_udf("array<double>")
     def run(values: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
-        out: list = [None] * len(values)
-        shape = pd.DataFrame({"h": h, "w": w})[values.notna()]
-        for (hh, ww), rows in shape.groupby(["h", "w"]).groups.items():
-            stack = np.stack([np.asarray(values.loc[i], dtype=float) for i in rows]).reshape(-1, int(hh), int(ww))
-            for i, r in zip(rows, kernel(stack).reshape(len(rows), -1), strict=True):
-                out[i] = r
-        return pd.Series(out)
+        return _by_shape(lambda stack, rows: kernel(stack), values, h, w)
 
     of = lambda c: c if isinstance(c, Column) else F.lit(c)
     return run(pixels, of(height), of(width))
+
+
+def on_scenes(kernel: Callable[[np.ndarray, np.ndarray], np.ndarray], pixels: Column, incidence: Column, height: Column | int, width: Column | int) -> Column:
+    """The same for kernels that take each pixel's incidence: the scene's own (one value, or one for each pixel), or the ramp where it has none."""
+
+    @F.pandas_udf("array<double>")
+    def run(values: pd.Series, angles: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
+        def with_angles(stack: np.ndarray, rows: pd.Index) -> np.ndarray:
+            own = incidence_ramp(*stack.shape).copy()
+            for k, i in enumerate(rows):
+                if angles.loc[i] is not None:
+                    own[k] = np.asarray(angles.loc[i], dtype=float).reshape(stack.shape[1:] if len(angles.loc[i]) > 1 else (1, 1))
+            return kernel(stack, own)
+
+        return _by_shape(with_angles, values, h, w)
+
+    of = lambda c: c if isinstance(c, Column) else F.lit(c)
+    return run(pixels, incidence, of(height), of(width))
+
+
+def _by_shape(kernel: Callable[[np.ndarray, pd.Index], np.ndarray], values: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
+    """Rows of one size go through the kernel as one stack; null arrays stay null."""
+    out: list = [None] * len(values)
+    shape = pd.DataFrame({"h": h, "w": w})[values.notna()]
+    for (hh, ww), rows in shape.groupby(["h", "w"]).groups.items():
+        stack = np.stack([np.asarray(values.loc[i], dtype=float) for i in rows]).reshape(-1, int(hh), int(ww))
+        for i, r in zip(rows, kernel(stack, rows).reshape(len(rows), -1), strict=True):
+            out[i] = r
+    return pd.Series(out)

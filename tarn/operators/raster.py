@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.functions.physics import INCIDENCE
+from tarn.functions.physics import INCIDENCE, gate, verdict
 from tarn.model import CHANNELS, SchemaError
 from tarn.operators import kernels
-from tarn.operators.kernels import on_arrays
+from tarn.operators.kernels import on_arrays, on_scenes
 
 VV_NAMES = ("vv_db", "vv_render_norm", "vv")
 VH_NAMES = ("vh_db", "vh")
@@ -66,8 +66,14 @@ def local_variance(vv_db: Column, height, width, size: int = 7) -> Column:
     return on_arrays(lambda x: kernels.local_variance_db(x, size), vv_db, height, width)
 
 
-def wind_channel(vv_db: Column, height, width, block: int = 64, phi: float = 45.0) -> Column:
-    return on_arrays(lambda x: kernels.wind_ms(x, None, phi, block), vv_db, height, width)
+def no_incidence() -> Column:
+    return F.lit(None).cast("array<float>")
+
+
+def wind_channel(vv_db: Column, height, width, block: int | None = 64, phi: float = 45.0, incidence: Column | None = None) -> Column:
+    """Wind of the background level at each pixel's incidence (the scene's own, clipped to the valid domain, or the ramp); block None: by the scene's size."""
+    own = no_incidence() if incidence is None else incidence
+    return on_scenes(lambda x, angle: kernels.wind_ms(x, angle, phi, block or kernels.adaptive_block(*x.shape[1:])), vv_db, own, height, width)
 
 
 def distance_to_land(land: Column, height, width, pixel_metres: float = 10.0) -> Column:
@@ -81,10 +87,22 @@ def band(names: Column, bands: Column, wanted: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.try_element_at(by_name, F.lit(n)) for n in wanted])
 
 
-def feature_stack(df: DataFrame, channels: tuple[str, ...] | None = None, vv: str = "vv_db", vh: str | None = None, land: str | None = None, block: int | None = None, phi: float = 45.0, pixel_metres: float = 10.0) -> DataFrame:
+def scene_incidence(incidence: Column, height: Column, width: Column) -> Column:
+    """Each pixel's incidence: the scene's own, or the ramp along its columns."""
+    every = F.sequence(F.lit(0), height * width - 1)
+    ramp = F.transform(every, lambda i: incidence_at(i % width, width))
+    own = F.when(F.size(incidence) == 1, F.transform(every, lambda i: F.get(incidence, F.lit(0)).cast("double"))).otherwise(incidence.cast("array<double>"))
+    return F.when(incidence.isNull(), ramp).otherwise(own)
+
+
+def feature_stack(
+    df: DataFrame, channels: tuple[str, ...] | None = None, vv: str = "vv_db", vh: str | None = None, land: str | None = None, block: int | None = None,
+    phi: float = 45.0, pixel_metres: float = 10.0, incidence: str | None = None, wind: str | None = None,
+) -> DataFrame:
     """df with a column for each requested channel; each is its own expression, so unselected ones are never computed.
 
-    df has height and width. Unknown channels and known ones without their input are different errors."""
+    df has height and width; incidence: the scenes' own, where they have one; wind: a column that already holds that channel. Where an input is null in a row, so is
+    the channel. Unknown channels and known ones without their input are different errors."""
     have = {"vv_db": True, "vh_db": vh is not None, "incidence_deg": True, "wind_ms": True, "damping_db": True, "local_var_db": True, "dist_land_km": land is not None}
     wanted = channels or tuple(c for c in CHANNELS if have[c])
     if unknown := [c for c in wanted if c not in CHANNELS]:
@@ -93,12 +111,12 @@ def feature_stack(df: DataFrame, channels: tuple[str, ...] | None = None, vv: st
         raise SchemaError(f"channels {absent} need inputs that were not given")
     h, w, x = F.col("height"), F.col("width"), F.col(vv)
     size = (lambda s: block) if block else (lambda s: kernels.adaptive_block(*s.shape[1:]))
-    every = F.sequence(F.lit(0), h * w - 1)
+    own = no_incidence() if incidence is None else F.col(incidence)
     made = {
         "vv_db": lambda: x.cast("array<double>"),
         "vh_db": lambda: F.col(vh).cast("array<double>"),
-        "incidence_deg": lambda: F.transform(every, lambda i: incidence_at(i % w, w)),
-        "wind_ms": lambda: on_arrays(lambda s: kernels.wind_ms(s, None, phi, size(s)), x, h, w),
+        "incidence_deg": lambda: F.when(x.isNotNull(), scene_incidence(own, h, w)),
+        "wind_ms": lambda: F.col(wind) if wind else wind_channel(x, h, w, block, phi, own),
         "damping_db": lambda: on_arrays(lambda s: kernels.damping_db(s, size(s)), x, h, w),
         "local_var_db": lambda: local_variance(x, h, w),
         "dist_land_km": lambda: distance_to_land(F.col(land), h, w, pixel_metres),
@@ -106,8 +124,19 @@ def feature_stack(df: DataFrame, channels: tuple[str, ...] | None = None, vv: st
     return df.select(*df.columns, *[made[c]().cast("array<float>").alias(f"ch_{c}") for c in wanted])
 
 
-def scene_violations(scenes: DataFrame) -> DataFrame:
-    """(sample_id, problem) for each broken structural rule of a scene; an empty frame is a valid set."""
+def field_summary(field: Column, phi: float = 45.0) -> list[Column]:
+    """What `physics.wind_summary` says of a scene's winds, from the scene's own array: no exchange, no row for each pixel."""
+    known = F.filter(field, lambda v: v.isNotNull() & ~F.isnan(v))
+    n, ordered = F.size(known), F.array_sort(known)
+    middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
+    inside = F.size(F.filter(known, lambda v: gate(v)))
+    fraction = F.coalesce(F.try_divide(inside.cast("double"), n.cast("double")), F.lit(0.0))
+    out = {"wind_ms_mean": F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, v: a + v), n.cast("double")), "wind_ms_min": F.array_min(known), "wind_ms_max": F.array_max(known), "wind_ms_scene": middle, "wind_fraction_observable": fraction, "observability": verdict(fraction)}
+    return [*[F.when(field.isNotNull(), c).alias(n) for n, c in out.items()], F.when(field.isNotNull(), F.lit(float(phi))).alias("wind_phi_assumed_deg")]
+
+
+def problems() -> Column:
+    """The structural rules that a scene breaks, by name."""
     n = F.col("height") * F.col("width")
     bad = {
         "no pixels": F.coalesce(n, F.lit(0)) <= 0,
@@ -117,5 +146,9 @@ def scene_violations(scenes: DataFrame) -> DataFrame:
         "mask values outside 0..255": F.exists("mask", lambda m: m.isNull() | (m < 0) | (m > 255)),
         "the incidence has another shape": F.col("incidence").isNotNull() & ~F.size("incidence").isin(1) & (F.size("incidence") != n),
     }
-    problems = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in bad.items()]))
-    return scenes.select("sample_id", F.explode(problems).alias("problem"))
+    return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in bad.items()]))
+
+
+def scene_violations(scenes: DataFrame) -> DataFrame:
+    """(sample_id, problem) for each broken structural rule of a scene; an empty frame is a valid set."""
+    return scenes.select("sample_id", F.explode(problems()).alias("problem"))

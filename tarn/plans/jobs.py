@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.functions.physics import wind_summary
-from tarn.model import BuildConfig, SplitConfig, classes, label_map, source_specs
-from tarn.operators import catalogue, kernels, labels, manifest, raster, splits, tiling
+from tarn.model import CHANNELS, CLASS_ID, BuildConfig, SplitConfig, classes, label_map, source_specs
+from tarn.operators import catalogue, labels, manifest, raster, splits, tiling
 from tarn.sources import store
-from tarn.sources.adapters import get_adapter
+from tarn.sources.adapters import first_items, get_adapter
 
 
 def sources(spark: SparkSession) -> DataFrame:
@@ -17,31 +18,43 @@ def sources(spark: SparkSession) -> DataFrame:
 
 
 def prepare_scenes(scenes: DataFrame, config: BuildConfig) -> DataFrame:
-    """Scenes with feature bands and a wind summary. Physics is skipped for uncalibrated scenes or ones without VV; a missing channel is null, so layouts agree."""
-    vv = raster.band(F.col("band_names"), F.col("bands"), raster.VV_NAMES)
+    """Scenes whose bands are the feature stack, with their wind summary: what a row's own pixels give, without an exchange.
+
+    Physics is skipped, and the bands stay as they are, for scenes without VV, uncalibrated ones, broken ones (`problems`) and where the configuration says so
+    (`features_computed` tells). All computed scenes have the same channels: one whose input a scene lacks (VH, land) is null there."""
+    names, bands = F.col("band_names"), F.col("bands")
     calibrated = F.coalesce(F.try_element_at("attrs", F.lit("radiometry")) != "8bit_render_not_calibrated", F.lit(True))
-    usable = calibrated & vv.isNotNull() & F.lit(config.compute_features)
-    rows = scenes.withColumn("_vv", F.when(usable, vv))
-    wind = raster.on_arrays(lambda x: kernels.wind_ms(x, None, config.phi, kernels.adaptive_block(*x.shape[1:])), F.col("_vv"), F.col("height"), F.col("width"))
-    rows = rows.withColumn("_wind", wind)
-    long = rows.filter("_wind is not null").select("source", "sample_id", F.explode("_wind").alias("w"))
-    summary = wind_summary(long, ["source", "sample_id"], "w", config.phi)
-    return rows.drop("_vv", "_wind").join(summary, ["source", "sample_id"], "left")
+    rows = scenes.withColumn("problems", raster.problems())
+    usable = calibrated & (F.size("problems") == 0) & F.lit(config.compute_features)
+    rows = rows.withColumn("_vv", F.when(usable, raster.band(names, bands, raster.VV_NAMES))).withColumn("_vh", F.when(usable, raster.band(names, bands, raster.VH_NAMES)))
+    land = F.transform("mask", lambda m: (m == CLASS_ID["land"]).cast("int"))
+    rows = rows.withColumn("_land", F.when(F.col("_vv").isNotNull() & F.array_contains("mask", CLASS_ID["land"]), land))
+    rows = rows.withColumn("_wind", raster.wind_channel(F.col("_vv"), F.col("height"), F.col("width"), None, config.phi, F.col("incidence")))
+    channels = config.channels or CHANNELS
+    stack = raster.feature_stack(rows, channels, "_vv", "_vh", "_land", None, config.phi, config.pixel_metres, "incidence", "_wind")
+    made = F.col("_vv").isNotNull()
+    stack = stack.select("*", *raster.field_summary(F.col("_wind"), config.phi)).withColumn("features_computed", made)
+    stack = stack.withColumn("band_names", F.when(made, F.array(*map(F.lit, channels))).otherwise(names))
+    stack = stack.withColumn("bands", F.when(made, F.array(*[F.col(f"ch_{c}") for c in channels])).otherwise(bands))
+    return stack.drop("_vv", "_vh", "_land", "_wind", *[f"ch_{c}" for c in channels])
 
 
 def build_source(spark: SparkSession, source: str, root: str, out: str, config: BuildConfig | None = None, limit: int | None = None) -> DataFrame:
-    """Raw files of one source to tiles in the store and manifest rows; limit takes the first scenes by id before any is decoded."""
+    """Raw files of one source to tiles in the store and manifest rows; limit takes the first scenes by id before any is decoded.
+
+    Scenes are decoded, checked and given their features in one pass, whose result is staged beside the store until the tiles are written."""
     config = config or BuildConfig()
     adapter = get_adapter(source)(spark, root)
     items = adapter.discover()
-    scenes = adapter.load(items.limit(limit) if limit else items)
-    labels.raise_if_any(raster.scene_violations(scenes), f"{source}: broken scenes")
-    prepared = prepare_scenes(scenes, config)
-    tiles = tiling.tile_scenes(prepared, config.tile).withColumn("store", F.col("source"))
-    tiles = tiles.withColumn("label_completeness", F.try_element_at("attrs", F.lit("label_completeness")))
-    tiles = manifest.assign_shards(tiles, shard_size=config.shard_size)
-    kept = tiles.select("tile_id", "sample_id", "source", "store", "shard", "shard_index", "row", "col", "kept_as", "label_completeness", "band_names", "tile_bands", "tile_mask", F.col("tile_h").alias("height"), F.col("tile_w").alias("width"), *[c for c in tiles.columns if c.startswith(("n_px_", "wind_", "observ"))], "lon", "lat", "acquired")
-    store.write_store(kept, out, config.shard_size)
+    prepared = prepare_scenes(adapter.load(first_items(items, limit)), config)
+    with store.staged(prepared, out) as scenes:
+        labels.raise_if_any(scenes.filter(F.size("problems") > 0).select("sample_id", F.explode("problems").alias("problem")), f"{source}: broken scenes")
+        labels.raise_if_any(manifest.band_layouts(scenes.withColumn("store", F.col("source"))), "band layouts differ inside a store")
+        tiles = tiling.tile_scenes(scenes, config.tile).withColumn("store", F.col("source"))
+        tiles = tiles.withColumn("label_completeness", F.try_element_at("attrs", F.lit("label_completeness")))
+        tiles = manifest.assign_shards(tiles, shard_size=config.shard_size)
+        kept = tiles.select("tile_id", "sample_id", "source", "store", "shard", "shard_index", "row", "col", "kept_as", "label_completeness", "band_names", "tile_bands", "tile_mask", F.col("tile_h").alias("height"), F.col("tile_w").alias("width"), *[c for c in tiles.columns if c.startswith(("n_px_", "wind_", "observ"))], "lon", "lat", "acquired")
+        store.write_store(kept, out, config.shard_size, checked=True)
     return manifest.tile_records(store.read_tiles(spark, out, source))
 
 
@@ -69,6 +82,14 @@ def stats(spark: SparkSession, manifest_path: str) -> dict[str, DataFrame]:
     return {"summary": manifest.summarise(found), "splits": manifest.split_pivot(found), "integrity": manifest.integrity(found)}
 
 
+def report(frames: dict[str, DataFrame], as_json: bool = False, rows: int = 200) -> str:
+    """The frames of a job as text, a titled table or one JSON object each; `rows` of each at most."""
+    found = {title: frame.limit(rows).toPandas() for title, frame in frames.items()}
+    if as_json:
+        return "{" + ", ".join(f"{json.dumps(title)}: {table.to_json(orient='records')}" for title, table in found.items()) + "}"
+    return "\n\n".join(f"{title}\n{'-' * len(title)}\n{table.to_string(index=False) if len(table) else 'nothing'}" for title, table in found.items())
+
+
 def verify(spark: SparkSession, native: DataFrame, kind: str, limit: int = 50) -> DataFrame:
     """Undeclared native values (source, native), commonest first; scanned before unification."""
     key = labels.index_key(F.col("native")) if kind == "index" else F.col("native").cast("string")
@@ -88,4 +109,4 @@ def search(spark: SparkSession, url: str, query: catalogue.Search, top: int = 20
     return catalogue.summarise_products(found)
 
 
-__all__ = ["build", "build_source", "classes", "disk", "prepare_scenes", "search", "sources", "split", "stats", "verify"]
+__all__ = ["build", "build_source", "classes", "disk", "prepare_scenes", "report", "search", "sources", "split", "stats", "verify"]

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.functions import geometry, hashing, physics
-from tarn.model import SplitConfig, TileSpec, label_map, source_specs
+from tarn.model import BuildConfig, SplitConfig, TileSpec, label_map, source_specs
 from tarn.operators import catalogue, kernels, labels, manifest, raster, splits, tiling
+from tarn.plans import jobs
 from tarn.sources import adapters, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -699,6 +700,133 @@ def disk_estimate(spark, sf):
     return catalogue.disk_estimate(_t(spark, sf, "documents").select(F.col("n_chars").alias("size")))
 
 
+# ---------------------------------------------------------------- guards, look-ups and orders
+@query(f"""SELECT l_returnflag, count(*) AS n, round(avg({V}), 4) AS wind_ms FROM (SELECT *, 28 + l_discount * 200 AS theta FROM lineitem) WHERE theta BETWEEN 29.1 AND 46.0 GROUP BY l_returnflag""")
+def strict_inversion(spark, sf):
+    """The inverse refuses an incidence outside its domain, so it runs on the rows that the guard doesn't list."""
+    rows = _t(spark, sf, "lineitem").withColumn("theta", F.expr("28 + l_discount * 200"))
+    bad = physics.domain_violations(rows, "theta").select("theta").distinct()
+    fine = rows.join(F.broadcast(bad), "theta", "left_anti")  # l_discount has eleven values
+    wind = physics.wind_speed_from_sigma0(physics.cmod5n_forward(F.expr(V), F.expr(PHI), F.col("theta")), F.col("theta"), F.expr(PHI))
+    return fine.withColumn("wind", wind).groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.avg("wind"), 4).alias("wind_ms"))
+
+
+OBJECT = "CASE p_size % 7 WHEN 0 THEN 'Oil Slick' WHEN 1 THEN ' biogenic' WHEN 2 THEN 'Low-Wind' WHEN 3 THEN 'slick ' WHEN 4 THEN 'Rain Cell' WHEN 5 THEN 'whale' END"
+
+
+@query(f"""SELECT p_brand, {OBJECT} AS native, CASE p_size % 7 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 1 WHEN 4 THEN 2 END AS unified, count(*) AS n FROM part GROUP BY ALL""")
+def remap_object(spark, sf):
+    """Object labels of annotations by the table of their source; undeclared and missing ones have no class."""
+    rows = _t(spark, sf, "part").select("p_brand", F.lit("pangaea_emed").alias("source"), F.expr(OBJECT).alias("native"))
+    return labels.remap(rows, "object", labels.normalise_object_label(F.col("native")), label_map(spark)).groupBy("p_brand", "native", "unified").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT source, value, n, CAST(row_number() OVER (ORDER BY n DESC, source, value) AS BIGINT) AS place FROM (SELECT n.source, 'index:' || n.native AS value, count(*) AS n FROM ({NATIVE}) n LEFT JOIN {INDEX_SQL} ON n.source = m.source AND n.native = m.native WHERE unified IS NULL GROUP BY ALL) QUALIFY place <= 50")
+def findings_in_order(spark, sf):
+    """The report of undeclared values, commonest first: `place` is where each row came (a report of at most 50)."""
+    found = jobs.verify(spark, _native(spark, sf), "index").collect()
+    return spark.createDataFrame([(*r, k + 1) for k, r in enumerate(found)], "source string, value string, n long, place long")
+
+
+# Scenes with several layouts and incidences of their own: VV alone, VV and VH, VH alone, not calibrated; no incidence, one for the scene, one for each pixel.
+SCENE_SQL = f"""{PX}, s AS (SELECT *, CAST(CAST({DB} AS FLOAT) AS DOUBLE) AS db, {MASK} AS m, "row" * 8 + col AS i FROM px WHERE vec_id % 4 <> 2 AND vec_id % 8 <> 3),
+g AS (SELECT vec_id, avg(power(10.0, db / 10)) AS bg FROM s GROUP BY vec_id),
+a AS (SELECT s.*, bg, CAST(CASE vec_id % 3 WHEN 0 THEN 29.1 + (46.0 - 29.1) * col / 7 WHEN 1 THEN 30 + vec_id % 10 ELSE 25 + i % 30 END AS DOUBLE) AS own FROM s JOIN g USING (vec_id)),
+th AS (SELECT *, least(greatest(own, 29.1), 46.0) AS theta FROM a),
+w AS ({_speed_sql('th', 'vec_id, "row", col', 'bg', '45.0', 'theta')})"""
+
+
+def _names(*names):
+    return F.array(*map(F.lit, names))
+
+
+def _prepared(spark, sf):
+    k, db = F.col("vec_id"), F.transform("embedding", lambda v: (-15 + 20 * v.cast("double")).cast("float"))
+    vh = F.transform("embedding", lambda v: (-20 + 20 * v.cast("double")).cast("float"))
+    incidence = F.when(k % 3 == 1, F.array((30 + k % 10).cast("float"))).when(k % 3 == 2, F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (25 + i % 30).cast("float")))
+    scenes = _t(spark, sf, "embeddings").select(
+        "vec_id", F.concat(F.lit("s"), "vec_id").alias("sample_id"), F.lit("x").alias("source"), F.lit(8).alias("height"), F.lit(8).alias("width"),
+        F.when(k % 4 == 0, _names("vv_db", "vh_db")).when(k % 4 == 1, _names("vv")).when(k % 4 == 2, _names("vh")).otherwise(_names("vv_render_norm")).alias("band_names"),
+        F.when(k % 4 == 0, F.array(db, vh)).when(k % 4 == 2, F.array(vh)).otherwise(F.array(db)).alias("bands"),
+        F.expr(f"transform(transform(embedding, x -> CAST(x AS DOUBLE)), v -> CAST({MASK} AS SMALLINT))").alias("mask"), incidence.alias("incidence"),
+        F.create_map(F.lit("radiometry"), F.when(k % 8 == 3, "8bit_render_not_calibrated").otherwise("calibrated")).alias("attrs"),
+    )
+    return jobs.prepare_scenes(scenes, BuildConfig())
+
+
+@query(f"""WITH {SCENE_SQL}, f AS (SELECT vec_id, avg(wind) AS mean, min(wind) AS low, max(wind) AS high, median(wind) AS middle, count(*) FILTER (wind BETWEEN 3 AND 10) / 64.0::DOUBLE AS share FROM w GROUP BY vec_id)
+SELECT e.vec_id, f.vec_id IS NOT NULL AS features_computed, CASE WHEN f.vec_id IS NOT NULL THEN 'vv_db,vh_db,incidence_deg,wind_ms,damping_db,local_var_db,dist_land_km' WHEN e.vec_id % 4 = 2 THEN 'vh' ELSE 'vv_render_norm' END AS bands,
+round(mean, 4) AS mean, round(low, 4) AS low, round(high, 4) AS high, round(middle, 4) AS middle, round(share, 6) AS share, CASE WHEN share >= 0.5 THEN 'observable' WHEN share > 0 THEN 'marginal' WHEN share = 0 THEN 'not_observable' END AS verdict
+FROM embeddings e LEFT JOIN f USING (vec_id)""")
+def scene_wind_summary(spark, sf):
+    """Which scenes get features, and the winds of those at their own incidence."""
+    return _prepared(spark, sf).select(
+        "vec_id", "features_computed", F.array_join("band_names", ",").alias("bands"), *[F.round(f"wind_ms_{c}", 4).alias(n) for c, n in (("mean", "mean"), ("min", "low"), ("max", "high"), ("scene", "middle"))],
+        F.round("wind_fraction_observable", 6).alias("share"), F.col("observability").alias("verdict"),
+    )
+
+
+@query(f"""WITH {SCENE_SQL}, b5 AS ({_window_sql('', 2, 2, f'sum({LINEAR}) / 25')}), b7 AS ({_window_sql('', 3, 3, 'greatest(avg((-15 + 20 * q.v) * (-15 + 20 * q.v)) - avg(-15 + 20 * q.v) * avg(-15 + 20 * q.v), 0)')}),
+d AS (SELECT p.vec_id, p."row", p.col, min(sqrt((p."row" - q."row") * (p."row" - q."row") + (p.col - q.col) * (p.col - q.col))) * 0.01 AS km FROM s p JOIN s q ON p.vec_id = q.vec_id AND q.m = 4 GROUP BY ALL),
+c AS (SELECT th.vec_id, 0 AS ch, db AS x FROM th UNION ALL SELECT vec_id, 1, CASE WHEN vec_id % 4 = 0 THEN db - 5 END FROM th UNION ALL SELECT vec_id, 2, own FROM th UNION ALL SELECT vec_id, 3, wind FROM w
+UNION ALL SELECT th.vec_id, 4, 10 * log10(greatest(bg, 1e-12)) - 10 * log10(greatest(b5.v, 1e-12)) FROM th JOIN b5 ON b5.vec_id = th.vec_id AND b5."row" = th."row" AND b5.col = th.col
+UNION ALL SELECT th.vec_id, 5, b7.v FROM th JOIN b7 ON b7.vec_id = th.vec_id AND b7."row" = th."row" AND b7.col = th.col
+UNION ALL SELECT th.vec_id, 6, km FROM th LEFT JOIN d ON d.vec_id = th.vec_id AND d."row" = th."row" AND d.col = th.col)
+SELECT vec_id, CAST(ch AS INTEGER) AS channel, count(x) AS n, round(avg(x), 2) AS mean, round(min(x), 2) AS low, round(max(x), 2) AS high FROM c GROUP BY ALL""")
+def feature_stack_full(spark, sf):
+    """All seven channels of the scenes that get features; a channel without its input is null."""
+    cells = _prepared(spark, sf).filter("features_computed").select("vec_id", F.posexplode("bands").alias("channel", "band")).select("vec_id", "channel", F.explode_outer("band").alias("x"))
+    x = F.col("x").cast("double")
+    return cells.groupBy("vec_id", "channel").agg(F.count("x").alias("n"), F.round(F.avg(x), 2).alias("mean"), F.round(F.min(x), 2).alias("low"), F.round(F.max(x), 2).alias("high"))
+
+
+@query("""SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 3 THEN 1 END AS vv, CASE vec_id % 4 WHEN 0 THEN 3 WHEN 2 THEN 2 END AS vh FROM embeddings""")
+def band_lookup(spark, sf):
+    """Of several names for a band the first present one counts, whatever the bands' order."""
+    k = F.col("vec_id")
+    names = F.when(k % 4 == 0, _names("vv_db", "vv", "vh")).when(k % 4 == 1, _names("other", "vv")).when(k % 4 == 2, _names("vh", "vh_db")).otherwise(_names("vv_render_norm", "vv"))
+    bands = F.when(k % 4 == 0, _names(1, 2, 3)).otherwise(_names(1, 2))
+    rows = _t(spark, sf, "embeddings").select("vec_id", names.alias("names"), bands.alias("bands"))
+    return rows.select("vec_id", raster.band(F.col("names"), F.col("bands"), raster.VV_NAMES).alias("vv"), raster.band(F.col("names"), F.col("bands"), raster.VH_NAMES).alias("vh"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round((l_extendedprice - 100) / 10, 6) AS x, round((l_quantity - 500) / -2.5, 6) AS y FROM lineitem")
+def crs_to_pixel(spark, sf):
+    at = geometry.to_pixel(F.col("l_extendedprice"), F.col("l_quantity"), F.array(*[F.lit(float(v)) for v in (100, 10, 0, 500, 0, -2.5)]))
+    return _t(spark, sf, "lineitem").withColumn("at", at).select("l_orderkey", "l_linenumber", F.round("at.x", 6).alias("x"), F.round("at.y", 6).alias("y"))
+
+
+@query("""SELECT n_nationkey, 'geography''SRID=4326;POLYGON((' || w || ' ' || s || ',' || e || ' ' || s || ',' || e || ' ' || n || ',' || w || ' ' || n || ',' || w || ' ' || s || '))''' AS ring
+FROM (SELECT n_nationkey, n_nationkey + 0.5::DOUBLE AS w, n_regionkey + 0.25::DOUBLE AS s, n_nationkey + 2.5::DOUBLE AS e, n_regionkey + 4.75::DOUBLE AS n FROM nation)""")
+def closed_ring(spark, sf):
+    """A box as the closed five-point ring of a search clause."""
+    k, r = F.col("n_nationkey").cast("double"), F.col("n_regionkey").cast("double")
+    return _t(spark, sf, "nation").select("n_nationkey", geometry.closed_ring(k + 0.5, r + 0.25, k + 2.5, r + 4.75).alias("ring"))
+
+
+@query("""SELECT 's' || vec_id AS sample_id, CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col, vec_id / 4.0::DOUBLE AS lon, CAST(label AS DOUBLE) AS lat, 'day ' || label AS acquired
+FROM embeddings, (SELECT unnest([0, 3]) AS r), (SELECT unnest([0, 3]) AS c)""")
+def tile_metadata(spark, sf):
+    """A scene's metadata on each of its tiles: it rides along, nothing is joined."""
+    day = F.concat(F.lit("day "), F.col("label"))
+    scenes = _t(spark, sf, "embeddings").select(F.concat(F.lit("s"), "vec_id").alias("sample_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), (F.col("vec_id") / 4).alias("lon"), F.col("label").cast("double").alias("lat"), day.alias("acquired"))
+    return tiling.windows(scenes, SMALL).select("sample_id", "row", "col", "lon", "lat", "acquired")
+
+
+@query("SELECT 'error' AS severity, 'oil_fraction outside [0, 1]' AS \"check\", count(*) AS n FROM lineitem WHERE l_quantity > 40 OR l_quantity < 3 HAVING n > 0")
+def oil_fraction_range(spark, sf):
+    """Of a manifest some of whose fractions are impossible, how many."""
+    wrong = F.expr("CASE WHEN l_quantity > 40 THEN 1.5D WHEN l_quantity < 3 THEN -0.5D ELSE l_quantity / 40 END")
+    return manifest.integrity(manifest.build_manifest([_t(spark, sf, "lineitem").select(wrong.alias("oil_fraction"))])).filter("severity = 'error' AND check like 'oil_fraction%'")
+
+
+@query(f"""SELECT sample_id, image, CAST(row_number() OVER (ORDER BY sample_id) AS BIGINT) AS place FROM (SELECT "partition" || '/' || stem AS sample_id, "left" AS image FROM ({_PAIRS})) QUALIFY place <= 12""")
+def first_items(spark, sf):
+    """The first scenes of a discovery, in its order; `place` is where each row came. The limit is the operator's own."""
+    found = adapters.first_items(adapters.paired_items(_pairs(spark, sf)), 12).collect()
+    return spark.createDataFrame([(r.sample_id, r.image, k + 1) for k, r in enumerate(found)], "sample_id string, image string, place long")
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Manifest records, split by scene, summarised by source."""
     return manifest.summarise(splits.assign(_records(spark, sf), SplitConfig())).orderBy("source")

@@ -88,6 +88,16 @@ def pair_by_stem(files: DataFrame, left_dirs: tuple[str, ...], right_dirs: tuple
     return side(left_dirs, "left").join(side(right_dirs, "right"), ["partition", "stem"], "left")
 
 
+def paired_items(pairs: DataFrame) -> DataFrame:
+    """(sample_id, image, mask), sorted by sample_id."""
+    return pairs.select(F.concat_ws("/", "partition", "stem").alias("sample_id"), F.col("left").alias("image"), F.col("right").alias("mask")).orderBy("sample_id")
+
+
+def first_items(items: DataFrame, limit: int | None) -> DataFrame:
+    """The first items of a sorted discovery, before any is decoded."""
+    return items.limit(limit) if limit else items
+
+
 def missing_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter("right is null").select("partition", "stem", "left")
 
@@ -142,7 +152,7 @@ class _Paired(Adapter):
     def discover(self) -> DataFrame:
         pairs = pair_by_stem(self.files(), self.left_dirs, self.right_dirs)
         raise_if_any(missing_pairs(pairs), f"{self.name}: images without a mask")
-        return pairs.select(F.concat_ws("/", "partition", "stem").alias("sample_id"), F.col("left").alias("image"), F.col("right").alias("mask")).orderBy("sample_id")
+        return paired_items(pairs)
 
     def load(self, items: DataFrame) -> DataFrame:
         rows = with_contents(self.spark, items, self.root, ["image", "mask"])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +20,27 @@ def _fs(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where, jvm
 
 
-def write_store(tiles: DataFrame, path: str, shard_size: int = 512) -> None:
-    """Append tiles, one directory for each store; stores with several band layouts are errors."""
-    raise_if_any(band_layouts(tiles), "band layouts differ inside a store")
-    tiles.write.partitionBy("store").option("maxRecordsPerFile", shard_size).mode("append").parquet(path)
+@contextlib.contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """df written once beside what lies at path, for as long as it is used; readers of the path don't see it."""
+    spark = df.sparkSession
+    where = f"{path}/_staged-{uuid.uuid4().hex}"
+    df.write.parquet(where)
+    try:
+        yield spark.read.schema(df.schema).parquet(where)
+    finally:
+        fs, at, _ = _fs(spark, where)
+        fs.delete(at, True)
+
+
+def write_store(tiles: DataFrame, path: str, shard_size: int = 512, checked: bool = False) -> None:
+    """Append tiles, one directory for each store; stores with several band layouts are errors (checked: the caller has looked).
+
+    A shard's tiles go to one task and lie together in one file, in order, so that an address reads one file's row groups."""
+    if not checked:
+        raise_if_any(band_layouts(tiles), "band layouts differ inside a store")
+    dealt = tiles.repartition("store", "shard").sortWithinPartitions("store", "shard", "shard_index")
+    dealt.write.partitionBy("store").option("maxRecordsPerFile", 16 * shard_size).mode("append").parquet(path)
 
 
 def read_tiles(spark: SparkSession, path: str, store: str | None = None, shard: str | None = None, index: int | None = None) -> DataFrame:
@@ -42,27 +61,53 @@ def stores(spark: SparkSession, path: str) -> list[str]:
     return [r.store for r in spark.read.parquet(path).select("store").distinct().orderBy("store").collect()]  # directory names
 
 
+#: The file in a manifest's folder that names the folder of its current rows.
+CURRENT = "_current"
+
+
+def _current(spark: SparkSession, path: str) -> str | None:
+    """The folder of the current rows; None where there is no manifest. A plain folder of Parquet files is its own."""
+    fs, where, jvm = _fs(spark, path)
+    if not fs.exists(where):
+        return None
+    pointer = jvm.org.apache.hadoop.fs.Path(where, CURRENT)
+    if not fs.exists(pointer):
+        return path
+    stream = fs.open(pointer)
+    try:
+        return f"{path}/{stream.readUTF()}"
+    finally:
+        stream.close()
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """With the declared types, whatever types the file has."""
-    raw = spark.read.parquet(path)
+    raw = spark.read.parquet(_current(spark, path) or path)
     have = set(raw.columns)
     return raw.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in MANIFEST])
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """Replace the manifest at path, also by a frame that reads it: written beside it first, then renamed."""
+    """Replace the manifest at path, also by a frame that reads it: rows go to a folder of their own, then a pointer file is replaced in one step.
+
+    A reader finds the old rows or the new ones, and a crash leaves the old ones."""
     spark = manifest.sparkSession
-    staged, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
-    manifest.write.parquet(staged)
+    old, name = _current(spark, path), f"rows-{uuid.uuid4().hex}"
+    manifest.write.parquet(f"{path}/{name}")
     fs, where, jvm = _fs(spark, path)
-    if fs.exists(where):
-        fs.rename(where, jvm.org.apache.hadoop.fs.Path(old))
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), where)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    fresh, pointer = jvm.org.apache.hadoop.fs.Path(where, f"{CURRENT}-{name}"), jvm.org.apache.hadoop.fs.Path(where, CURRENT)
+    stream = fs.create(fresh, True)
+    stream.writeUTF(name)
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri() if where.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(pointer), overwrite)
+    if old and old != path:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
 
 
 def append_source(spark: SparkSession, path: str, new: DataFrame) -> None:
     """Upsert by source."""
-    fs, where, _ = _fs(spark, path)
-    whole = replace_source(read_manifest(spark, path), new) if fs.exists(where) else new
+    whole = replace_source(read_manifest(spark, path), new) if _current(spark, path) else new
     write_manifest(whole.orderBy("tile_id"), path)

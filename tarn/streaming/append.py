@@ -1,30 +1,48 @@
 """Streaming append: new tile records are split as they arrive and upserted by tile_id.
 
 Split assignment is a row-local expression of the group key, so a tile gets the same split in a stream, in a batch, and
-whenever it arrives again. Late repeats inside the watermark are dropped by the state store, others by the upsert.
+whenever it arrives again. A tile that arrives again, however late, replaces its row: each micro-batch rewrites the parts of the
+table that its tiles fall into, and only these.
 """
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarn.model import MANIFEST, SplitConfig
 from tarn.operators.splits import assign
+from tarn.sources.store import staged
 
 
 def manifest_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
     return spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def append_stream(records: DataFrame, out: str, checkpoint: str, config: SplitConfig | None = None) -> StreamingQuery:
-    """Write split-assigned records to a folder of Parquet partitioned by source, each micro-batch once."""
+#: Parts of a source's records: a batch rewrites only those that its tiles fall into.
+PARTS = 64
+
+
+def append_stream(records: DataFrame, out: str, checkpoint: str, config: SplitConfig | None = None, parts: int = PARTS) -> StreamingQuery:
+    """Upsert split-assigned records by tile_id into a folder of Parquet partitioned by source and part; within a batch one row of a tile_id counts."""
     config = config or SplitConfig()
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        # The epoch is the directory, so a batch that is tried again replaces itself.
-        assign(batch.dropDuplicates(["tile_id"]), config).write.mode("overwrite").partitionBy("source").parquet(f"{out}/epoch={epoch}")
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        new = assign(batch.dropDuplicates(["tile_id"]), config).withColumn("part", F.pmod(F.xxhash64("tile_id"), F.lit(parts)).cast("int"))
+        with staged(new, out) as new:
+            touched = F.broadcast(new.select("source", "part").distinct())  # a few sources times `parts`
+            with contextlib.suppress(AnalysisException):  # nothing there yet
+                old = spark.read.schema(new.schema).option("basePath", out).parquet(out)
+                new = new.unionByName(old.join(touched, ["source", "part"], "left_semi").join(new.select("tile_id"), "tile_id", "left_anti").select(new.columns))
+            with staged(new, out) as whole:  # tried again, a batch gives the same parts
+                whole.repartition("source", "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "part").parquet(out)
 
     return records.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarn.functions import physics
+from tarn.model import SchemaError
 
 
 def scalar(v, phi, theta):
@@ -81,3 +82,16 @@ def test_background_wind_is_robust_to_a_slick(spark):
     df = spark.createDataFrame([("a", float(x), 35.0) for x in s] + [("b", -1.0, 35.0), ("b", None, None)], "k string, s double, t double")
     got = {r.k: r.background_wind_ms for r in physics.background_wind(df, ["k"], "s", "t").collect()}
     assert abs(got["a"] - 7) < 0.05 and got["b"] is None
+
+
+def test_strict_inversion_refuses_what_it_cannot_do(spark):
+    good = physics.inverse_array(np.array([0.05]), np.array([35.0]))
+    assert np.allclose(physics.inverse_array(np.array([0.05, 0.05]), np.array([35.0, np.nan]))[0], good)
+    for incidence, high in ((20.0, 30.0), (46.5, 30.0), (35.0, 40.0)):
+        with pytest.raises(SchemaError):
+            physics.inverse_array(np.array([0.05]), np.array([incidence]), high=high)
+        physics.inverse_array(np.array([0.05]), np.array([incidence]), high=high, strict=False)
+    rows = spark.createDataFrame([(0.05, 20.0)], "s double, t double")
+    with pytest.raises(Exception, match="outside"):
+        rows.select(physics.wind_speed_from_sigma0(F.col("s"), F.col("t"))).collect()
+    assert rows.select(physics.wind_speed_from_sigma0(F.col("s"), F.col("t"), strict=False)).count() == 1

@@ -1,4 +1,5 @@
 import json
+import os
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
@@ -6,10 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tarn.model import BuildConfig, SplitConfig, TileSpec
+from tarn.model import CHANNELS, BuildConfig, SchemaError, SplitConfig, TileSpec, label_map, read_sources, source_specs
 from tarn.operators import catalogue
 from tarn.plans import jobs
-from tarn.sources import fetch
+from tarn.sources import fetch, store
 from tarn.sources.adapters import get_adapter, registered
 from tests.test_raster import scene
 
@@ -95,6 +96,39 @@ def test_build_split_stats(spark, tmp_path):
     assert {r["source"] for r in found["summary"].collect()} == {"zenodo_s1", "pangaea_emed"}
     assert found["integrity"].filter("severity = 'error'").count() == 0
     assert [r["source"] for r in jobs.sources(spark).collect()] == ["inhouse", "mklab", "pangaea_emed", "zenodo_s1"]
+    text = jobs.report(found)
+    assert "zenodo_s1" in text and "integrity" in text and json.loads(jobs.report(found, as_json=True))["splits"]
+    # Tiles hold the feature stack, in one layout whatever a scene has, and a shard's tiles lie in one file.
+    tiles = store.read_tiles(spark, out)
+    assert {tuple(r.band_names) for r in tiles.select("band_names").distinct().collect()} == {CHANNELS}
+    files = tiles.select("store", "shard", F.input_file_name().alias("file")).groupBy("store", "shard").agg(F.countDistinct("file").alias("n"))
+    assert {r.n for r in files.collect()} == {1} and not [p for p in os.listdir(out) if p.startswith("_staged")]
+
+
+def test_broken_scenes_stop_a_build(spark, tmp_path):
+    pairs(tmp_path / "z")
+    for p in list((tmp_path / "z").rglob("masks/*.npy"))[:1]:
+        np.save(p, np.zeros((3, 3), dtype=np.uint8))
+    with pytest.raises(Exception, match="broken scenes"):
+        jobs.build(spark, {"zenodo_s1": str(tmp_path / "z")}, str(tmp_path / "t"), str(tmp_path / "m"), BuildConfig(tile=TileSpec(size=32, overlap=0)))
+
+
+def test_registry_of_a_file(tmp_path, spark):
+    text = """
+schema:
+  classes: [{id: 0, name: sea}, {id: 1, name: oil}]
+sources:
+  own: {expresses: [oil], encoding: index_raster, background_policy: ignore, index_map: {0: ignore, 7: oil}, object_class_map: {film: oil}}
+"""
+    path = tmp_path / "r.yaml"
+    path.write_text(text)
+    found = read_sources(path)
+    assert {(r.kind, r.native, r.unified) for r in label_map(spark, found).collect()} == {("index", "0", 255), ("index", "7", 1), ("object", "film", 1)}
+    assert [(r.source, r.expressible_ids, r.background_id) for r in source_specs(spark, found).collect()] == [("own", [1], 255)]
+    for bad in (text.replace("7: oil", "7: unheard"), text.replace("id: 1", "id: 4"), text.replace("expresses: [oil], ", "")):
+        path.write_text(bad)
+        with pytest.raises(SchemaError):
+            read_sources(path)
 
 
 def test_search_clauses(spark):
@@ -168,6 +202,13 @@ def test_streaming_append(spark, tmp_path):
     append_stream(manifest_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     got = {r.tile_id: r.split for r in spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out")).collect()}
     assert got == {r.tile_id: r.split for r in assign(m, SplitConfig()).collect()}
+    # Tiles that arrive again replace their rows, new ones are added, others stay.
+    again = m.limit(5).withColumn("lon", F.lit(9.5)).unionByName(m.limit(2).withColumn("tile_id", F.concat("tile_id", F.lit("x"))))
+    changed = {r.tile_id: r.lon for r in again.collect()}
+    again.write.mode("append").parquet(str(tmp_path / "in"))
+    append_stream(manifest_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    after = spark.read.parquet(str(tmp_path / "out")).select("tile_id", "lon").collect()
+    assert len(after) == len(got) + 2 and {r.tile_id: r.lon for r in after} == {**{r.tile_id: r.lon for r in m.collect()}, **changed}
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type").write.parquet(str(tmp_path / "ev"))
     stream = windowed_counts(spark.readStream.schema("ts timestamp, event_type string").parquet(str(tmp_path / "ev")), "ts", "event_type")
     q = stream.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
