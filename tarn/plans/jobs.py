@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.model import CHANNELS, CLASS_ID, BuildConfig, SplitConfig, classes, label_map, source_specs
+from tarn.model import CHANNELS, CLASS_ID, BuildConfig, SplitConfig, classes, label_map, read_sources, source_specs
 from tarn.operators import catalogue, labels, manifest, raster, splits, tiling
 from tarn.sources import store
 from tarn.sources.adapters import first_items, get_adapter
@@ -44,7 +44,7 @@ def build_source(spark: SparkSession, source: str, root: str, out: str, config:
 
     Scenes are decoded, checked and given their features in one pass, whose result is staged beside the store until the tiles are written."""
     config = config or BuildConfig()
-    adapter = get_adapter(source)(spark, root)
+    adapter = get_adapter(source)(spark, root, read_sources(config.registry) if config.registry else None)
     items = adapter.discover()
     prepared = prepare_scenes(adapter.load(first_items(items, limit)), config)
     with store.staged(prepared, out) as scenes:

@@ -51,8 +51,8 @@ class Adapter:
 
     name = ""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root, self.spec = spark, root, SOURCES[self.name]
+    def __init__(self, spark: SparkSession, root: str, sources: dict | None = None) -> None:
+        self.spark, self.root, self.spec = spark, root, (sources or SOURCES)[self.name]
 
     def files(self) -> DataFrame:
         """(path) of every file under the root; contents aren't read."""
@@ -115,11 +115,14 @@ def _decode(content: bytes, path: str) -> np.ndarray:
 
 
 def with_contents(spark: SparkSession, items: DataFrame, root: str, columns: list[str]) -> DataFrame:
-    """items with the bytes of the files that the given columns name."""
+    """items (one row for each sample_id) with the bytes of the files that the given columns name.
+
+    The root is read once: each file finds its item by the narrow table of paths, and an item's files meet by sample_id."""
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
-    for c in columns:
-        items = items.join(content.select(F.col("path").alias(c), F.col("content").alias(f"{c}_bytes")), c, "left")
-    return items
+    named = F.explode(F.array(*[F.struct(F.lit(c).alias("role"), F.col(c).alias("path")) for c in columns])).alias("of")
+    found = content.join(items.select("sample_id", named).select("sample_id", "of.role", "of.path"), "path")
+    gathered = found.groupBy("sample_id").agg(*[F.first(F.when(F.col("role") == c, F.col("content")), ignorenulls=True).alias(f"{c}_bytes") for c in columns])
+    return items.join(gathered, "sample_id", "left")
 
 
 def _scene(sample: str, source: str, bands: dict[str, np.ndarray], mask: np.ndarray, attrs: dict[str, str]) -> tuple:

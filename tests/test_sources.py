@@ -113,6 +113,20 @@ def test_broken_scenes_stop_a_build(spark, tmp_path):
         jobs.build(spark, {"zenodo_s1": str(tmp_path / "z")}, str(tmp_path / "t"), str(tmp_path / "m"), BuildConfig(tile=TileSpec(size=32, overlap=0)))
 
 
+def test_build_with_a_registry_file(tmp_path, spark):
+    """A label that only the file declares builds with it, and stops the build without it."""
+    objects(tmp_path / "p", label="Bilge-Water")
+    (tmp_path / "r.yaml").write_text("""
+sources:
+  pangaea_emed: {expresses: [sea, oil, look_alike], encoding: vector_objects, background_policy: sea, provisional: false, object_class_map: {bilge_water: oil, biogenic: look_alike}}
+""")
+    tile = TileSpec(size=32, overlap=0, negative_keep_ratio=1.0, min_valid_fraction=0.01)
+    build = lambda name, **more: jobs.build(spark, {"pangaea_emed": str(tmp_path / "p")}, str(tmp_path / name), str(tmp_path / f"{name}_m"), BuildConfig(tile=tile, **more))
+    assert build("with", registry=str(tmp_path / "r.yaml")).filter("n_px_oil > 0").count() > 0
+    with pytest.raises(ValueError, match="undeclared object labels"):
+        build("without")
+
+
 def test_registry_of_a_file(tmp_path, spark):
     text = """
 schema:
