@@ -119,15 +119,42 @@ class Machine:
         return self.bias + x @ self.linear + 0.5 * ((sums * sums).sum(axis=1) - (x * x) @ (self.factors * self.factors).sum(axis=1)), sums
 
 
-def fit(hashed: np.ndarray, statistics: np.ndarray, label: np.ndarray) -> Machine:
+@dataclass
+class Sparse:
+    """Rows of hashed words without their zeros: a batch of rows is written out when it is needed."""
+
+    first: np.ndarray
+    bucket: np.ndarray
+    value: np.ndarray
+
+    @staticmethod
+    def pack(row: np.ndarray) -> bytes:
+        at = np.flatnonzero(row)
+        return at.astype(np.uint16).tobytes() + row[at].astype(np.float16).tobytes()
+
+    @staticmethod
+    def of(packed: list[bytes]) -> Sparse:
+        size = np.array([len(p) // 4 for p in packed], dtype=np.int64)
+        halves = [(p[: len(p) // 2], p[len(p) // 2 :]) for p in packed]
+        return Sparse(np.append(0, np.cumsum(size)), np.frombuffer(b"".join(h[0] for h in halves), np.uint16), np.frombuffer(b"".join(h[1] for h in halves), np.float16))
+
+    def rows(self, at: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(at), BUCKETS), dtype=np.float32)
+        for k, i in enumerate(at.tolist()):
+            here = slice(self.first[i], self.first[i + 1])
+            out[k, self.bucket[here]] = self.value[here]
+        return out
+
+
+def fit(hashed: Sparse, statistics: np.ndarray, label: np.ndarray) -> Machine:
     """Adam on the logistic loss in a fixed order."""
     model = Machine(float(label.mean()) if len(label) else 0.5)
     if not len(label) or label.min() == label.max():
         return model
     model.centre, model.scale = statistics.mean(axis=0), statistics.std(axis=0) + 1e-6
-    x, y = model.inputs(hashed, statistics), label.astype(np.float32)
+    y = label.astype(np.float32)
     rng = np.random.default_rng(0)
-    width = x.shape[1]
+    width = BUCKETS + statistics.shape[1]
     model.linear = np.zeros(width, dtype=np.float32)
     model.factors = (rng.standard_normal((width, RANK)) * 0.02).astype(np.float32)
     model.bias = float(np.log(y.mean() / (1 - y.mean())))
@@ -139,7 +166,7 @@ def fit(hashed: np.ndarray, statistics: np.ndarray, label: np.ndarray) -> Machin
         order = rng.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             at = order[lo : lo + BATCH]
-            b = x[at]
+            b = model.inputs(hashed.rows(at), statistics[at])
             margin, sums = model._margin(b)
             g = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[at]) / len(at)
             slopes = b.T @ g, b.T @ (g[:, None] * sums) - ((b * b).T @ g)[:, None] * model.factors
@@ -153,7 +180,7 @@ def fit(hashed: np.ndarray, statistics: np.ndarray, label: np.ndarray) -> Machin
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, part: Column, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def training_rows(docs: DataFrame, labels: DataFrame, part: Column, sample: int = SAMPLE) -> tuple[Sparse, np.ndarray, np.ndarray]:
     """Features and labels of at most `sample` labelled rows; part: condition on labels' doc_id. docs: (doc_id, text)."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter(part & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     chosen = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -167,17 +194,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, part: Column, sample: int
                 packed = []
                 for _, _, offsets, raw in slices(batch.column(2)):
                     hashed, statistics = features(offsets, raw, family)
-                    packed += [h.astype(np.float16).tobytes() + s.tobytes() for h, s in zip(hashed, statistics, strict=True)]
+                    packed += [s.tobytes() + Sparse.pack(h) for h, s in zip(hashed, statistics, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["doc_id", "quality", "packed"])
 
         return stage
 
     # A doc_id that several rows have gives one training row.
     found = arrow_stage(rows, make, "doc_id long, quality int, packed binary").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("packed").alias("packed"))
-    got = sorted(found.collect(), key=lambda r: r.doc_id)
-    hashed = np.array([np.frombuffer(r.packed, np.float16, BUCKETS) for r in got], dtype=np.float32).reshape(-1, BUCKETS)
-    statistics = np.array([np.frombuffer(r.packed, np.float64, STATISTICS, BUCKETS * 2) for r in got]).reshape(-1, STATISTICS)
-    return hashed, statistics, np.array([r.quality for r in got], dtype=np.int64)
+    got = found.toArrow().sort_by("doc_id")  # at most `sample` rows of some hundred bytes
+    rows = got.column("packed").to_pylist()
+    head = STATISTICS * 8
+    statistics = np.frombuffer(b"".join(r[:head] for r in rows), np.float64).reshape(-1, STATISTICS)
+    return Sparse.of([r[head:] for r in rows]), statistics, got.column("quality").to_numpy().astype(np.int64)
 
 
 def _remainder(key: Column, of: int) -> Column:
