@@ -2,8 +2,8 @@
 
 Items are lower-cased (A-Z) and cut to words; every run of `window` words of an item, or the whole item if it has fewer
 words, is a test n-gram. The n-grams form a hash set that is broadcast while it is small (SET_BYTES, measured before) and
-shuffled otherwise. Documents are scanned once: each position's n-gram is hashed inside code generation, probed, and the
-words themselves are compared on a hit, so hash collisions can't count. What survives the probe is one row for each hit
+shuffled otherwise, with a few numbers for each position of a text. Documents are scanned once: each position's n-gram is hashed inside code generation, probed, and the
+words themselves are compared on a hit, so hash collisions can't count (in the shuffled form 128 bits of hash are). What survives the probe is one row for each hit
 and one for each document, so only these are shuffled, never texts.
 
 Defined results: a null text has no words and is never contaminated; a null item_id is no item; items without words match nothing; items
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import fresh, materialise
+from .frames import fresh, materialise, small
 
 WINDOW = 10
 #: Fixed pattern: what separates words, once A-Z are lower case.
@@ -46,9 +46,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_bytes:
     grams = test_ngrams(benchmark, window)
     measured = grams.agg(F.collect_set("size").alias("sizes"), F.coalesce(F.sum(F.octet_length(F.concat_ws(" ", "gram")) + 24 * F.col("size") + 64), F.lit(0)).alias("bytes")).first()
     sizes = sorted(measured.sizes) or [window]  # at most `window` different ones
+    again = lambda words: F.xxhash64(F.lit("again"), words)
     probe = grams.select(F.col("hash").alias("g_hash"), F.col("size").alias("g_size"), "gram", "items")
-    if measured.bytes <= set_bytes:
-        probe = F.broadcast(probe)
+    # Beyond set_bytes 128 bits of hash stand for the words, so that a position's row is a few numbers.
+    probe = F.broadcast(probe) if measured.bytes <= set_bytes else probe.withColumn("gram", again(F.col("gram")))
     scan = docs.select("row", "doc_id", words(F.col("text")).alias("w")).select("row", "doc_id", "w", F.size("w").alias("n_words"))
     # Position 1 is always there, so that each document leaves a row.
     scan = scan.select("row", "doc_id", "w", "n_words", F.explode(F.sequence(F.lit(1), F.greatest(F.col("n_words"), F.lit(1)))).alias("at"))
@@ -58,10 +59,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, set_bytes:
     else:
         each = F.array(*[F.struct(F.lit(s).alias("size"), F.xxhash64(gram(s)).alias("hash")) for s in sizes])
         scan = scan.select("row", "doc_id", "w", "n_words", "at", F.explode(each).alias("p")).select("row", "doc_id", "w", "n_words", "at", "p.size", "p.hash")
-    if measured.bytes > set_bytes:  # the shuffled form carries the n-gram instead of the whole document
-        scan = scan.withColumn("w", F.slice("w", F.col("at"), F.col("size"))).withColumn("own", F.col("w"))
-    else:
-        scan = scan.withColumn("own", F.slice("w", F.col("at"), F.col("size")))
+    own = F.slice("w", F.col("at"), F.col("size"))
+    scan = scan.withColumn("own", own if measured.bytes <= set_bytes else again(own)).drop("w")
     found = scan.join(probe, (F.col("hash") == F.col("g_hash")) & (F.col("size") == F.col("g_size")) & (F.col("own") == F.col("gram")), "left")
     found = found.filter("g_size is not null or at = 1").select("row", "doc_id", "n_words", F.when(F.col("g_size").isNotNull(), F.struct((F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("size")).alias("end"))).alias("span"), "items")
     gathered = found.groupBy("row", "doc_id").agg(F.max("n_words").cast("long").alias("n_words"), F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
@@ -87,10 +86,6 @@ def decontamination_digest(docs: DataFrame, benchmark: DataFrame, window: int =
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-#: Most contaminated texts whose hashes are broadcast.
-FOUND_ROWS = 200_000
-
-
 def _named(text: Column) -> list[Column]:
     """128 bits that stand for a text."""
     return [F.xxhash64(text), F.xxhash64(F.lit("second"), text)]
@@ -106,14 +101,10 @@ def _found(docs: DataFrame, benchmark: DataFrame, text: str, window: int) -> tup
     return found, same[0] & same[1]
 
 
-def _small(found: DataFrame) -> DataFrame:
-    return F.broadcast(found) if found.count() <= FOUND_ROWS else found
-
-
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """docs without the rows whose text holds a test n-gram; all columns stay as they are, whatever their names."""
     found, same = _found(docs, benchmark, text, window)
-    return docs.join(_small(found.drop(fresh(docs, "hit_spans"))), same, "left_anti")
+    return docs.join(small(found.drop(fresh(docs, "hit_spans"))), same, "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:

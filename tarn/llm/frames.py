@@ -68,6 +68,32 @@ def materialise(df: DataFrame, name: str, *used: Broadcast) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Most rows of two or three numbers that are broadcast: some 12 MB.
+SMALL_ROWS = 200_000
+
+
+def small(narrow: DataFrame) -> DataFrame:
+    """narrow, a materialised frame of a few numbers a row: to be broadcast if it has at most SMALL_ROWS rows, joined by exchange beyond."""
+    return F.broadcast(narrow) if narrow.count() <= SMALL_ROWS else narrow
+
+
+#: A key with more than one in HOT_SHARE of the rows is hot (so there are fewer than HOT_SHARE such keys), and is dealt to SPREAD tasks.
+HOT_SHARE, SPREAD = 1000, 64
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined to facts (one row for each key) on `key`; rows of hot keys are dealt out over SPREAD tasks, and their facts to each of these."""
+    salt, hot = fresh(rows, "salt"), fresh(rows, "hot")
+    least = max(1, rows.count() // HOT_SHARE)
+    found = rows.groupBy(key).count().filter(F.col("count") > least).select(key, F.lit(True).alias(hot))
+    found = F.broadcast(found)  # fewer than HOT_SHARE keys
+    others = [c for c in rows.columns if c != key]
+    dealt = rows.join(found, key, "left").withColumn(salt, F.when(F.col(hot), F.pmod(F.xxhash64(*others), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int")).drop(hot)
+    copies = F.when(F.col(hot), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    table = facts.join(found, key, "left").withColumn(salt, F.explode(copies)).drop(hot)
+    return dealt.join(table, [key, salt], how).drop(salt)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a materialised frame that nothing reads any more."""
     spark = df.sparkSession

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import arrow_stage, discard, fresh, materialise, partitions, whole_texts
+from .frames import arrow_stage, discard, fresh, materialise, partitions, small, spread_join, whole_texts
 from .sketch import SEGMENT_SCHEMA, CountSketch, merged, segments
 from .wordhash import Family, Words, grams, mix, slices, word_hashes
 
@@ -39,7 +39,7 @@ SHINGLE = 5
 THRESHOLD = 75
 FAMILY = 31
 #: Entries that a task gathers before it sends them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 #: Parts of the hash space whose counts bound an overlap (suffix filter).
 PARTS = 512
 ENTRY = np.dtype([("shingle", "<u8"), ("set", "<i8"), ("n", "<i4"), ("at", "<i4")])
@@ -133,11 +133,11 @@ def suffix_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _prefixes(docs: DataFrame, shared: Broadcast, size: int, threshold: int) -> DataFrame:
     """Once for each task and set: (bucket, null, entries), packed prefix entries; and (bucket, set, entries), the set's counts by parts of the hash space.
 
-    shared: the counts of the merged sketch."""
+    shared: the merged sketch."""
     parts = partitions(docs.sparkSession)
 
     def make():
-        family, counts = Family(FAMILY, lower=True), CountSketch(shared.value)
+        family, counts = Family(FAMILY, lower=True), CountSketch(shared.value.counts)
 
         def flush(held: list[np.ndarray]) -> pa.RecordBatch:
             entries = np.concatenate(held)
@@ -272,7 +272,7 @@ def _member_sets(docs: DataFrame, members: DataFrame, size: int, name: str) -> D
     shared = docs.sparkSession.sparkContext.broadcast(merged(CountSketch, members.select("set", "low").mapInArrow(mark, SEGMENT_SCHEMA)))
 
     def make():
-        family, wanted, seen = Family(FAMILY, lower=True), CountSketch(shared.value), set()
+        family, wanted, seen = Family(FAMILY, lower=True), CountSketch(shared.value.counts), set()
 
         def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -517,8 +517,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: int = TH
     of, label, sets = linked_sets(_keyed(docs), size, threshold, F.col("doc_id").isNotNull())
     low = of.filter("doc_id is not null and n > 0").groupBy("set").agg(F.min("doc_id").alias("low")).join(label, "set")
     least = low.groupBy("label").agg(F.min("low").alias("component"))
-    named = low.join(least, "label").join(_degrees(sets, label, threshold), "set", "left").select("set", "component", "n_links")
-    out = of.join(named, "set", "left")
+    named = spread_join(low, least, "label").join(_degrees(sets, label, threshold), "set", "left").select("set", "component", "n_links")
+    out = spread_join(of, materialise(named, "components"), "set", "left")
     here = F.col("doc_id").isNotNull()
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.when(here, F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"), F.when(here, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
 
@@ -530,17 +530,18 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     where no row of their component has a doc_id; rows that repeat a doc_id are judged each by their own text, and of several of one component one
     stays; an empty table gives an empty result; columns may have any names."""
     of, label, _ = linked_sets(_keyed(docs, key, text), size, threshold)
-    rows = of.filter("n > 0").groupBy("set", "doc_id", "copy").agg(F.count("*").alias("times")).join(label, "set")
+    rows = of.filter("n > 0").groupBy("set", "doc_id", "copy").agg(F.count("*").alias("times"))
+    rows = materialise(spread_join(rows, label, "set"), "rows")
     # The least of each component: a doc_id before none, then by doc_id and text.
     least = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("least"))
-    judged = rows.join(least, "label").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("copy") == F.col("least.copy")))
+    judged = spread_join(rows, least, "label").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("copy") == F.col("least.copy")))
     judged = materialise(judged.filter("not stays or times > 1").select(F.col("doc_id").alias("gone_doc"), F.col("copy").alias("gone_copy"), "stays"), "gone")
-    out = docs.join(_renamed(judged, docs), _same(docs, key, text), "left_anti")
+    out = docs.join(small(_renamed(judged, docs)), _same(docs, key, text), "left_anti")
     again = judged.filter("stays")
     if not again.isEmpty():  # rows with one doc_id and one text: one of them stays
         number = fresh(docs, "number")
         window = Window.partitionBy(F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))).orderBy(F.lit(0))
-        twice = docs.join(_renamed(again, docs), _same(docs, key, text), "left_semi").withColumn(number, F.row_number().over(window))
+        twice = docs.join(small(_renamed(again, docs)), _same(docs, key, text), "left_semi").withColumn(number, F.row_number().over(window))
         out = out.unionByName(twice.filter(F.col(number) == 1).drop(number))
     return out
 

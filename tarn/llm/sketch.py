@@ -1,8 +1,8 @@
 """Count-min sketches of fixed size: filled in each task, merged across partitions in segments, never losing a count.
 
 The size is a constant, whatever the input. On more data the estimates get looser (more keys look frequent), which costs
-later stages time and never correctness. Segments are merged while they stream through a task, so merging needs the memory
-of one sketch however many partitions send theirs.
+later stages time and never correctness. Segments are merged while they stream through a task, in two levels, so merging needs the
+memory of one sketch however many partitions send theirs, and more partitions are merged by more tasks.
 
 Two forms: CountSketch counts to 2**31, TwiceSketch to 2 (two bit planes: seen, seen again).
 """
@@ -15,6 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .frames import partitions
 
 SEGMENTS = 16
 SEGMENT_SCHEMA = "segment int, cells binary"
@@ -103,8 +106,30 @@ def _row(k: int, part: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["segment", "cells"])
 
 
-def merged(kind: type, found: DataFrame) -> np.ndarray:
-    """The merged sketch (a fixed size) on the driver; its segments are merged on the executors as they stream by."""
+class Merged:
+    """A merged sketch as compressed segments: what the driver collects and broadcasts. `counts` unpacks it, once in each worker process."""
+
+    def __init__(self, kind: type, parts: dict[int, bytes]) -> None:
+        self.kind, self.parts, self._counts = kind, parts, None
+
+    def __getstate__(self) -> tuple:
+        return self.kind, self.parts
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    @property
+    def counts(self) -> np.ndarray:
+        if self._counts is None:
+            out = np.zeros(self.kind.SHAPE, dtype=self.kind.KIND).reshape(SEGMENTS, -1)
+            for k, raw in self.parts.items():
+                out[k] = np.frombuffer(zlib.decompress(raw), dtype=self.kind.KIND)
+            self._counts, self.parts = out.reshape(self.kind.SHAPE), {}
+        return self._counts
+
+
+def merged(kind: type, found: DataFrame) -> Merged:
+    """The merged sketch, of fixed size. Segments are merged as they stream by: first those of some input partitions together, then of all."""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -115,7 +140,8 @@ def merged(kind: type, found: DataFrame) -> np.ndarray:
         for k, part in total.items():
             yield _row(k, part)
 
-    counts = np.zeros(kind.SHAPE, dtype=kind.KIND).reshape(SEGMENTS, -1)
-    for row in found.repartition(SEGMENTS, "segment").mapInArrow(stage, SEGMENT_SCHEMA).collect():
-        counts[row.segment] = np.frombuffer(zlib.decompress(row.cells), dtype=kind.KIND)
-    return counts.reshape(kind.SHAPE)
+    parts = partitions(found.sparkSession)
+    if parts > 2 * SEGMENTS:
+        group = F.pmod(F.spark_partition_id(), F.lit(parts // SEGMENTS))
+        found = found.repartition(parts, "segment", group).mapInArrow(stage, SEGMENT_SCHEMA)
+    return Merged(kind, {row.segment: bytes(row.cells) for row in found.repartition(SEGMENTS, "segment").mapInArrow(stage, SEGMENT_SCHEMA).collect()})

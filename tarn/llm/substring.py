@@ -29,14 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import arrow_stage, fresh, partitions, whole_texts
-from .sketch import SEGMENT_SCHEMA, TwiceSketch, merged, segments
+from .sketch import SEGMENT_SCHEMA, Merged, TwiceSketch, merged, segments
 from .wordhash import Family, Words, grams, slices, word_hashes
 
 WINDOW = 50
 GRAM = 8
 FAMILIES = (11, 12)
 #: Entries that a task gathers before it sends them on.
-FLUSH_WINDOWS = 3_000_000
+FLUSH_WINDOWS = 1_000_000
 FOUND_SCHEMA = "bucket int, kind int, runs binary"
 RUN = np.dtype([("doc", "<i8"), ("start", "<i4"), ("end", "<i4")])
 HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])
@@ -73,7 +73,7 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(differs)
 
 
-def repeated_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
+def repeated_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Merged:
     """The merged sketch of the anchors of all documents."""
 
     def make():
@@ -141,7 +141,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
 
     def make():
         families = [Family(s, lower=False) for s in FAMILIES]
-        twice = TwiceSketch(sketch.value)
+        twice = TwiceSketch(sketch.value.counts)
 
         def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
             doc, start, anchor, whole = (np.concatenate(x) for x in zip(*held, strict=True))
