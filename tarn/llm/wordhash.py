@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time; a longer single text is hashed alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
