@@ -72,8 +72,10 @@ i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b
 l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
 e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
-c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
-SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a),
+h AS (SELECT doc_id, md5(string_agg(g, '' ORDER BY g)) AS digest FROM s GROUP BY doc_id),
+k AS (SELECT e.a AS doc_id, count(DISTINCT y.digest) AS n_links FROM e JOIN h x ON x.doc_id = e.a JOIN h y ON y.doc_id = e.b WHERE x.digest <> y.digest GROUP BY e.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
 """,
     "op4_substring_dedup": r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
