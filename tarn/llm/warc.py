@@ -6,8 +6,8 @@ has to hold a record of its own size beside the input. The rows of one record, i
 of an archive one after another are a WARC file (`export_archive`, `parse_file`).
 
 Among records whose payloads are equal and at least REVISIT_BYTES long, the one with the largest page_id is the response and the others are
-revisits without payload that refer to it by its record id, which is made of page and payload digest. Which they are is settled on narrow rows (digest, length, id); texts are moved once, by
-page, so copies of one payload spread evenly.
+revisits without payload that refer to it by its record id, which is made of page and payload digest. Which they are is settled on narrow rows (digest, length, id). While there are
+few of them they are broadcast and texts stay where they are; beyond, texts are moved once, by page, so copies of one payload spread evenly.
 
 Defined results: a null html is an empty payload; a null url has no target line, and line breaks and control signs in a url are percent-encoded; rows that repeat page_id and payload
 are separate records with the same outcome and the same record id; a null page_id is a record of its own, never a referred-to one, and a revisit if a page has its payload; other columns are ignored;
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import arrow_stage, materialise, partitions
+from .frames import arrow_stage, materialise, partitions, small
 
 CHUNK = 1 << 20
 REVISIT_BYTES = 1000
@@ -76,8 +76,8 @@ def revisits(rows: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 def write_records(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", chunk: int = CHUNK, archives: int = ARCHIVES) -> DataFrame:
     """The chunked record table of all pages."""
     rows = _keyed(pages, page, url, html)
-    marks = revisits(rows).select(F.col("page").alias("of_page"), F.col("sum").alias("of_sum"), "refers_to")
-    marked = rows.join(marks, F.col("page").eqNullSafe(F.col("of_page")) & (F.col("sum") == F.col("of_sum")), "left")
+    marks = materialise(revisits(rows).select(F.col("page").alias("of_page"), F.col("sum").alias("of_sum"), "refers_to"), "revisits")
+    marked = rows.join(small(marks), F.col("page").eqNullSafe(F.col("of_page")) & (F.col("sum") == F.col("of_sum")), "left")
     marked = marked.select("record", "page", "url", "size", "sum", "refers_to", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"))
 
     def make():
