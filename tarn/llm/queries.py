@@ -12,7 +12,10 @@ from .frames import table
 from .html import extract_text
 from .jaccard import jaccard_components
 from .licences import licence_scan
+from .linededup import line_dedup_digest
+from .merkle import manifest_proofs
 from .quality import quality_scores
+from .resample import resampling_digest
 from .substring import substring_digest
 from .suffixtree import suffix_tree_scores
 from .warc import round_trip
@@ -62,7 +65,35 @@ def op10_decontamination(spark, sf_dir):
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op5_suffix_tree_scoring, op6_warc, op7_quality_classifier, op8_topk_bitsliced, op9_licence_scan, op10_decontamination)}
+def op11_line_dedup(spark, sf_dir):
+    return line_dedup_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    return manifest_proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark, sf_dir):
+    return resampling_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_ALL = (
+    op1_byte_bpe, op2_html_extraction, op3_ngram_jaccard_join, op4_substring_dedup, op5_suffix_tree_scoring, op6_warc, op7_quality_classifier,
+    op8_topk_bitsliced, op9_licence_scan, op10_decontamination, op11_line_dedup, op12_merkle_manifest, op13_importance_resampling,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+#: CRC-32 in SQL: its table of 256 entries by rule, and the byte values of a string's UTF-8 form.
+_CRC_TABLE = "(SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS tab)"
+
+
+def _crc(bytes_sql: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bytes_sql}), lambda c, b: xor(tab[xor(c, b) % 256 + 1], c >> 8)), 4294967295)"
+
+
+def _bytes(text: str) -> str:
+    return f"list_transform(range(strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+
+
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard_join": r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -115,5 +146,57 @@ i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
+""",
+    "op11_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT r, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM d),
+k AS (SELECT r, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+s AS (SELECT r, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '') AS kept, count(*) AS n, count(c.key) AS gone FROM k LEFT JOIN c ON k.key = c.key GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_lines, CAST(gone AS BIGINT) AS n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN s USING (r)
+""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE crc AS {_CRC_TABLE},
+low AS (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents),
+f AS (SELECT doc_id, lang, lowered, text,
+             concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head FROM low),
+v AS (SELECT doc_id, coalesce('1' || lang, '0') AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             CASE WHEN {_crc(_bytes("CAST(doc_id AS VARCHAR)"))} % 3 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS changed FROM f, crc),
+l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM v),
+a AS (SELECT tree, 0 AS lvl, pos, leaf AS d, count(*) OVER (PARTITION BY tree) AS n FROM l
+      UNION ALL SELECT tree, min(lvl) + 1, pos // 8, sha256(string_agg(d, '' ORDER BY pos)), (min(n) + 7) // 8 FROM a WHERE n > 1 GROUP BY tree, pos // 8),
+nodes AS MATERIALIZED (SELECT * FROM a),
+sub AS MATERIALIZED (SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS pos, d FROM nodes WHERE n = 1),
+b AS (SELECT 0 AS lvl, pos, d, count(*) OVER () AS n FROM sub
+      UNION ALL SELECT min(lvl) + 1, pos // 8, sha256(string_agg(d, '' ORDER BY pos)), (min(n) + 7) // 8 FROM b WHERE n > 1 GROUP BY pos // 8),
+upper AS MATERIALIZED (SELECT * FROM b),
+runs AS MATERIALIZED (SELECT tree, lvl, pos, tree AS up, lvl + 1 AS up_lvl, pos // 8 AS up_pos, true AS hashed,
+       coalesce(string_agg(d, '') OVER (PARTITION BY tree, lvl, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+       coalesce(string_agg(d, '') OVER (PARTITION BY tree, lvl, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+       FROM (SELECT tree, lvl, pos, d FROM nodes WHERE n > 1 UNION ALL SELECT '' AS tree, lvl, pos, d FROM upper WHERE n > 1)
+       UNION ALL SELECT tree, lvl, nodes.pos, '', 0, sub.pos, false, '', '' FROM nodes JOIN sub USING (tree) WHERE n = 1),
+p AS (SELECT tree AS own, pos AS place, tree, 0 AS lvl, pos, coalesce(changed, leaf) AS cur, '' AS proof FROM l
+      UNION ALL SELECT p.own, p.place, up, up_lvl, up_pos, CASE WHEN hashed THEN sha256(lft || cur || rgt) ELSE cur END, proof || lft || rgt FROM p JOIN runs ON p.tree = runs.tree AND p.lvl = runs.lvl AND p.pos = runs.pos),
+e AS (SELECT own, place, cur, proof FROM p JOIN upper ON p.tree = '' AND upper.n = 1 AND upper.lvl = p.lvl AND upper.pos = p.pos)
+SELECT doc_id, leaf, sub.d AS subroot, (SELECT d FROM upper WHERE n = 1) AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = (SELECT d FROM upper WHERE n = 1) AS verified
+FROM l JOIN e ON l.tree = e.own AND l.pos = e.place JOIN sub ON sub.tree = l.tree
+""",
+    "op13_importance_resampling": rf"""
+WITH crc AS {_CRC_TABLE},
+t AS (SELECT 0 AS kind, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark),
+w AS MATERIALIZED (SELECT kind, r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM t),
+f AS MATERIALIZED (SELECT kind, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM w),
+h AS MATERIALIZED (SELECT g, {_crc(_bytes("g"))} % 10000 AS bucket FROM (SELECT DISTINCT g FROM f), crc),
+c AS MATERIALIZED (SELECT kind, r, bucket, count(*) AS n FROM f JOIN h USING (g) GROUP BY ALL),
+m AS (SELECT b.bucket, CAST(coalesce(sum(n) FILTER (WHERE kind = 0), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (WHERE kind = 1), 0) AS DOUBLE) AS t FROM (SELECT unnest(range(10000)) AS bucket) b LEFT JOIN c ON b.bucket = c.bucket GROUP BY b.bucket),
+o AS (SELECT sum(s) AS ss, sum(t) AS tt FROM m),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000)))) AS BIGINT) AS gain FROM m, o),
+u AS (SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS total FROM c JOIN gain USING (bucket) WHERE kind = 0 GROUP BY r),
+z AS (SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, CASE WHEN n_features > 0 THEN (total - ((total % n_features) + n_features) % n_features) // n_features ELSE 0 END AS weight,
+             CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h FROM w LEFT JOIN u ON w.r = u.r WHERE kind = 0),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM z),
+k AS (SELECT *, n_words >= 20 AND score IS NOT NULL AS enough FROM y),
+q AS (SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id, n_features) AS place, count(*) OVER (PARTITION BY enough) AS n FROM k)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score, CASE WHEN enough AND place <= 25 * n // 100 THEN CAST(place AS BIGINT) END AS rank FROM q
 """,
 }
