@@ -54,10 +54,10 @@ def leaf(*fields: Column) -> Column:
 class Block:
     """The nodes of one aligned block, bottom up; its top is the last level's only node."""
 
-    def __init__(self, leaves: list[str], whole: bool) -> None:
-        """whole: the block is all of its tree, and ends where one node is left; others have HEIGHT levels above the leaves."""
+    def __init__(self, leaves: list[str], whole: bool, height: int) -> None:
+        """whole: the block is all of its tree, and ends where one node is left; others have `height` levels above the leaves."""
         self.levels = [leaves]
-        while len(self.levels[-1]) > 1 if whole else len(self.levels) <= HEIGHT:
+        while len(self.levels[-1]) > 1 if whole else len(self.levels) <= height:
             below = self.levels[-1]
             self.levels.append([digest(*below[at : at + ARITY]) for at in range(0, len(below), ARITY)])
 
@@ -80,47 +80,47 @@ class Block:
         return copied
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.expr(f"pos div {ARITY**HEIGHT}"))
+def _blocks(nodes: DataFrame, height: int) -> DataFrame:
+    return nodes.withColumn("block", F.expr(f"pos div {ARITY**height}"))
 
 
-def _block(rows: pa.Table) -> tuple[pa.Table, Block]:
+def _block(rows: pa.Table, height: int) -> tuple[pa.Table, Block]:
     rows = rows.sort_by("pos")
-    return rows, Block(rows.column("digest").to_pylist(), rows.column("n")[0].as_py() <= ARITY**HEIGHT)
+    return rows, Block(rows.column("digest").to_pylist(), rows.column("n")[0].as_py() <= ARITY**height, height)
 
 
-def _tops(nodes: DataFrame) -> DataFrame:
+def _tops(nodes: DataFrame, height: int) -> DataFrame:
     """The next layer: one node for each block of nodes (tree, pos, n, digest)."""
 
     def top(rows: pa.Table) -> pa.Table:
-        rows, block = _block(rows)
-        return pa.table({"tree": rows.column("tree")[:1], "pos": rows.column("block")[:1], "n": [-(-rows.column("n")[0].as_py() // ARITY**HEIGHT)], "digest": [block.top]})
+        rows, block = _block(rows, height)
+        return pa.table({"tree": rows.column("tree")[:1], "pos": rows.column("block")[:1], "n": [-(-rows.column("n")[0].as_py() // ARITY**height)], "digest": [block.top]})
 
-    narrow = _blocks(nodes.select("tree", "pos", "n", "digest"))
+    narrow = _blocks(nodes.select("tree", "pos", "n", "digest"), height)
     return narrow.groupBy("tree", "block").applyInArrow(top, "tree string, pos long, n long, digest string")
 
 
-def _layers(nodes: DataFrame) -> list[DataFrame]:
-    """nodes and the layers above them, each 4096 times smaller, until every tree has one node."""
+def _layers(nodes: DataFrame, height: int) -> list[DataFrame]:
+    """nodes and the layers above them, each ARITY ** height times smaller, until every tree has one node."""
     out, tall = [nodes], (nodes.agg(F.max("n")).first()[0] or 0)
     while True:
-        out.append(materialise(_tops(out[-1].filter("n > 1") if len(out) > 1 else out[-1]), "layer"))
-        tall = -(-tall // ARITY**HEIGHT)
+        out.append(materialise(_tops(out[-1].filter("n > 1") if len(out) > 1 else out[-1], height), "layer"))
+        tall = -(-tall // ARITY**height)
         if tall <= 1:
             return out
 
 
-def _descend(nodes: DataFrame, above: DataFrame) -> DataFrame:
+def _descend(nodes: DataFrame, above: DataFrame, height: int) -> DataFrame:
     """The path of each node of a layer, given (tree, block, subroot, root, path) of its blocks."""
 
     def paths(rows: pa.Table, up: pa.Table) -> pa.Table:
-        rows, block = _block(rows)
+        rows, block = _block(rows, height)
         upper = up.column("path")[0].as_py()
         found = [[{"left": a, "right": b} for a, b in block.siblings(i)] + upper for i in range(len(rows))]
         whole = lambda name: pa.array(up.column(name).to_pylist() * len(rows), pa.string())
         return pa.table({"tree": rows.column("tree"), "block": rows.column("pos"), "subroot": whole("subroot"), "root": whole("root"), "path": pa.array(found, _PATH_TYPE)})
 
-    return _blocks(nodes).groupBy("tree", "block").cogroup(above.groupBy("tree", "block")).applyInArrow(paths, f"tree string, block long, subroot string, root string, path {_PATH}")
+    return _blocks(nodes, height).groupBy("tree", "block").cogroup(above.groupBy("tree", "block")).applyInArrow(paths, f"tree string, block long, subroot string, root string, path {_PATH}")
 
 
 class Tree:
@@ -130,17 +130,18 @@ class Tree:
     changed (the tampered leaf or null). above: for each block of leaves its subroot, the root and the siblings above it.
     """
 
-    def __init__(self, leaves: DataFrame, above: DataFrame) -> None:
-        self.leaves, self.above = leaves, above
+    def __init__(self, leaves: DataFrame, above: DataFrame, height: int) -> None:
+        self.leaves, self.above, self.height = leaves, above, height
 
     def _each(self, make, schema: str) -> DataFrame:
-        return _blocks(self.leaves).groupBy("tree", "block").cogroup(self.above.groupBy("tree", "block")).applyInArrow(make, schema)
+        return _blocks(self.leaves, self.height).groupBy("tree", "block").cogroup(self.above.groupBy("tree", "block")).applyInArrow(make, schema)
 
     def proofs(self) -> DataFrame:
         """Per leaf: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
+        height = self.height
 
         def prove(rows: pa.Table, up: pa.Table) -> pa.Table:
-            rows, block = _block(rows)
+            rows, block = _block(rows, height)
             subroot, root, upper = (up.column(c)[0].as_py() for c in ("subroot", "root", "path"))
             above = "".join(x["left"] + x["right"] for x in upper)
             leaves, proof, folded = block.levels[0], [], []
@@ -158,9 +159,10 @@ class Tree:
 
     def versions(self) -> DataFrame:
         """The copied nodes of every tampered leaf's version, bottom up: doc_id, group, pos (of the leaf), level (0 the leaf), digest."""
+        height = self.height
 
         def copy(rows: pa.Table, up: pa.Table) -> pa.Table:
-            rows, block = _block(rows)
+            rows, block = _block(rows, height)
             out: dict[str, list] = {"doc_id": [], "group": [], "pos": [], "level": [], "digest": []}
             group = rows.column("tree")[0].as_py()
             group = group[1:] if group[0] == "1" else None
@@ -178,33 +180,33 @@ class Tree:
         return self._each(copy, "doc_id long, group string, pos long, level int, digest string")
 
 
-def build_tree(docs: DataFrame, tampered: Column, changed: Column, key: str = "doc_id", group: str = "lang", fields: tuple[str, ...] = FIELDS) -> Tree:
-    """The tree of docs; where `tampered` holds, `changed` is the tampered leaf's digest."""
+def build_tree(docs: DataFrame, tampered: Column, changed: Column, key: str = "doc_id", group: str = "lang", fields: tuple[str, ...] = FIELDS, height: int = HEIGHT) -> Tree:
+    """The tree of docs, in blocks of `height` levels; where `tampered` holds, `changed` is the tampered leaf's digest."""
     own = leaf(*[F.col(f"`{c}`") for c in fields])
     tree = F.coalesce(F.concat(F.lit("1"), F.col(f"`{group}`").cast("string")), F.lit("0"))
     rows = docs.select(tree.alias("tree"), F.col(f"`{key}`").cast("long").alias("doc_id"), own.alias("digest"), F.when(tampered, changed).alias("changed"))
     rows = materialise(rows.withColumn("salt", F.monotonically_increasing_id()), "leaves")
     leaves = ranked(rows, "tree", [F.col("doc_id"), F.col("digest"), F.col("salt")])
     discard(rows)
-    lower = _layers(leaves)
+    lower = _layers(leaves, height)
     ended = [layer.filter("n = 1").select("tree", "digest", F.lit(k).alias("layer")) for k, layer in enumerate(lower) if k]
     subroots = reduce(DataFrame.unionByName, ended).select(F.lit("").alias("all"), "tree", "digest", "layer")
     subroots = ranked(materialise(subroots, "subroots"), "all", [F.col("tree")])
-    upper = _layers(subroots.select(F.col("all").alias("tree"), "pos", "n", "digest"))
+    upper = _layers(subroots.select(F.col("all").alias("tree"), "pos", "n", "digest"), height)
     known = upper[-1].select("tree", F.col("pos").alias("block"), F.lit("").alias("subroot"), F.col("digest").alias("root"), F.array().cast(_PATH).alias("path"))
     for nodes in reversed(upper[:-1]):
-        known = _descend(nodes, known)
+        known = _descend(nodes, known, height)
     named = subroots.select(F.col("tree").alias("group"), F.col("pos").alias("block"), F.col("digest").alias("own"), "layer")
     tops = materialise(known.drop("tree", "subroot").join(named, "block").select(F.col("group").alias("tree"), "layer", F.col("own").alias("subroot"), "root", "path"), "tops")
     known = None
     for k in range(len(lower) - 1, 0, -1):
         here = tops.filter(F.col("layer") == k).select("tree", F.lit(0).cast("long").alias("block"), "subroot", "root", "path")
-        known = here if known is None else here.unionByName(_descend(lower[k].filter("n > 1"), known))
-    return Tree(leaves, materialise(known, "above"))
+        known = here if known is None else here.unionByName(_descend(lower[k].filter("n > 1"), known, height))
+    return Tree(leaves, materialise(known, "above"), height)
 
 
-def manifest_proofs(docs: DataFrame, share: int = 3) -> DataFrame:
+def manifest_proofs(docs: DataFrame, share: int = 3, height: int = HEIGHT) -> DataFrame:
     """Per row: its leaf, the roots, the digest of its proof, and the root folded from it; rows whose id's CRC-32 `share` divides
     are tampered with: A-Z of their text are in lower case."""
     changed = leaf(*[F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in FIELDS])
-    return build_tree(docs, F.crc32(F.col("doc_id").cast("string")) % share == 0, changed).proofs()
+    return build_tree(docs, F.crc32(F.col("doc_id").cast("string")) % share == 0, changed, height=height).proofs()
