@@ -109,13 +109,13 @@ k AS (SELECT e.a AS doc_id, count(DISTINCT y.digest) AS n_links FROM e JOIN h x
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
 """,
     "op4_substring_dedup": r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-p AS (SELECT doc_id, pos, md5(array_to_string(w[pos : pos + 49], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50)),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT r, doc_id, pos, md5(array_to_string(w[pos : pos + 49], ' ')) AS k FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50)),
 m AS (SELECT k, min(doc_id) AS lo FROM p GROUP BY k),
-g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS x FROM p JOIN m USING (k) WHERE lo < doc_id),
-u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS x FROM d),
-t AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.x) AS kept, count(*) AS n FROM u LEFT JOIN g ON u.doc_id = g.doc_id AND u.x = g.x WHERE g.x IS NULL GROUP BY u.doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)
+g AS (SELECT DISTINCT r, unnest(range(pos, pos + 50)) AS x FROM p JOIN m USING (k) WHERE lo < doc_id),
+u AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS x FROM d),
+t AS (SELECT u.r, string_agg(word, ' ' ORDER BY u.x) AS kept, count(*) AS n FROM u LEFT JOIN g ON u.r = g.r AND u.x = g.x WHERE g.x IS NULL GROUP BY u.r)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (r)
 """,
     "op6_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),

@@ -10,12 +10,12 @@ Method: a count-min prefilter and exact grouping.
    bits together). Within a task, a window that several documents have is decided on the spot and only its smallest doc_id
    travels on, so a passage that a third of all documents share sends one entry from each task. Entries go to buckets by
    anchor, packed as arrays; a bucket answers with the runs of windows that occur in a smaller doc_id.
-3. The runs are joined to the documents by doc_id, and the words they cover are removed.
+3. The runs are joined to their rows by doc_id and text hash, and the words they cover are removed. Where few rows have
+   runs (RUNS_BROADCAST, counted) these are broadcast and no text moves; beyond, rows are exchanged, hot keys spread.
 
-Defined results: a null text has no words; a text of fewer than `window` words keeps all; rows that repeat a doc_id are
-judged as one document each (equal ids never remove each other) and all get the runs found for that id that fit their
-length; a null doc_id removes nothing from others and loses nothing. Extra columns are ignored or, in `dedup_substrings`,
-kept. An empty table gives an empty result.
+Defined results: a null text has no words; a text of fewer than `window` words keeps all; every row is judged by its own
+text, also where a doc_id repeats (equal ids never remove each other); a null doc_id removes nothing from others and loses
+nothing. Extra columns are ignored or, in `dedup_substrings`, kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import arrow_stage, fresh, partitions, whole_texts
+from .frames import SMALL_ROWS, arrow_stage, fresh, materialise, partitions, spread_join, whole_texts
 from .sketch import SEGMENT_SCHEMA, Merged, TwiceSketch, merged, segments
 from .wordhash import Family, Words, grams, slices, word_hashes
 
@@ -38,8 +38,11 @@ FAMILIES = (11, 12)
 #: Entries that a task gathers before it sends them on.
 FLUSH_WINDOWS = 1_000_000
 FOUND_SCHEMA = "bucket int, kind int, runs binary"
-RUN = np.dtype([("doc", "<i8"), ("start", "<i4"), ("end", "<i4")])
-HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])
+#: A row is named by its doc_id and 64 bits of its text's hash.
+RUN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i4"), ("end", "<i4")])
+HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("start", "<i4"), ("n", "<i4")])
+#: Most runs in all that are broadcast, of SMALL_ROWS rows at most: some 16 MB.
+RUNS_BROADCAST = 1_000_000
 
 
 def _least(g: np.ndarray, span: int) -> np.ndarray:
@@ -109,17 +112,17 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "kind", "runs"])
 
 
-def _runs(doc: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
-    """Windows (document, start word), in any order, as runs of covered words."""
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
+def _runs(doc: np.ndarray, text: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
+    """Windows (document, its text, start word), in any order, as runs of covered words."""
+    order = np.lexsort((start, text, doc))
+    doc, text, start = doc[order], text[order], start[order]
     if not len(doc):
         return np.zeros(0, dtype=RUN)
     cut = np.ones(len(doc), dtype=bool)
-    cut[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + window)
+    cut[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] > start[:-1] + window)
     at = np.flatnonzero(cut)
     out = np.empty(len(at), dtype=RUN)
-    out["doc"], out["start"] = doc[at], start[at]
+    out["doc"], out["text"], out["start"] = doc[at], text[at], start[at]
     out["end"] = start[np.append(at[1:], len(doc)) - 1] + window
     return out
 
@@ -134,7 +137,8 @@ def _later(anchor: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> tuple[np.n
 
 
 def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, start, end): runs of words that lie in windows which a smaller doc_id also has; docs: (doc_id, text)."""
+    """(doc_id, mark, start, end): runs of words that lie in windows which a smaller doc_id also has; docs: (doc_id, text).
+    mark: the hash of the row's text, F.xxhash64("text")."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(repeated_anchors(docs, window, gram))
     parts = partitions(spark)
@@ -144,17 +148,17 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         twice = TwiceSketch(sketch.value.counts)
 
         def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-            doc, start, anchor, whole = (np.concatenate(x) for x in zip(*held, strict=True))
+            doc, text, start, anchor, whole = (np.concatenate(x) for x in zip(*held, strict=True))
             later, least = _later(anchor, whole, doc)
-            runs = _runs(doc[later], start[later], window)
+            runs = _runs(doc[later], text[later], start[later], window)
             rows = [_packed(int(doc[later[0]]) % parts, 1, runs)] if len(later) else []
             least = np.sort(least)
-            doc, start, anchor, whole = doc[least], start[least], anchor[least], whole[least]
+            doc, text, start, anchor, whole = doc[least], text[least], start[least], anchor[least], whole[least]
             head = np.ones(len(doc), dtype=bool)
-            head[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
+            head[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)
             head = np.flatnonzero(head)
             heads = np.empty(len(head), dtype=HEAD)
-            heads["anchor"], heads["doc"], heads["start"] = anchor[head], doc[head], start[head]
+            heads["anchor"], heads["doc"], heads["text"], heads["start"] = anchor[head], doc[head], text[head], start[head]
             heads["n"] = np.diff(np.append(head, len(doc)))
             bucket = (heads["anchor"] % np.uint64(parts)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -172,14 +176,14 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
             held: list[tuple[np.ndarray, ...]] = []
             count = 0
             for batch in batches:
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
                 for lo, _, offsets, raw in slices(batch.column(1)):
                     words = word_hashes(offsets, raw, families)
                     start, anchor, whole = _windows(words, families, window, gram)
                     keep = np.flatnonzero(twice.repeated(anchor)) if len(anchor) else np.zeros(0, dtype=np.int64)
                     if len(keep):
                         start, doc = start[keep], words.doc[start[keep]]
-                        held.append((ids[lo + doc], (start - words.first[doc]).astype(np.int32), anchor[keep], whole[keep]))
+                        held.append((ids[lo + doc], marks[lo + doc], (start - words.first[doc]).astype(np.int32), anchor[keep], whole[keep]))
                         count += len(keep)
                     if count > FLUSH_WINDOWS:
                         yield from flush(held)
@@ -193,7 +197,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         heads, wholes = [], []
 
         def out(runs: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(runs["doc"]), pa.array(runs["start"]), pa.array(runs["end"])], ["doc_id", "start", "end"])
+            return pa.RecordBatch.from_arrays([pa.array(runs[c]) for c in RUN.names], ["doc_id", "mark", "start", "end"])
 
         for batch in batches:
             for kind, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -208,13 +212,13 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         head, whole = np.concatenate(heads), np.concatenate(wholes)
         n = head["n"]
         step = np.arange(len(whole)) - np.repeat(np.cumsum(n) - n, n)
-        doc, start = np.repeat(head["doc"], n), np.repeat(head["start"], n) + step
+        doc, text, start = np.repeat(head["doc"], n), np.repeat(head["text"], n), np.repeat(head["start"], n) + step
         later, _ = _later(np.repeat(head["anchor"], n), whole, doc)
         if len(later):
-            yield out(_runs(doc[later], start[later], window))
+            yield out(_runs(doc[later], text[later], start[later], window))
 
-    found = arrow_stage(docs.filter("doc_id is not null").select("doc_id", "text"), make, FOUND_SCHEMA)
-    return found.repartitionById(parts, F.col("bucket")).mapInArrow(decide, "doc_id long, start int, end int")
+    found = arrow_stage(docs.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("mark")), make, FOUND_SCHEMA)
+    return found.repartitionById(parts, F.col("bucket")).mapInArrow(decide, "doc_id long, mark long, start int, end int")
 
 
 def _kept(text: str, runs: list[dict] | None) -> tuple[list[bytes], int]:
@@ -228,11 +232,16 @@ def _kept(text: str, runs: list[dict] | None) -> tuple[list[bytes], int]:
     return [w for w, g in zip(words, gone.tolist(), strict=True) if not g], n
 
 
-def with_runs(docs: DataFrame, runs: DataFrame, key: Column, name: str) -> DataFrame:
-    """docs and the column `name`, the array of that doc_id's runs or null."""
+def with_runs(docs: DataFrame, runs: DataFrame, key: Column, text: Column, name: str) -> DataFrame:
+    """docs and the column `name`, the array of that row's runs or null."""
     of = fresh(docs, "run_of")
-    merged_runs = runs.groupBy(F.col("doc_id").alias(of)).agg(F.collect_list(F.struct("start", "end")).alias(name))
-    return docs.join(merged_runs, key == F.col(of), "left").drop(of)
+    each = runs.groupBy(F.struct("doc_id", "mark").alias(of)).agg(F.collect_set(F.struct("start", "end")).alias(name))
+    each = materialise(each, "runs")
+    size = each.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size(name)), F.lit(0)).alias("runs")).first()
+    named = docs.withColumn(of, F.struct(key.alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark")))
+    if size.rows <= SMALL_ROWS and size.runs <= RUNS_BROADCAST:
+        return named.join(F.broadcast(each), of, "left").drop(of)
+    return spread_join(named, each, of, "left").drop(of)
 
 
 def substring_digest(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -252,7 +261,7 @@ def substring_digest(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
         return stage
 
-    joined = with_runs(docs, repeated_runs(docs, window, gram), F.col("doc_id"), "runs").select("doc_id", "text", "runs")
+    joined = with_runs(docs, repeated_runs(docs, window, gram), F.col("doc_id"), F.col("text"), "runs").select("doc_id", "text", "runs")
     return arrow_stage(joined, make, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -266,5 +275,5 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
         return texts.combine(found, lambda t, r: t if r is None else b" ".join(_kept(t or "", list(r))[0]).decode())
 
     name = fresh(docs, "runs")
-    joined = with_runs(docs, runs, F.col(f"`{key}`").cast("long"), name)
+    joined = with_runs(docs, runs, F.col(f"`{key}`").cast("long"), F.col(f"`{text}`"), name)
     return joined.select(*[F.when(F.col(name).isNull(), F.col(f"`{c}`")).otherwise(cut(F.col(f"`{c}`"), F.col(name))).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+from tarn.llm import substring
 from tarn.llm.substring import dedup_substrings, substring_digest
 
 
@@ -66,3 +67,20 @@ def test_dedup_keeps_rows_and_columns(spark):
     got = dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string, start int"))
     assert got.columns == ["doc_id", "text", "start"]
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, text, 9), (2, "x y z", 8), (3, None, 7), (3, "short\ttext", 6)], key=str)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, monkeypatch):
+    w, u = ([f"{c}{i}" for i in range(80)] for c in "wu")
+    rows = [(3, " ".join(w)), (7, " ".join(w[20:])), (7, " ".join(u)), (9, " ".join(u[:60]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (substring.RUNS_BROADCAST, 0):  # runs broadcast; rows exchanged
+        monkeypatch.setattr(substring, "RUNS_BROADCAST", most)
+        assert sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_digest(docs).collect()) == [(3, 80, 0), (7, 60, 60), (7, 80, 0), (9, 60, 60)]
+        assert sorted(map(tuple, dedup_substrings(docs).collect())) == [(3, rows[0][1]), (7, ""), (7, rows[2][1]), (9, "")]
+
+
+def test_both_joins_of_runs_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(substring, "RUNS_BROADCAST", 0)
+    rows = fixture_rows() + [(7, "other text"), (None, None), (None, "")] * 30
+    got = substring_digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 10, 3)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 10)
