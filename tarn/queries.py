@@ -833,3 +833,6 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 __all__ = ["ORACLES", "QUERIES", "flagship", "hashing", "kernels"]
+
+
+from tarn import queries_beyond  # noqa: E402, F401  (adds its queries)
