@@ -1,23 +1,11 @@
-"""Connected components of links inside groups, and cutting lineage between the rounds of an iteration."""
+"""Connected components of links inside groups."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, checkpointed in the folder that spark.checkpoint.dir names (one is set only where the session runs on one machine and names none)."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "checkpoints"))
-    return df.checkpoint()
+from tarn.scratch import cut
 
 
 def components(links: DataFrame, group: list[str]) -> DataFrame:

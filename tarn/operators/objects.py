@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarn.model import TileSpec
-from tarn.operators.components import components, cut
+from tarn.operators.components import components
+from tarn.scratch import cut
 
 POINT = "struct<x:int,y:int>"
 PARTS = (

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.model import CHANNELS, CLASS_ID, BuildConfig, SplitConfig, classes, label_map, read_sources, source_specs
+from tarn.model import CHANNELS, CLASS_ID, MANIFEST, BuildConfig, SplitConfig, classes, label_map, read_sources, source_specs
 from tarn.operators import catalogue, labels, manifest, raster, splits, tiling
 from tarn.sources import store
 from tarn.sources.adapters import first_items, get_adapter
@@ -39,8 +39,8 @@ def prepare_scenes(scenes: DataFrame, config: BuildConfig) -> DataFrame:
     return stack.drop("_vv", "_vh", "_land", "_wind", *[f"ch_{c}" for c in channels])
 
 
-def build_source(spark: SparkSession, source: str, root: str, out: str, config: BuildConfig | None = None, limit: int | None = None) -> DataFrame:
-    """Raw files of one source to tiles in the store and manifest rows; limit takes the first scenes by id before any is decoded.
+def build_source(spark: SparkSession, source: str, root: str, out: str, config: BuildConfig | None = None, limit: int | None = None) -> store.Staged:
+    """Raw files of one source to tiles, staged in the store at `out`; limit takes the first scenes by id before any is decoded.
 
     Scenes are decoded, checked and given their features in one pass, whose result is staged beside the store until the tiles are written."""
     config = config or BuildConfig()
@@ -54,24 +54,44 @@ def build_source(spark: SparkSession, source: str, root: str, out: str, config:
         tiles = tiles.withColumn("label_completeness", F.try_element_at("attrs", F.lit("label_completeness")))
         tiles = manifest.assign_shards(tiles, shard_size=config.shard_size)
         kept = tiles.select("tile_id", "sample_id", "source", "store", "shard", "shard_index", "row", "col", "kept_as", "label_completeness", "band_names", "tile_bands", "tile_mask", F.col("tile_h").alias("height"), F.col("tile_w").alias("width"), *[c for c in tiles.columns if c.startswith(("n_px_", "wind_", "observ"))], "lon", "lat", "acquired")
-        store.write_store(kept, out, config.shard_size, checked=True)
-    return manifest.tile_records(store.read_tiles(spark, out, source))
+        return store.stage_tiles(kept, out, config.shard_size, checked=True)
+
+
+def _sound(rows: DataFrame) -> None:
+    labels.raise_if_any(manifest.integrity(store.typed(rows)).filter("severity = 'error'"), "the manifest is broken")
 
 
 def build(spark: SparkSession, roots: dict[str, str], out: str, manifest_path: str, config: BuildConfig | None = None, append: bool = False, limit: int | None = None) -> DataFrame:
-    """Build several sources, write the manifest, and raise on integrity errors."""
-    parts = [build_source(spark, s, r, out, config, limit) for s, r in roots.items()]
-    whole = manifest.build_manifest(parts, spark)
-    (store.append_source if append else lambda _, p, m: store.write_manifest(m, p))(spark, manifest_path, whole)
-    written = store.read_manifest(spark, manifest_path)
-    labels.raise_if_any(manifest.integrity(written).filter("severity = 'error'"), "the manifest is broken")
-    return written
+    """Build several sources into the store at `out` and the manifest; append: other sources of both stay.
+
+    All sources are staged and the manifest to come is checked before anything is shown: a build that fails leaves store and
+    manifest as they were. Then the tiles are committed, and the manifest with the version of the store that it means."""
+    config = config or BuildConfig()
+    tiles, staged = store.tile_store(spark, out), store.Staged("", {})
+    table = store.manifest_table(spark, manifest_path)
+    try:
+        for source, root in roots.items():
+            one = build_source(spark, source, root, out, config, limit)
+            staged = store.Staged(one.commit, {**staged.parts, **one.parts})
+        records = manifest.build_manifest([manifest.tile_records(tiles.frame(staged.parts))] if staged.parts else [], spark)
+        rows = table.stage(records.repartitionByRange("source", "tile_id").sortWithinPartitions("source", "tile_id"))
+        try:
+            _sound(table.frame({**(table.latest().parts if append else {}), **rows.parts}, MANIFEST))
+        except Exception:
+            table.drop(rows)
+            raise
+    except Exception:
+        tiles.drop(staged)
+        raise
+    shown = store.commit_tiles(spark, out, staged, config.shard_size, whole=not append)
+    table.commit(rows, whole=not append, notes={"tiles": [out, shown.version]}, check=_sound)
+    return store.read_manifest(spark, manifest_path)
 
 
 def split(spark: SparkSession, manifest_path: str, config: SplitConfig | None = None, hash_mode: str = "md5") -> DataFrame:
-    """Assign splits in place, and raise if a group leaks."""
+    """Assign splits in place, and raise if a group leaks; made anew if another writer changes the manifest meanwhile."""
     config = config or SplitConfig()
-    store.write_manifest(splits.assign(store.read_manifest(spark, manifest_path), config, hash_mode, check=True), manifest_path)
+    store.manifest_table(spark, manifest_path).update(lambda rows: splits.assign(rows, config, hash_mode, check=True), MANIFEST)
     written = store.read_manifest(spark, manifest_path)
     labels.raise_if_any(splits.leaked_groups(written, config), "groups straddle splits")
     return splits.split_sizes(written)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from tarn.model import TileSpec
+from tarn.model import MANIFEST, TileSpec
 from tarn.operators import objects, tiling
-from tarn.queries import _t, query
+from tarn.queries import M, _records, _t, query
+from tarn.scratch import shared_dir
+from tarn.sources import store
 
 
 def _object_parts(spark, sf):
@@ -41,3 +45,24 @@ def scene_objects(spark, sf):
         "sample_id", "object_id", "area", "x_min", "y_min", "x_max", "y_max", F.round("centroid_x", 9).alias("centroid_x"), F.round("centroid_y", 9).alias("centroid_y"),
         "perimeter", (inside / 2).cast("long").alias("ring_area"), F.round("major_axis", 6).alias("major_axis"),
     )
+
+
+@query(f"""WITH {M}, n AS (SELECT source, tile_id, n_px_oil + 1 AS n_px_oil FROM t WHERE source = 'A' AND "row" = 1), o AS (SELECT source, tile_id, n_px_oil FROM t WHERE source <> 'A')
+SELECT source, n_px_oil * 2 AS n_px_oil, count(*) AS n, count(DISTINCT tile_id) AS n_tiles FROM (SELECT * FROM n UNION ALL SELECT * FROM o) GROUP BY ALL""")
+def rebuilt_source(spark, sf):
+    """A manifest on disk: built, one source built again, a broken rebuild refused, then all rows changed in place."""
+    table = store.manifest_table(spark, f"{shared_dir(spark)}/rebuilt-{uuid.uuid4().hex}")
+    records = _records(spark, sf)
+    table.replace(records, whole=True)
+    again = records.filter("source = 'A' AND row = 1").withColumn("n_px_oil", F.col("n_px_oil") + 1)
+    table.replace(again)
+
+    def refuse(rows):
+        raise ValueError("broken")
+
+    try:
+        table.replace(records.filter("source = 'N'").limit(0), whole=True, check=refuse)
+    except ValueError:
+        pass
+    table.update(lambda rows: rows.withColumn("n_px_oil", F.col("n_px_oil") * 2), MANIFEST)
+    return table.read(MANIFEST).groupBy("source", "n_px_oil").agg(F.count("*").alias("n"), F.countDistinct("tile_id").alias("n_tiles"))
