@@ -19,7 +19,9 @@ question:
 
 1. distinct words and pairs with their counts -> exact counts of both;
 2. words: the chunk's part of their divergence sums -> retained or not; contexts of two tokens with their stored events -> retained or not, S, and event counts.
-   All events of a context meet in one bucket, but those of contexts of HOT occurrences or more: these travel by event, and such contexts are retained without a test.
+   All events of a context meet in one bucket, but those of contexts of HOT occurrences or more: these travel by event, so that no bucket holds them all.
+3. only if there are such contexts: each chunk's part of their divergence sums, from the counts that came back -> retained or not. Both ways sum the same terms,
+   in whole multiples of 1 / FINE, so HOT decides where a context is judged and never how.
 
 Words are told apart by 48 bits of hash within a bucket, pairs and contexts by 32 (a few in ten thousand share their counts with another, at any size, as buckets grow
 in number with the input).
@@ -50,12 +52,12 @@ PRIOR, REST = 100.0, 1.0
 FAMILY = 41
 #: Bytes of input for a chunk.
 CHUNK_BYTES = 4 << 20
-#: Divergence sums are added as whole multiples of 1 / UNIT, so that their order doesn't matter.
-UNIT = 64
+#: Divergence sums of words and of contexts of two tokens are added as whole multiples of 1 / UNIT and 1 / FINE, so that their order doesn't matter.
+UNIT, FINE = 64, 1 << 20
 END_TOKEN = mix(np.array([0xE0D], dtype=np.uint64))[0]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 SENT = "target int, chunk long, bucket int, packed binary"
-COUNTED = "chunk long, bucket int, step int, packed binary, tokens long, types long, ones long, twos long"
+COUNTED = "chunk long, bucket int, step int, packed binary, tokens long, types long, ones long, twos long, most long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -223,7 +225,7 @@ class Counted:
 
 @dataclass
 class Longer:
-    """The contexts of two tokens of a chunk: which tokens have one, the distinct contexts, and their stored events."""
+    """The contexts of two tokens of a chunk: which tokens have one, the distinct contexts, and their stored events: by context, those of hot contexts by event."""
 
     tokens: np.ndarray
     keys: np.ndarray
@@ -234,23 +236,44 @@ class Longer:
     events: np.ndarray
     sample: np.ndarray
     event: np.ndarray
+    spread_stored: np.ndarray
+    spread: np.ndarray
+    spread_event: np.ndarray
 
     @staticmethod
     def find(c: Counted, parts: int, hottest: int) -> Longer:
         total = c.tokens.before(c.pair_times, 0)
         at = np.flatnonzero(total >= LEAST)
         total = total[at]
-        hot = total >= hottest
-        key = np.where(hot, keyed(c.tokens.events[1][at], parts, 32), c.tokens.before(c.pairs[c.pair], np.uint64(0))[at])
-        keys, of = np.unique(key, return_inverse=True)
-        stored = np.flatnonzero((c.pair_times[at] > 1) | hot)
+        keys, of = np.unique(c.tokens.before(c.pairs[c.pair], np.uint64(0))[at], return_inverse=True)
+        hot = np.zeros(len(keys), dtype=bool)
+        hot[of] = total >= hottest
+        stored = np.flatnonzero(c.pair_times[at] > 1)
+        spread_stored, stored = stored[hot[of[stored]]], stored[~hot[of[stored]]]
         events, sample, event = np.unique((of[stored].astype(np.uint64) << np.uint64(32)) | (c.tokens.token[at[stored]] >> np.uint64(32)), return_index=True, return_inverse=True)
-        return Longer(at, keys, of, hot, total, stored, events, sample, event)
+        spread, spread_event = np.unique(keyed(c.tokens.events[1][at[spread_stored]], parts, 32), return_inverse=True)
+        return Longer(at, keys, of, hot, total, stored, events, sample, event, spread_stored, spread, spread_event)
 
-    def cuts(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where each bucket begins among the contexts and among the events."""
+    def cuts(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each bucket begins among the contexts, among their events and among the hot contexts' events."""
         own = edges(self.keys, parts, 32)
-        return own, np.searchsorted(self.events >> np.uint64(32), own.astype(np.uint64))
+        return own, np.searchsorted(self.events >> np.uint64(32), own.astype(np.uint64)), edges(self.spread, parts, 32)
+
+
+def level(after: np.ndarray) -> np.ndarray:
+    """Probabilities after one token, as they travel for the divergence test."""
+    return np.clip(np.rint(-10 * np.log(after)), 0, 255).astype(np.uint8)
+
+
+def fine_gain(count: np.ndarray, rest: np.ndarray, total: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Of one training occurrence of a stored event: its gain by its context, in units of 1 / FINE."""
+    suffix = np.exp(-0.1 * low)
+    return np.rint(FINE * np.log(np.maximum(count - 1 + (REST + rest) * suffix, 1e-300) / (np.maximum(total - 1 + REST, REST) * suffix)))
+
+
+def fine_rest(rest: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The same of an occurrence whose event isn't stored."""
+    return np.rint(FINE * np.log((REST + np.maximum(rest - 1, 0)) / np.maximum(total - 1 + REST, REST)))
 
 
 @dataclass
@@ -312,12 +335,12 @@ def _held(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[int, int]], lis
     return who, raw
 
 
-def _answers(who: list[tuple[int, int]], step: int, packed: list[bytes], totals: tuple = (0, 0, 0, 0)) -> Iterator[pa.RecordBatch]:
+def _answers(who: list[tuple[int, int]], step: int, packed: list[bytes], totals: tuple = (0, 0, 0, 0, 0)) -> Iterator[pa.RecordBatch]:
     """A row for each question, and one with the bucket's totals."""
     names = [f.split()[0] for f in COUNTED.split(", ")]
     for lo in range(0, len(who), 64):
         part, n = who[lo : lo + 64], len(who[lo : lo + 64])
-        yield pa.RecordBatch.from_arrays([pa.array([w[0] for w in part], pa.int64()), pa.array([w[1] for w in part], pa.int32()), pa.array([step] * n, pa.int32()), pa.array(packed[lo : lo + 64], pa.binary()), *[pa.array([0] * n, pa.int64())] * 4], names)
+        yield pa.RecordBatch.from_arrays([pa.array([w[0] for w in part], pa.int64()), pa.array([w[1] for w in part], pa.int32()), pa.array([step] * n, pa.int32()), pa.array(packed[lo : lo + 64], pa.binary()), *[pa.array([0] * n, pa.int64())] * 5], names)
     yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([step], pa.int32()), pa.nulls(1, pa.binary()), *(pa.array([int(t)], pa.int64()) for t in totals)], names)
 
 
@@ -341,7 +364,7 @@ def _count(parts: int):
             for answer, own in zip(answers, keys, strict=True):
                 answer.append(small(total[inverse[at : at + len(own)]]))
                 at += len(own)
-        yield from _answers(who, 1, [b"".join(a) for a in answers], totals)
+        yield from _answers(who, 1, [b"".join(a) for a in answers], (*totals, total.max(initial=0)))
 
     return count
 
@@ -356,19 +379,21 @@ def _ask_contexts(parts: int, totals: Totals, hot: int):
         longer = Longer.find(c, parts, hot)
         used = train[longer.tokens]
         stored = np.zeros(len(used), dtype=bool)
-        stored[longer.stored] = True
+        stored[longer.stored] = stored[longer.spread_stored] = True
         skipped = np.bincount(longer.of[used & ~stored], minlength=len(longer.keys))
         times = np.bincount(longer.event, used[longer.stored], len(longer.events)).astype(np.int64)
-        level = np.clip(np.rint(-10 * np.log(c.after[longer.tokens[longer.stored[longer.sample]]])), 0, 255).astype(np.uint8)
+        spread_times = np.bincount(longer.spread_event, used[longer.spread_stored], len(longer.spread)).astype(np.int64)
+        low = level(c.after[longer.tokens[longer.stored[longer.sample]]])
         each = np.bincount((longer.events >> np.uint64(32)).astype(np.int64), minlength=len(longer.keys))
-        of_word, (of_context, of_event) = edges(keys, parts, 32), longer.cuts(parts)
+        of_word, (of_context, of_event, of_spread) = edges(keys, parts, 32), longer.cuts(parts)
 
         def packed() -> Iterator[tuple[int, bytes]]:
             for b in range(parts):
-                w, x, e = (slice(edge[b], edge[b + 1]) for edge in (of_word, of_context, of_event))
-                if w.stop > w.start or x.stop > x.start:
+                w, x, e, d = (slice(edge[b], edge[b + 1]) for edge in (of_word, of_context, of_event, of_spread))
+                if w.stop > w.start or x.stop > x.start or d.stop > d.start:
                     head = [number(w.stop - w.start), planes(keys[w], 4), planes(gains[w], 4)]
-                    yield b, b"".join([*head, number(x.stop - x.start), planes(longer.keys[x], 4), small(each[x]), small(skipped[x]), number(e.stop - e.start), planes(longer.events[e], 4), small(times[e]), level[e].tobytes()])
+                    body = [number(x.stop - x.start), planes(longer.keys[x], 4), small(each[x]), small(skipped[x]), number(e.stop - e.start), planes(longer.events[e], 4), small(times[e]), low[e].tobytes()]
+                    yield b, b"".join([*head, *body, number(d.stop - d.start), planes(longer.spread[d], 4), small(spread_times[d])])
 
         return _rows(texts.column("chunk")[0].as_py(), packed())
 
@@ -380,7 +405,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     who, raws = _held(batches)
     if not who:
         return
-    words, gains, contexts, skipped, events, times, level = ([] for _ in range(7))
+    words, gains, contexts, skipped, events, times, low, spread, spread_times = ([] for _ in range(9))
     at = 0
     owners = []
     for (_, b), raw in zip(who, raws, strict=True):
@@ -396,7 +421,10 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners.append(np.repeat(np.arange(at, at + n), each))
         events.append(part.planes(k, 4))
         times.append(part.small(k))
-        level.append(part.array(np.uint8, k))
+        low.append(part.array(np.uint8, k))
+        k = part.number()
+        spread.append(part.planes(k, 4) | high)
+        spread_times.append(part.small(k))
         at += n
     found, inverse = np.unique(np.concatenate(words), return_inverse=True)
     good = (np.bincount(inverse, np.concatenate(gains), len(found)) > 0)[inverse]
@@ -407,48 +435,108 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.bincount(event, np.concatenate(times), len(distinct))
     owner = owner[sample]
     total = rest + np.bincount(owner, count, len(names))
-    suffix = np.exp(-0.1 * np.concatenate(level)[sample])
-    seen = count > 0
-    lost = np.maximum(total - 1 + REST, REST)
-    gain = np.bincount(owner[seen], (count * np.log((count - 1 + (REST + rest[owner]) * suffix) / (lost[owner] * suffix), where=seen, out=np.zeros(len(count))))[seen], len(names))
-    gain = gain + rest * np.log((REST + np.maximum(rest - 1, 0)) / lost)
-    kept = gain > 1e-9
+    seen = np.flatnonzero(count > 0)
+    own = owner[seen]
+    gain = np.bincount(own, count[seen] * fine_gain(count[seen], rest[own], total[own], np.concatenate(low)[sample][seen]), len(names))
+    kept = gain + rest * fine_rest(rest, total) > 0
+    split, split_of = np.unique(np.concatenate(spread), return_inverse=True)
+    split_count = np.bincount(split_of, np.concatenate(spread_times), len(split)).astype(np.int64)
     rest, count = rest.astype(np.int64), count.astype(np.int64)
-    answers, w, x, e = [], 0, 0, 0
-    for a, b, d in zip(words, contexts, events, strict=True):
+    answers, w, x, e, d = [], 0, 0, 0, 0
+    for a, b, c, f in zip(words, contexts, events, spread, strict=True):
         here = of[x : x + len(b)]
-        answers.append(b"".join([np.packbits(good[w : w + len(a)]).tobytes(), np.packbits(kept[here]).tobytes(), small(rest[here]), small(count[event[e : e + len(d)]])]))
-        w, x, e = w + len(a), x + len(b), e + len(d)
+        answers.append(b"".join([np.packbits(good[w : w + len(a)]).tobytes(), np.packbits(kept[here]).tobytes(), small(rest[here]), small(count[event[e : e + len(c)]]), small(split_count[split_of[d : d + len(f)]])]))
+        w, x, e, d = w + len(a), x + len(b), e + len(c), d + len(f)
     yield from _answers(who, 2, answers)
 
 
+@dataclass
+class Judged:
+    """What came back to a chunk: for each of its words and contexts whether it is retained, and the counts of its events."""
+
+    good: np.ndarray
+    kept: np.ndarray
+    rest: np.ndarray
+    times: np.ndarray
+
+    @staticmethod
+    def of(c: Counted, longer: Longer, back: list[tuple[int, int, bytes]], parts: int) -> Judged:
+        words = np.flatnonzero(c.counts >= LEAST)
+        of_word = edges(c.words[words] >> np.uint64(width(parts) - 32), parts, 32)
+        of_context, of_event, of_spread = longer.cuts(parts)
+        hot = np.flatnonzero(longer.hot)
+        of_hot = edges(longer.keys[hot], parts, 32)
+        good, kept, rest = np.zeros(len(c.words), dtype=bool), np.zeros(len(longer.keys), dtype=bool), np.zeros(len(longer.keys), dtype=np.int64)
+        count, spread = np.zeros(len(longer.events), dtype=np.int64), np.zeros(len(longer.spread), dtype=np.int64)
+        for step, b, raw in sorted(back, key=lambda row: row[0]):
+            part = Parts(raw)
+            if step == 2:
+                w, x, e, d = (slice(edge[b], edge[b + 1]) for edge in (of_word, of_context, of_event, of_spread))
+                good[words[w]] = part.bits(w.stop - w.start)
+                kept[x] = part.bits(x.stop - x.start)
+                rest[x] = part.small(x.stop - x.start)
+                count[e] = part.small(e.stop - e.start)
+                spread[d] = part.small(d.stop - d.start)
+            elif step == 3:
+                h = hot[of_hot[b] : of_hot[b + 1]]
+                kept[h] = part.bits(len(h))
+        times = np.zeros(len(longer.of), dtype=np.int64)
+        times[longer.stored] = count[longer.event]
+        times[longer.spread_stored] = spread[longer.spread_event]
+        return Judged(good, kept, rest, times)
+
+
+def _ask_hot(parts: int, totals: Totals, hot: int):
+    """The chunk's parts of the divergence sums of hot contexts."""
+
+    def ask(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        tokens = Tokens.read(texts.column("text"))
+        back = _back(counts)
+        c = Counted.of(tokens, back, parts, totals)
+        longer = Longer.find(c, parts, hot)
+        judged = Judged.of(c, longer, back, parts)
+        some = np.flatnonzero(longer.hot[longer.of] & _train(texts, tokens.doc)[longer.tokens])
+        of, total = longer.of[some], longer.total[some]
+        stored = c.pair_times[longer.tokens[some]] > 1
+        gain = np.where(stored, fine_gain(judged.times[some], judged.rest[of], total, level(c.after[longer.tokens[some]])), fine_rest(judged.rest[of], total))
+        at = np.flatnonzero(longer.hot)
+        sums = np.bincount(of, gain, len(longer.keys))[at].astype(np.int64)
+        keys = longer.keys[at]
+        edge = edges(keys, parts, 32)
+        here = ((b, slice(edge[b], edge[b + 1])) for b in range(parts) if edge[b + 1] > edge[b])
+        return _rows(texts.column("chunk")[0].as_py(), ((b, number(x.stop - x.start) + planes(keys[x], 4) + sums[x].tobytes()) for b, x in here))
+
+    return ask
+
+
+def _judge_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    who, raws = _held(batches)
+    if not who:
+        return
+    keys, sums = [], []
+    for (_, b), raw in zip(who, raws, strict=True):
+        part = Parts(raw)
+        n = part.number()
+        keys.append(part.planes(n, 4) | np.uint64(b << 32))
+        sums.append(part.array(np.int64, n))
+    found, of = np.unique(np.concatenate(keys), return_inverse=True)
+    kept = (np.bincount(of, np.concatenate(sums), len(found)) > 0)[of]
+    ends = np.cumsum([len(k) for k in keys])
+    yield from _answers(who, 3, [np.packbits(kept[end - len(k) : end]).tobytes() for k, end in zip(keys, ends, strict=True)])
+
+
 def _back(counts: pa.Table) -> list[tuple[int, int, bytes]]:
     return list(zip(*(counts.column(c).to_pylist() for c in ("step", "bucket", "packed")), strict=True))
 
 
 def log_probabilities(c: Counted, back: list[tuple[int, int, bytes]], parts: int, hot: int) -> np.ndarray:
     """Of each token, the natural logarithm of its probability in the longest retained suffix of its history."""
-    words = np.flatnonzero(c.counts >= LEAST)
-    of_word = edges(c.words[words] >> np.uint64(width(parts) - 32), parts, 32)
     longer = Longer.find(c, parts, hot)
-    of_context, of_event = longer.cuts(parts)
-    good = np.zeros(len(c.words), dtype=bool)
-    kept, rest, count = np.zeros(len(longer.keys), dtype=bool), np.zeros(len(longer.keys), dtype=np.int64), np.zeros(len(longer.events), dtype=np.int64)
-    for step, b, raw in back:
-        if step == 2:
-            part = Parts(raw)
-            w, x, e = (slice(edge[b], edge[b + 1]) for edge in (of_word, of_context, of_event))
-            good[words[w]] = part.bits(w.stop - w.start)
-            kept[x] = part.bits(x.stop - x.start)
-            rest[x] = part.small(x.stop - x.start)
-            count[e] = part.small(e.stop - e.start)
-    p = np.where(good[c.word_before()], c.after, c.root)
-    here = np.flatnonzero(kept[longer.of] | longer.hot)
-    times = np.zeros(len(longer.of), dtype=np.int64)
-    times[longer.stored] = count[longer.event]
-    left = REST + np.where(longer.hot[here], 0, rest[longer.of[here]])
+    judged = Judged.of(c, longer, back, parts)
+    p = np.where(judged.good[c.word_before()], c.after, c.root)
+    here = np.flatnonzero(judged.kept[longer.of])
     at = longer.tokens[here]
-    p[at] = (times[here] + left * c.after[at]) / (longer.total[here] + REST)
+    p[at] = (judged.times[here] + (REST + judged.rest[longer.of[here]]) * c.after[at]) / (longer.total[here] + REST)
     return np.log(p)
 
 
@@ -489,8 +577,13 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     texts = _chunked(docs, key, text)
     dealt = lambda asked: asked.repartitionById(parts, F.col("target"))
     counts = materialise(dealt(texts.groupBy("chunk").applyInArrow(_ask_counts(parts), SENT)).mapInArrow(_count(parts), COUNTED), "counts")
-    totals = Totals(*(int(t or 0) for t in counts.agg(*(F.sum(c) for c in ("tokens", "types", "ones", "twos"))).first()))
+    found = counts.agg(*(F.sum(c) for c in ("tokens", "types", "ones", "twos")), F.max("most")).first()
+    *sums, most = (int(t or 0) for t in found)
+    totals = Totals(*sums)
     counts = counts.filter("chunk is not null")
     asked = texts.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_ask_contexts(parts, totals, hot), SENT)
-    judged = materialise(dealt(asked).mapInArrow(_judge, COUNTED), "contexts").filter("chunk is not null")
-    return texts.groupBy("chunk").cogroup(counts.unionByName(judged).groupBy("chunk")).applyInArrow(_score(parts, totals, hot), SCORES)
+    counts = counts.unionByName(materialise(dealt(asked).mapInArrow(_judge, COUNTED), "contexts").filter("chunk is not null"))
+    if most >= hot:
+        asked = texts.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_ask_hot(parts, totals, hot), SENT)
+        counts = counts.unionByName(materialise(dealt(asked).mapInArrow(_judge_hot, COUNTED), "hot").filter("chunk is not null"))
+    return texts.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_score(parts, totals, hot), SCORES)
