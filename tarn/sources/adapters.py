@@ -5,7 +5,6 @@ Discovery reads paths only. Decoding of image codecs (optional packages) runs in
 
 from __future__ import annotations
 
-import io
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +16,8 @@ from tarn.functions.geometry import bbox_ring, geojson_rings, wkt_rings
 from tarn.model import SCENES, SOURCES, class_id
 from tarn.operators.kernels import polygon_mask
 from tarn.operators.labels import normalise_object_label, raise_if_any
+from tarn.sources.codecs import read_image
+from tarn.sources.images import open_file, reachable
 
 # Directory and file names that the sources use.
 IMAGE_DIRS, MASK_DIRS = ("images", "image", "img"), ("masks", "mask", "labels", "label")
@@ -102,16 +103,21 @@ def missing_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter("right is null").select("partition", "stem", "left")
 
 
-def _decode(content: bytes, path: str) -> np.ndarray:
-    if path.endswith(".npy"):
-        return np.load(io.BytesIO(content))
-    if path.lower().endswith((".tif", ".tiff")):
-        import tifffile  # optional
+def _decode(row: dict, role: str) -> tuple[np.ndarray, bool]:
+    """The image of a column of paths, from its bytes where the row carries them, else from the file; and whether it holds palette indices."""
+    content = row.get(f"{role}_bytes")
+    if content is None:
+        with open_file(row[role]) as f:
+            content = f.read()
+    return read_image(content)
 
-        return tifffile.imread(io.BytesIO(content))
-    from PIL import Image  # optional
 
-    return np.asarray(Image.open(io.BytesIO(content)))
+def scene_files(spark: SparkSession, items: DataFrame, root: str, columns: list[str]) -> DataFrame:
+    """items dealt out for loading: by path, opened where they are decoded. Only where the executors' Python can't open
+    the files (a store that Spark alone reads) do the rows carry the bytes."""
+    if reachable(root):
+        return items.repartition(max(spark.sparkContext.defaultParallelism, 1) * 4, "sample_id")
+    return with_contents(spark, items, root, columns)
 
 
 def with_contents(spark: SparkSession, items: DataFrame, root: str, columns: list[str]) -> DataFrame:
@@ -158,7 +164,7 @@ class _Paired(Adapter):
         return paired_items(pairs)
 
     def load(self, items: DataFrame) -> DataFrame:
-        rows = with_contents(self.spark, items, self.root, ["image", "mask"])
+        rows = scene_files(self.spark, items, self.root, ["image", "mask"])
         self.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # a scene is tens of MB
         return rows.mapInPandas(_scenes(self._make()), SCENES)
 
@@ -174,7 +180,7 @@ class BinaryPairs(_Paired):
         table = {int(k): class_id(v) for k, v in self.spec["index_map"].items()}
 
         def make(row: dict) -> tuple:
-            image, mask = _decode(row["image_bytes"], row["image"]), _decode(row["mask_bytes"], row["mask"])
+            (image, _), (mask, _) = _decode(row, "image"), _decode(row, "mask")
             image = image[:, :, None] if image.ndim == 2 else image
             if image.shape[2] not in (1, 2):
                 raise ValueError(f"{row['sample_id']}: {image.shape[2]} channels")
@@ -201,7 +207,7 @@ class PalettePairs(_Paired):
         colour = {sum(int(p) << s for p, s in zip(k.split(","), (16, 8, 0), strict=True)): class_id(v) for k, v in self.spec["rgb_map"].items()}
 
         def make(row: dict) -> tuple:
-            image, label = _decode(row["image_bytes"], row["image"]), _decode(row["mask_bytes"], row["mask"])
+            (image, _), (label, _) = _decode(row, "image"), _decode(row, "mask")
             image = image if image.ndim == 2 else image[:, :, 0]
             if label.ndim == 3:
                 packed = label[:, :, :3].astype(np.int64) @ np.array([1 << 16, 1 << 8, 1])
@@ -219,7 +225,7 @@ FEATURES = "features array<struct<properties:map<string,string>,geometry:struct<
 def geojson_annotations(spark: SparkSession, text: DataFrame, column: str = "value") -> DataFrame:
     """(patch_id, obj_order, label, rings, coord_space) of a FeatureCollection, or a bare list of features, given as text rows."""
     body = F.when(F.ltrim(F.col(column)).startswith("["), F.concat(F.lit('{"features":'), F.col(column), F.lit("}"))).otherwise(F.col(column))
-    rows = text.select(F.posexplode(F.from_json(body, FEATURES)["features"]).alias("obj_order", "f"))
+    rows = text.select(F.posexplode(F.from_json(body, FEATURES)["features"]).alias("obj_order", "f")).withColumn("obj_order", F.col("obj_order").cast("long"))
     named = lambda *keys: F.coalesce(*[F.nullif(F.try_element_at(F.col("f.properties"), F.lit(k)), F.lit("")) for k in keys])
     geometry = F.concat(F.lit('{"coordinates":'), F.col("f.geometry.coordinates"), F.lit("}"))
     return rows.select(named("patch_id", "patch", "image_id", "scene").alias("patch_id"), "obj_order", named("class", "label", "type").alias("label"), geojson_rings(F.col("f.geometry.type"), geometry).alias("rings"), F.coalesce(named("coord_space"), F.lit("pixel")).alias("coord_space"))
@@ -239,8 +245,8 @@ def csv_annotations(table: DataFrame) -> DataFrame:
 
 def patches_with_objects(patches: DataFrame, annotations: DataFrame) -> DataFrame:
     """Every patch with its objects in file order; patches without any keep an empty list."""
-    grouped = annotations.groupBy("patch_id").agg(F.array_sort(F.collect_list(F.struct("obj_order", "label", "rings"))).alias("objects"))
-    empty = F.array().cast("array<struct<obj_order:int,label:string,rings:array<array<struct<x:double,y:double>>>>>")
+    grouped = annotations.groupBy("patch_id").agg(F.array_sort(F.collect_list(F.struct(F.col("obj_order").cast("long").alias("obj_order"), "label", "rings"))).alias("objects"))
+    empty = F.array().cast("array<struct<obj_order:bigint,label:string,rings:array<array<struct<x:double,y:double>>>>>")
     return patches.join(grouped, "patch_id", "left").withColumn("objects", F.coalesce("objects", empty))
 
 
@@ -257,7 +263,7 @@ class VectorObjects(Adapter):
         if not found:
             raise FileNotFoundError(f"no annotation file under {self.root}")
         if found[0].endswith(".csv"):
-            return csv_annotations(self.spark.read.option("header", "true").csv(found[0])).withColumn("obj_order", F.monotonically_increasing_id().cast("int"))
+            return csv_annotations(self.spark.read.option("header", "true").csv(found[0])).withColumn("obj_order", F.monotonically_increasing_id())
         return geojson_annotations(self.spark, self.spark.read.option("wholetext", "true").text(found[0]))
 
     def discover(self) -> DataFrame:
@@ -274,13 +280,13 @@ class VectorObjects(Adapter):
         table = {k: class_id(v) for k, v in self.spec["object_class_map"].items()}
 
         def make(row: dict) -> tuple:
-            image = np.atleast_3d(_decode(row["image_bytes"], row["image"]))
+            image = np.atleast_3d(_decode(row, "image")[0])
             mask = np.zeros(image.shape[:2], dtype=np.int16)
             for o in row["objects"]:
                 inside = polygon_mask([[(p["x"], p["y"]) for p in ring] for ring in o["rings"]], *mask.shape)
                 mask[inside] = table[o["label"].strip().lower().replace(" ", "_").replace("-", "_")]
             return _scene(row["sample_id"], "pangaea_emed", {"vv_db": image[:, :, 0]}, mask, {"label_completeness": "full", "radiometry": "calibrated_db"})
 
-        rows = with_contents(self.spark, items, self.root, ["image"])
+        rows = scene_files(self.spark, items, self.root, ["image"])
         self.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
         return rows.mapInPandas(_scenes(make), SCENES)
