@@ -98,8 +98,40 @@ def wind_ms(vv_db: np.ndarray, incidence: np.ndarray | None = None, phi: float =
     return inverse_array(background_sigma0(_to_linear(vv_db), block, percentile), np.clip(angle, *INCIDENCE), phi)
 
 
+def _lower_envelope(f: np.ndarray) -> np.ndarray:
+    """min over k of f[:, k] + (x - k)^2 for every x: of each line the parabolas that are lowest somewhere, all lines at a time.
+
+    A line takes a parabola in and out once, so the work grows with the number of pixels."""
+    lines, w = f.shape
+    each = np.arange(lines)
+    lowest = np.zeros((lines, w), dtype=np.int64)
+    since = np.full((lines, w + 1), np.inf)
+    since[:, 0] = -np.inf
+    top = np.zeros(lines, dtype=np.int64)
+    height = f + np.arange(w) ** 2
+    for q in range(1, w):
+        rows, cross = each, np.empty(lines)
+        while len(rows):
+            v = lowest[rows, top[rows]]
+            cross[rows] = (height[rows, q] - height[rows, v]) / (2 * (q - v))
+            rows = rows[cross[rows] <= since[rows, top[rows]]]
+            top[rows] -= 1
+        top += 1
+        lowest[each, top], since[each, top] = q, cross
+    since[each, top + 1] = np.inf
+    out, at = np.empty_like(f), np.zeros(lines, dtype=np.int64)
+    for x in range(w):
+        rows = each
+        while len(rows):
+            rows = rows[since[rows, at[rows] + 1] < x]
+            at[rows] += 1
+        v = lowest[each, at]
+        out[:, x] = f[each, v] + (x - v) ** 2
+    return out
+
+
 def distance_to_land_km(land: np.ndarray, pixel_metres: float = 10.0) -> np.ndarray:
-    """Exact Euclidean distance to the nearest land pixel: column distances, then the least over each row's parabolas."""
+    """Exact Euclidean distance to the nearest land pixel: column distances, then the lower envelope of each row's parabolas."""
     n, h, w = land.shape
     far = float(h + w) * 2
     down = np.where(land, 0.0, far)
@@ -107,24 +139,32 @@ def distance_to_land_km(land: np.ndarray, pixel_metres: float = 10.0) -> np.ndar
         down[:, r] = np.minimum(down[:, r], down[:, r - 1] + 1)
     for r in range(h - 2, -1, -1):
         down[:, r] = np.minimum(down[:, r], down[:, r + 1] + 1)
-    square, cols = down * down, np.arange(w)
-    best = np.full((n, h, w), np.inf)
-    for k in range(w):
-        best = np.minimum(best, square[:, :, k : k + 1] + (cols - k) ** 2)
+    best = _lower_envelope((down * down).reshape(n * h, w)).reshape(n, h, w)
     return np.where(land.any(axis=(1, 2))[:, None, None], np.sqrt(best) * pixel_metres / 1000.0, NO_LAND_KM)
 
 
 def polygon_mask(rings: list[list[tuple[float, float]]], height: int, width: int) -> np.ndarray:
-    """Pixels whose centre (x column, y row) lies inside any ring by the even-odd rule."""
-    y, x = np.mgrid[0:height, 0:width].astype(float)
+    """Pixels whose centre (x column, y row) lies inside any ring by the even-odd rule.
+
+    Of each edge only the rows that it crosses are looked at: what lies before the crossing changes sides."""
     out = np.zeros((height, width), dtype=bool)
     for ring in rings:
-        odd = np.zeros_like(out)
-        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
-            spans = (ay > y) != (by > y)
-            if ay != by:
-                odd ^= spans & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
-        out |= odd
+        if not ring:
+            continue
+        ends = np.array([[*a, *b] for a, b in zip(ring, ring[1:] + ring[:1], strict=True)], dtype=float)
+        low = np.clip(np.ceil(np.minimum(ends[:, 1], ends[:, 3])), 0, height).astype(np.int64)
+        high = np.clip(np.ceil(np.maximum(ends[:, 1], ends[:, 3])), 0, height).astype(np.int64)
+        if not (high > low).any():
+            continue
+        many = high - low
+        ax, ay, bx, by = np.repeat(ends, many, axis=0).T
+        y = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)
+        before = np.clip(np.ceil((bx - ax) * (y - ay) / (by - ay) + ax), 0, width).astype(np.int64)
+        top, bottom = int(low[many > 0].min()), int(high.max())
+        turns = np.zeros((bottom - top, width + 1), dtype=np.int64)
+        np.add.at(turns, (y - top, before), 1)
+        # A pixel is inside if an odd number of crossings lies after it.
+        out[top:bottom] |= (turns[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:] & 1).astype(bool)
     return out
 
 

@@ -93,3 +93,27 @@ def test_polygons(spark):
         spark.createDataFrame([("POINT (1 2)",)], "w string").select(geometry.wkt_rings(F.col("w"))).collect()
     at = spark.createDataFrame([(105.0, 40.0, [100.0, 0.5, 0.0, 50.0, 0.0, -2.0])], "x double, y double, t array<double>")
     assert tuple(at.select(geometry.to_pixel(F.col("x"), F.col("y"), F.col("t")).alias("p")).first().p) == (10.0, 5.0)
+
+
+def test_distance_and_polygons_equal_brute_force():
+    rng = np.random.default_rng(0)
+    for shape, p in (((3, 20, 25), 0.02), ((2, 7, 9), 0.3), ((1, 30, 30), 0.002), ((2, 5, 1), 0.4), ((2, 1, 8), 0.3)):
+        land = rng.random(shape) < p
+        got = K.distance_to_land_km(land, 1000.0)
+        for k in range(shape[0]):
+            at = np.argwhere(land[k])
+            grid = np.stack(np.mgrid[0 : shape[1], 0 : shape[2]], axis=-1)
+            want = np.sqrt(((grid[:, :, None] - at[None, None]) ** 2).sum(-1)).min(-1) if len(at) else np.full(shape[1:], K.NO_LAND_KM)
+            assert np.allclose(got[k], want)
+    for k in range(60):
+        rings = [[tuple(map(float, q)) for q in (rng.uniform(-5, 25, (5, 2)) if k % 2 else rng.integers(-3, 23, (rng.integers(1, 7), 2)))] for _ in range(rng.integers(0, 3))]
+        want = np.zeros((17, 21), dtype=bool)
+        for y in range(17):
+            for x in range(21):
+                for ring in rings:
+                    odd = False
+                    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+                        if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                            odd = not odd
+                    want[y, x] |= odd
+        assert np.array_equal(K.polygon_mask(rings, 17, 21), want)
