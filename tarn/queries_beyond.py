@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tarn.model import MANIFEST, TileSpec
-from tarn.operators import objects, tiling
+from tarn.operators import objects, positions, tiling
 from tarn.queries import M, _records, _t, query
 from tarn.scratch import shared_dir
 from tarn.sources import store
@@ -66,3 +66,35 @@ def rebuilt_source(spark, sf):
         pass
     table.update(lambda rows: rows.withColumn("n_px_oil", F.col("n_px_oil") * 2), MANIFEST)
     return table.read(MANIFEST).groupBy("source", "n_px_oil").agg(F.count("*").alias("n"), F.countDistinct("tile_id").alias("n_tiles"))
+
+
+_POSITION = "user_id AS vessel, epoch(ts) AS time, (user_id % 40) * 0.5 - 180 + (event_id % 100) * 0.01 AS lon, (user_id % 15) * 4 + 28 + (event_id % 77) * 0.01 AS lat"
+_HAVERSINE = "2 * 6371008.8 * asin(least(1.0, sqrt(power(sin(radians(p.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(p.lat)) * power(sin(radians(p.lon - d.lon) / 2), 2))))"
+
+
+def _tracks(spark, sf):
+    """Events as positions of vessels, along the 180th meridian and up to high latitudes."""
+    e, k = F.col("event_id"), F.col("user_id")
+    return _t(spark, sf, "events").select(e, "event_type", k.alias("vessel"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("us"), ((k % 40) * 0.5 - 180 + (e % 100) * 0.01).alias("lon"), ((k % 15) * 4 + 28 + (e % 77) * 0.01).alias("lat")).withColumn("time", F.col("us") / 1e6).drop("us")
+
+
+@query(f"""WITH p AS (SELECT event_id AS position, {_POSITION} FROM events), d AS (SELECT event_id AS detection, epoch(ts) + 900 AS time, CASE WHEN p.lon < -179.97 THEN p.lon + 359.96 ELSE p.lon - 0.03 END AS lon, p.lat + 0.01 AS lat FROM (SELECT event_id, ts, {_POSITION} FROM events WHERE event_type = 'error') p)
+SELECT detection, position, round({_HAVERSINE}, 3) AS metres_apart, round(abs(d.time - p.time), 3) AS seconds_apart FROM d JOIN p ON abs(d.time - p.time) <= 43200 WHERE {_HAVERSINE} <= 15000""")
+def positions_near_detections(spark, sf):
+    rows = _tracks(spark, sf)
+    shifted = F.when(F.col("lon") < -179.97, F.col("lon") + 359.96).otherwise(F.col("lon") - 0.03)
+    detections = rows.filter("event_type = 'error'").select(F.col("event_id").alias("detection"), (F.col("time") + 900).alias("time"), shifted.alias("lon"), (F.col("lat") + 0.01).alias("lat"))
+    found = positions.near(detections, rows.select(F.col("event_id").alias("position"), "time", "lon", "lat"), 15_000, 43_200)
+    return found.select("detection", "position", F.round("metres_apart", 3).alias("metres_apart"), F.round("seconds_apart", 3).alias("seconds_apart"))
+
+
+@query(f"""WITH p AS (SELECT vessel, time, max(lon) AS lon, max(lat) AS lat FROM (SELECT {_POSITION} FROM events) GROUP BY vessel, time HAVING count(*) = 1), w AS (SELECT event_id, user_id AS vessel, epoch(ts) + 3600 * (event_id % 30) AS time FROM events WHERE event_id % 3 = 0),
+a AS (SELECT w.*, p.time AS ta, p.lon AS lona, p.lat AS lata FROM w ASOF LEFT JOIN p ON w.vessel = p.vessel AND w.time >= p.time),
+b AS (SELECT a.*, p.time AS tb, p.lon AS lonb, p.lat AS latb FROM a ASOF LEFT JOIN p ON a.vessel = p.vessel AND a.time < p.time),
+c AS (SELECT *, CASE WHEN ta = time THEN 0.0 ELSE tb - ta END AS gap, CASE WHEN ta = time THEN 0.0 ELSE (time - ta) / (tb - ta) END AS share, (((lonb - lona + 540) % 360) + 360) % 360 - 180 AS turn FROM b)
+SELECT event_id, vessel, round(gap, 3) AS gap, CASE WHEN gap <= 172800 THEN round(CASE WHEN ta = time THEN lona ELSE ((lona + share * turn + 180) % 360 + 360) % 360 - 180 END, 6) END AS lon, CASE WHEN gap <= 172800 THEN round(CASE WHEN ta = time THEN lata ELSE lata + share * (latb - lata) END, 6) END AS lat FROM c""")
+def track_positions_at_times(spark, sf):
+    rows = _tracks(spark, sf)
+    wanted = rows.filter("event_id % 3 = 0").select("event_id", "vessel", (F.col("time") + 3600 * (F.col("event_id") % 30)).alias("time"))
+    found = positions.at_times(rows.select("vessel", "time", "lon", "lat"), wanted, longest_gap=172_800)
+    return found.select("event_id", "vessel", F.round("gap", 3).alias("gap"), F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
