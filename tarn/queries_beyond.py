@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tarn.model import MANIFEST, TileSpec
-from tarn.operators import objects, positions, tiling
+from tarn.operators import evaluation, objects, positions, tiling
 from tarn.queries import M, _records, _t, query
 from tarn.scratch import shared_dir
 from tarn.sources import store
@@ -98,3 +98,60 @@ def track_positions_at_times(spark, sf):
     wanted = rows.filter("event_id % 3 = 0").select("event_id", "vessel", (F.col("time") + 3600 * (F.col("event_id") % 30)).alias("time"))
     found = positions.at_times(rows.select("vessel", "time", "lon", "lat"), wanted, longest_gap=172_800)
     return found.select("event_id", "vessel", F.round("gap", 3).alias("gap"), F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
+@query("""WITH p AS (SELECT DISTINCT user_id % 40 AS cell, event_id * 7919 % 70000 AS pass_no, event_type = 'error' AS hit FROM events)
+SELECT cell, CAST(count(DISTINCT pass_no) AS BIGINT) AS n_passes, CAST(count(DISTINCT CASE WHEN hit THEN pass_no END) AS BIGINT) AS n_hits, round(count(DISTINCT CASE WHEN hit THEN pass_no END) / count(DISTINCT pass_no)::DOUBLE, 9) AS share,
+       count(DISTINCT CASE WHEN hit THEN pass_no END) / count(DISTINCT pass_no)::DOUBLE >= 0.3 AS recurrent FROM p GROUP BY cell""")
+def archive_recurrence(spark, sf):
+    """Bitmaps of an archive with those of late passes merged in."""
+    e = F.col("event_id")
+    seen = _t(spark, sf, "events").select((F.col("user_id") % 40).alias("cell"), (e * 7919 % 70000).alias("pass_no"), (F.col("event_type") == "error").alias("hit"), (e % 5 == 0).alias("late"))
+    both = evaluation.merge_passes(evaluation.passes(seen.filter("not late")), evaluation.passes(seen.filter("late")))
+    return evaluation.recurrence(both).withColumn("share", F.round("share", 9))
+
+
+_SCORED = "SELECT CASE WHEN l_quantity < 15 THEN 'low' WHEN l_quantity < 35 THEN 'fit' ELSE 'high' END AS wind_class, ((l_orderkey * 37 + l_linenumber * 11) % 10007) / 10007.0::DOUBLE AS score, l_returnflag = 'R' AS hit FROM lineitem"
+
+
+def _scored(spark, sf):
+    q = F.col("l_quantity")
+    return _t(spark, sf, "lineitem").select(F.when(q < 15, "low").when(q < 35, "fit").otherwise("high").alias("wind_class"), ((F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 10007 / F.lit(10007.0)).alias("score"), (F.col("l_returnflag") == "R").alias("hit"))
+
+
+@query(f"""WITH s AS (SELECT wind_class, least(floor(score * 1000), 999) / 1000 AS edge, hit FROM ({_SCORED})), t AS (SELECT DISTINCT wind_class, edge FROM s),
+k AS (SELECT t.wind_class, t.edge, count(*) FILTER (hit AND s.edge >= t.edge) AS kept, count(*) FILTER (hit) AS total, count(*) FILTER (NOT hit AND s.edge >= t.edge) AS alarms FROM t JOIN s USING (wind_class) GROUP BY ALL)
+SELECT wind_class, max(edge) AS threshold, round(arg_max(kept, edge) / arg_max(total, edge)::DOUBLE, 9) AS recall, CAST(arg_max(alarms, edge) AS BIGINT) AS false_alarms, round(1000 * arg_max(alarms, edge) / CASE wind_class WHEN 'low' THEN 1500.0::DOUBLE WHEN 'fit' THEN 4000.0::DOUBLE ELSE 2500.0::DOUBLE END, 6) AS per_1000_km2
+FROM k WHERE kept >= 0.8 * total GROUP BY wind_class""")
+def false_alarms_at_recall(spark, sf):
+    area = spark.createDataFrame([("low", 1500.0), ("fit", 4000.0), ("high", 2500.0)], "wind_class string, km2 double")
+    found = evaluation.false_alarms(_scored(spark, sf), area, 0.8)
+    return found.select("wind_class", "threshold", F.round("recall", 9).alias("recall"), "false_alarms", F.round("per_1000_km2", 6).alias("per_1000_km2"))
+
+
+@query(f"""WITH s AS (SELECT round(score, 2) AS x, sum(hit::INTEGER)::DOUBLE AS y, count(*)::DOUBLE AS w FROM ({_SCORED}) GROUP BY 1),
+c AS MATERIALIZED (SELECT x, sum(y) OVER (ORDER BY x) AS cy, sum(w) OVER (ORDER BY x) AS cw, y, w FROM s),
+a AS (SELECT j.x AS xj, k.x AS xk, (k.cy - j.cy + j.y) / (k.cw - j.cw + j.w) AS mean FROM c j JOIN c k ON j.x <= k.x),
+v AS (SELECT c.x, c.w, (SELECT max(m) FROM (SELECT xj, min(mean) AS m FROM a WHERE xj <= c.x AND xk >= c.x GROUP BY xj)) AS value FROM c)
+SELECT min(x) AS low, max(x) AS high, round(value, 9) AS value, CAST(sum(w) AS BIGINT) AS weight FROM v GROUP BY round(value, 9)""")
+def isotonic_calibration(spark, sf):
+    """Against the max-min form: the value at x is the greatest over starts of the least over ends of the means between them."""
+    return evaluation.isotonic(_scored(spark, sf), digits=2).withColumn("value", F.round("value", 9))
+
+
+_BOX = "(l_partkey * 13 % 400) AS x0, (l_partkey * 29 % 300) AS y0, 5 + l_linenumber * 3 AS w, 4 + l_suppkey % 17 AS h"
+
+
+@query(f"""WITH a AS (SELECT l_orderkey % 97 AS scene, l_orderkey * 10 + l_linenumber AS id, l_returnflag = 'R' AS true_one, {_BOX} FROM lineitem),
+p AS (SELECT f.scene, f.id AS found_id, t.id AS true_id, (least(f.x0 + f.w, t.x0 + t.w) - greatest(f.x0, t.x0)) * (least(f.y0 + f.h, t.y0 + t.h) - greatest(f.y0, t.y0)) AS inner_, f.w * f.h + t.w * t.h AS both_
+      FROM a f JOIN a t ON f.scene = t.scene AND NOT f.true_one AND t.true_one AND f.x0 < t.x0 + t.w AND t.x0 < f.x0 + f.w AND f.y0 < t.y0 + t.h AND t.y0 < f.y0 + f.h),
+s AS (SELECT scene, found_id, true_id, inner_ / (both_ - inner_)::DOUBLE AS iou FROM p)
+SELECT scene, found_id, true_id, round(iou, 9) AS iou, CAST(row_number() OVER (PARTITION BY scene, found_id ORDER BY round(iou, 9) DESC, true_id) AS INTEGER) AS rank FROM s WHERE iou >= 0.2""")
+def overlap_rank(spark, sf):
+    """Boxes as rings: found objects against true ones."""
+    e = F.expr
+    corner = lambda dx, dy: F.struct((F.col("x0") + dx).cast("double").alias("x"), (F.col("y0") + dy).cast("double").alias("y"))
+    rows = _t(spark, sf, "lineitem").select(e("l_orderkey % 97").alias("scene"), e("l_orderkey * 10 + l_linenumber").alias("id"), (F.col("l_returnflag") == "R").alias("t"), e("l_partkey * 13 % 400").alias("x0"), e("l_partkey * 29 % 300").alias("y0"), e("5 + l_linenumber * 3").alias("w"), e("4 + l_suppkey % 17").alias("h"))
+    rows = rows.withColumn("ring", F.array(corner(F.lit(0), F.lit(0)), corner(F.col("w"), F.lit(0)), corner(F.col("w"), F.col("h")), corner(F.lit(0), F.col("h"))))
+    found = evaluation.overlaps(rows.filter("not t").select("scene", F.col("id").alias("found_id"), "ring"), rows.filter("t").select("scene", F.col("id").alias("true_id"), "ring"), 20.0, 0.2)
+    return found.withColumn("iou", F.round("iou", 9))
