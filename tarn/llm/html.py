@@ -1,7 +1,7 @@
 r"""Main-text extraction: gradient-boosted trees over DOM nodes, decoded so that choices on a path agree.
 
 A page becomes a tree of its block elements (inline markup joins its block; scripts, styles, form controls and the head are
-left out while parsing). Each node has features of itself and its subtree: tag, attribute tokens, text and link density, punctuation, depth,
+left out while parsing, all other text is left to the trees). Each node has features of itself and its subtree: tag, attribute tokens, text and link density, punctuation, depth,
 siblings, ancestors, position. Trees boosted on logistic loss give the probability that the node holds main text. Decoding maximises the sum of
 log-probabilities over all nodes under the rule that nothing under a dropped node is kept: a bottom-up pass compares, for
 each node, dropping its whole subtree with keeping it and deciding each child for itself.
@@ -93,18 +93,18 @@ def parse(page: str) -> Node:
     """The tree of block elements. parts of a node: its text pieces (references decoded)  and child nodes, in order."""
     root = Node("html", None, "", 0)
     stack = [root]
-    at, anchors, hidden, seen, n = 0, 0, [], 0, len(page)
+    at, anchors, hidden, seen, n, drawings = 0, 0, [], 0, len(page), 0
     open_: dict[str, list[int]] = defaultdict(list)  # of each name, where its open elements (but the root) stand in the stack
     inside: list[str] = []  # open blocks inside hidden elements, and how many there are of each name
     within: Counter[str] = Counter()
 
-    def text(piece: str) -> None:
+    def text(piece: str, coded: bool = True) -> None:
         nonlocal seen
         if hidden == ["head"] and piece.strip():
             hidden.clear()
         if hidden or not piece:
             return
-        piece = _html.unescape(piece) if "&" in piece else piece
+        piece = _html.unescape(piece) if coded and "&" in piece else piece
         node = stack[-1]
         node.parts.append(piece)
         size = len(piece.strip())
@@ -146,10 +146,21 @@ def parse(page: str) -> Node:
         name = name.lower()
         if hidden == ["head"] and not slash and name not in HEAD:
             hidden.clear()
+        if name == "svg" and not attributes.endswith("/"):
+            drawings = max(drawings + (-1 if slash else 1), 0)
         if not slash and name in RAW:
             end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
+            inner = page[at : n if end is None else end.start()]
             at = n if end is None else page.find(">", end.start()) + 1 or n
-        elif name in HIDDEN:
+            if name == "xmp":  # shown as it stands, as a block of its own
+                if not hidden:
+                    stack.append(Node("pre", stack[-1], attributes, seen))
+                    text(inner, False)
+                    open_["pre"].append(len(stack) - 1)
+                    close(len(stack) - 1)
+            elif name == "title" and drawings:
+                text(inner)
+        elif name in HIDDEN and (name != "noscript" or hidden):
             if slash:
                 if name in hidden:
                     del hidden[hidden.index(name) :]

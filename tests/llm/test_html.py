@@ -98,9 +98,9 @@ def test_unclosed_hidden_elements_end():
         return H.blocks(root, [True] * len(H._walk(root)))
 
     rest = "<article><p>text</p></article>"
-    for hidden in ("button", "select", "template", "noscript", "datalist"):
+    for hidden in ("button", "select", "template", "datalist"):
         assert keep(f"<div><{hidden}>gone</div>{rest}") == ["text"]
-    for hidden in ("button", "template", "noscript"):  # a select can't hold blocks
+    for hidden in ("button", "template"):  # a select can't hold blocks
         assert keep(f"<div><{hidden}><div>gone</div><p>gone</{hidden}>stays</div>{rest}") == ["stays", "text"]
     for control in ("button", "select"):
         assert keep(f"<body><{control}>gone{rest}") == ["text"]
@@ -111,6 +111,21 @@ def test_unclosed_hidden_elements_end():
     assert keep("<head>\n<noscript><link x></noscript>\n<style>s</style></head>b") == ["b"]
 
 
+def test_text_that_is_neither_form_script_nor_style_is_parsed(model):
+    def keep(page):
+        root = H.parse(page)
+        return H.blocks(root, [True] * len(H._walk(root)))
+
+    assert keep("<article>a<noscript><p>b &amp; c</p>d</noscript>e</article>") == ["a", "b & c", "de"]
+    assert keep("<head><noscript>s</noscript></head><noscript>t<p>u") == ["t", "u"]
+    assert keep("<article>a<xmp><b>x &amp; y</b></xmp>c</article><xmp>cut") == ["a", "<b>x &amp; y</b>", "c", "cut"]
+    assert keep("<p>a <svg><title>b &amp; d</title><path/></svg> c<svg/><title>t</title>e") == ["a b & d ce"]
+    texts = [f"Paragraph {k} of the piece, with some plain words in it. And one more sentence." for k in range(8)]
+    body = "".join(f"<p>{t}</p>" for t in texts[:4]) + f"<noscript><p>{texts[4]}</p></noscript><xmp>for (a &lt; b) {{ print(a); next(b); }} // and some more words</xmp>" + "".join(f"<p>{t}</p>" for t in texts[5:])
+    page = f"<html><body><nav><ul><li><a href=/>Home</a></li><li><a href=/b>About</a></li></ul></nav><article><h1>The piece of writing</h1>{body}</article><footer>&copy; site</footer></body></html>"
+    assert H.extract_batch([page], model)[0].split("\n\n") == ["The piece of writing", *texts[:5], "for (a &lt; b) { print(a); next(b); } // and some more words", *texts[5:]]
+
+
 def test_deep_and_broken_nesting_takes_linear_time():
     for page in ("<div>" * 20_000, "<ul><li>" * 20_000, "<table><tr><td>" * 10_000, "<div></p>" * 20_000, "<noscript>" + "<div>" * 20_000 + "</div>" * 20_000):
         began = time.process_time()
