@@ -29,6 +29,8 @@ from .frames import materialise, partitions
 BLOCK = 8192
 #: Queries that travel together, and chunks of them that meet a block in one task.
 CHUNK, GROUP = 256, 16
+#: Tasks of the search for each shuffle partition of the session, at most.
+TASKS = 64
 SCALE = 256
 
 
@@ -211,7 +213,9 @@ def top_k(df: DataFrame, wanted: Column, k: int = 5, key: str = "vec_id", vector
                 yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(queries[:, c], size)) for c in (0, 1)), *(pa.array(np.concatenate([f[c] for f in found])) for c in (0, 1))], ["query_id", "query_row", "vec_id", "score"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    dealt = both.repartition(max(count * groups, partitions(spark)), "dim", "block", "group").sortWithinPartitions("dim", "block", "group", "chunk")
+    # A task streams any number of (block, group) keys, so their number, which grows with the square of the rows, isn't that of the tasks.
+    tasks = min(max(count * groups, partitions(spark)), TASKS * partitions(spark))
+    dealt = both.repartition(tasks, "dim", "block", "group").sortWithinPartitions("dim", "block", "group", "chunk")
     found = dealt.mapInArrow(stage, "query_id long, query_row long, vec_id long, score long")
     best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
