@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tarn.model import CHANNELS, CLASS_ID, MANIFEST, BuildConfig, SplitConfig, classes, label_map, read_sources, source_specs
 from tarn.operators import catalogue, labels, manifest, raster, splits, tiling
+from tarn.sources import fetch as remote
 from tarn.sources import store
 from tarn.sources.adapters import first_items, get_adapter
 
@@ -116,6 +117,44 @@ def verify(spark: SparkSession, native: DataFrame, kind: str, limit: int = 50) -
     return labels.unmapped(native, kind, key, label_map(spark)).orderBy(F.desc("n"), "source", "value").limit(limit)
 
 
+def fetch(spark: SparkSession, registry: dict, name: str, root: str | None = None, verify: bool = True, tasks: int = 8) -> dict:
+    """Bring a registered dataset's files under `root`/name, `tasks` at a time; what the lock has is verified (or skipped), and the lock then holds all that is there.
+
+    Sources whose discovery is manual give their instructions. Files that fail, or differ from their recorded digest, raise once the others are recorded."""
+    known, defaults = registry.get("sources", {}), registry.get("defaults", {})
+    if name not in known:
+        raise KeyError(f"no dataset {name!r}; registered: {sorted(known)}")
+    entry = known[name]
+    mode = entry.get("discovery", "manual")
+    told = {"source": name, "status": mode, **{k: entry.get(k) for k in ("landing", "licence", "citation")}}
+    if mode in ("manual", "unavailable"):
+        return {**told, "manual_instructions": entry.get("manual_instructions") or entry.get("notes", ""), "downloaded": [], "verified": [], "skipped": []}
+    if mode != "zenodo_api":
+        raise NotImplementedError(f"discovery {mode!r} of {name!r}")
+    folder = f"{root or defaults.get('root', 'data/raw')}/{name}"
+    files = remote_listing(spark, entry["api"])
+    lock = remote.read_lock(folder)
+    locked = spark.createDataFrame([(k, v.get("size")) for k, v in lock.items() if v.get("sha256")], "relpath string, size bigint")
+    plan = catalogue.fetch_plan(files, locked, verify).repartition(tasks, "relpath")
+    limits = {"retries": int(defaults.get("retries", remote.RETRIES)), "backoff": float(defaults.get("backoff_seconds", remote.BACKOFF_SECONDS)), "chunk": int(defaults.get("chunk_bytes", remote.CHUNK))}
+    found = remote.fetch_files(plan, folder, {k: v["sha256"] for k, v in lock.items() if v.get("sha256")}, **limits).orderBy("relpath").collect()  # a row for each file of a listing
+    for r in found:
+        if r.status == "downloaded":
+            lock[r.relpath] = {"sha256": r.sha256, "size": r.size, "url": r.url, "fetched_at": r.fetched_at}
+    remote.write_lock(folder, lock)
+    if problems := [f"{r.relpath}: {r.problem}" for r in found if r.problem]:
+        raise OSError(f"{name}: " + "; ".join(problems))
+    return {**told, "status": "ok", "root": folder, **{s: [r.relpath for r in found if r.status == s] for s in ("downloaded", "verified", "skipped")}}
+
+
+def remote_listing(spark: SparkSession, api: str) -> DataFrame:
+    """(relpath, url, size) of a record's files; a record without any is an error."""
+    files = catalogue.remote_files(spark.createDataFrame([(remote.listing(api),)], "body string"))
+    if files.isEmpty():
+        raise FileNotFoundError(f"no files at {api}")
+    return files
+
+
 def disk(files: DataFrame, free_bytes: int) -> DataFrame:
     return catalogue.disk_estimate(files).withColumn("fits", F.col("total_bytes") <= free_bytes)
 
@@ -129,4 +168,4 @@ def search(spark: SparkSession, url: str, query: catalogue.Search, top: int = 20
     return catalogue.summarise_products(found)
 
 
-__all__ = ["build", "build_source", "classes", "disk", "prepare_scenes", "report", "search", "sources", "split", "stats", "verify"]
+__all__ = ["build", "build_source", "classes", "disk", "fetch", "prepare_scenes", "remote_listing", "report", "search", "sources", "split", "stats", "verify"]

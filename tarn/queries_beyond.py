@@ -142,7 +142,7 @@ def isotonic_calibration(spark, sf):
 _BOX = "(l_partkey * 13 % 400) AS x0, (l_partkey * 29 % 300) AS y0, 5 + l_linenumber * 3 AS w, 4 + l_suppkey % 17 AS h"
 
 
-@query(f"""WITH a AS (SELECT l_orderkey % 97 AS scene, l_orderkey * 10 + l_linenumber AS id, l_returnflag = 'R' AS true_one, {_BOX} FROM lineitem),
+@query(f"""WITH a AS (SELECT l_orderkey // 150 AS scene, l_orderkey * 10 + l_linenumber AS id, l_returnflag = 'R' AS true_one, {_BOX} FROM lineitem),
 p AS (SELECT f.scene, f.id AS found_id, t.id AS true_id, (least(f.x0 + f.w, t.x0 + t.w) - greatest(f.x0, t.x0)) * (least(f.y0 + f.h, t.y0 + t.h) - greatest(f.y0, t.y0)) AS inner_, f.w * f.h + t.w * t.h AS both_
       FROM a f JOIN a t ON f.scene = t.scene AND NOT f.true_one AND t.true_one AND f.x0 < t.x0 + t.w AND t.x0 < f.x0 + f.w AND f.y0 < t.y0 + t.h AND t.y0 < f.y0 + f.h),
 s AS (SELECT scene, found_id, true_id, inner_ / (both_ - inner_)::DOUBLE AS iou FROM p)
@@ -151,7 +151,7 @@ def overlap_rank(spark, sf):
     """Boxes as rings: found objects against true ones."""
     e = F.expr
     corner = lambda dx, dy: F.struct((F.col("x0") + dx).cast("double").alias("x"), (F.col("y0") + dy).cast("double").alias("y"))
-    rows = _t(spark, sf, "lineitem").select(e("l_orderkey % 97").alias("scene"), e("l_orderkey * 10 + l_linenumber").alias("id"), (F.col("l_returnflag") == "R").alias("t"), e("l_partkey * 13 % 400").alias("x0"), e("l_partkey * 29 % 300").alias("y0"), e("5 + l_linenumber * 3").alias("w"), e("4 + l_suppkey % 17").alias("h"))
+    rows = _t(spark, sf, "lineitem").select(e("l_orderkey div 150").alias("scene"), e("l_orderkey * 10 + l_linenumber").alias("id"), (F.col("l_returnflag") == "R").alias("t"), e("l_partkey * 13 % 400").alias("x0"), e("l_partkey * 29 % 300").alias("y0"), e("5 + l_linenumber * 3").alias("w"), e("4 + l_suppkey % 17").alias("h"))
     rows = rows.withColumn("ring", F.array(corner(F.lit(0), F.lit(0)), corner(F.col("w"), F.lit(0)), corner(F.col("w"), F.col("h")), corner(F.lit(0), F.col("h"))))
     found = evaluation.overlaps(rows.filter("not t").select("scene", F.col("id").alias("found_id"), "ring"), rows.filter("t").select("scene", F.col("id").alias("true_id"), "ring"), 20.0, 0.2)
     return found.withColumn("iou", F.round("iou", 9))

@@ -1,4 +1,4 @@
-"""Driver-side downloads and the catalogue data source: resumable transfers, the lock file, paged search."""
+"""Downloads and the catalogue data source: resumable transfers, the lock file, paged search."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from urllib.parse import urlencode
 
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, InputPartition, LessThan
 
 CHUNK = 8 << 20
@@ -82,6 +84,48 @@ def download(url: str, dest: str | Path, size: int | None = None, opener: Callab
     raise AssertionError
 
 
+def listing(url: str, opener: Callable = urllib.request.urlopen) -> str:
+    """The JSON listing of a record's files."""
+    with opener(urllib.request.Request(url)) as answer:
+        return answer.read().decode()
+
+
+FETCHED = "relpath string, url string, size bigint, sha256 string, fetched_at string, status string, problem string"
+
+
+def fetch_files(plan: DataFrame, root: str, locked: dict[str, str], retries: int = RETRIES, backoff: float = BACKOFF_SECONDS, chunk: int = CHUNK) -> DataFrame:
+    """FETCHED for each row of a fetch plan: files are downloaded and checked where the rows are, into `root`, a folder that all tasks share.
+
+    locked: the recorded digest by relpath, for files to verify. A file that fails is a row with a problem, so that the others' work is
+    kept; a task that runs again resumes its parts and finds finished files."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for f in frame.itertuples():
+                dest = Path(root) / f.relpath
+                size = None if pd.isna(f.size_) else int(f.size_)
+                digest, status, problem = locked.get(f.relpath), "skipped", None
+                try:
+                    if not dest.resolve().is_relative_to(Path(root).resolve()):
+                        raise OSError(f"{f.relpath} lies outside the folder")
+                    if f.action == "download" or not dest.exists():
+                        if not (dest.exists() and dest.stat().st_size == size):
+                            download(f.url, dest, size, retries=retries, backoff=backoff, chunk=chunk)
+                        digest, status = sha256_file(dest), "downloaded"
+                    elif f.action == "verify":
+                        status = "verified"
+                        if sha256_file(dest) != digest:
+                            raise OSError(f"{dest} differs from its recorded sha256: delete it and fetch again")
+                except OSError as e:
+                    status, problem = "failed", str(e)
+                now = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
+                rows.append((f.relpath, f.url, dest.stat().st_size if dest.exists() else None, digest, now, status, problem))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in FETCHED.split(", ")]).astype({"size": "Int64"})
+
+    return plan.withColumnRenamed("size", "size_").mapInPandas(work, FETCHED)
+
+
 class TokenClient:
     """An access token that is renewed `margin` seconds before it ends."""
 

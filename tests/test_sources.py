@@ -164,6 +164,11 @@ class _Server(BaseHTTPRequestHandler):
             if not second:
                 page["@odata.nextLink"] = f"http://127.0.0.1:{self.server.server_port}/Products?skip=1"
             body, status = json.dumps(page).encode(), 200
+        elif self.path == "/records/1":
+            files = [{"key": f"part/{k}.bin", "size": len(self.data), "links": {"self": f"http://127.0.0.1:{self.server.server_port}/file{k}"}} for k in range(5)]
+            body, status = json.dumps({"files": [*files, {"key": "no link", "size": 3, "links": {}}]}).encode(), 200
+        elif self.path == "/records/2":
+            body, status = b'{"files": []}', 200
         else:
             at = int(self.headers.get("Range", "bytes=0-")[6:-1])
             body, status = self.data[at:], 206 if at else 200
@@ -206,6 +211,30 @@ def test_download_resumes_and_checks(server, tmp_path):
     assert client.token() == "2"
 
 
+def test_a_registered_dataset_is_fetched_verified_and_guarded(spark, server, tmp_path):
+    registry = {"defaults": {"retries": 1, "backoff_seconds": 0}, "sources": {"one": {"discovery": "zenodo_api", "api": f"{server}/records/1", "licence": "CC"}, "none": {"discovery": "zenodo_api", "api": f"{server}/records/2"}, "hand": {"notes": "write to them"}, "odd": {"discovery": "carrier"}}}
+    names = [f"part/{k}.bin" for k in range(5)]
+    first = jobs.fetch(spark, registry, "one", str(tmp_path))
+    assert first["downloaded"] == names and first["licence"] == "CC" and all((tmp_path / "one" / n).read_bytes() == _Server.data for n in names)
+    lock = fetch.read_lock(tmp_path / "one")
+    assert sorted(lock) == names and lock[names[0]]["sha256"] == fetch.sha256_file(tmp_path / "one" / names[0]) and lock[names[0]]["size"] == len(_Server.data)
+    assert jobs.fetch(spark, registry, "one", str(tmp_path))["verified"] == names
+    assert jobs.fetch(spark, registry, "one", str(tmp_path), verify=False)["skipped"] == names
+    # One file is gone, one is damaged: the first comes back and is recorded, the second stops the job.
+    (tmp_path / "one" / names[1]).unlink()
+    (tmp_path / "one" / names[2]).write_bytes(b"x" * len(_Server.data))
+    with pytest.raises(OSError, match="part/2.bin.*sha256"):
+        jobs.fetch(spark, registry, "one", str(tmp_path))
+    assert (tmp_path / "one" / names[1]).read_bytes() == _Server.data
+    assert jobs.fetch(spark, registry, "hand", str(tmp_path))["manual_instructions"] == "write to them"
+    for name, error in (("none", FileNotFoundError), ("odd", NotImplementedError), ("what", KeyError)):
+        with pytest.raises(error):
+            jobs.fetch(spark, registry, name, str(tmp_path))
+    config = fetch.CatalogueConfig.from_registry({"c": {"catalogue": "http://x", "client_id": "me", "other": 1}}, "c")
+    assert (config.catalogue, config.client_id, config.token_url) == ("http://x", "me", "") and fetch.CatalogueConfig.from_registry({}, "c").client_id == "public"
+    assert jobs.disk(jobs.remote_listing(spark, registry["sources"]["one"]["api"]), 10**9).first().total_bytes == 5 * len(_Server.data)
+
+
 def test_windowed_counts_of_a_stream(spark, tmp_path):
     from tarn.streaming.append import windowed_counts
 
