@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tarn.model import MANIFEST, PIXEL_COLUMNS
 from tarn.operators.tiling import oil_fraction, supervised_fraction
+from tarn.scratch import cut
 
 
 def tile_records(tiles: DataFrame) -> DataFrame:
@@ -51,6 +52,18 @@ def assign_shards(tiles: DataFrame, store: str = "store", shard_size: int = 512,
     return placed.withColumn("shard", F.concat(F.lit("tiles_"), F.lpad(number.cast("string"), 5, "0"), F.lit(".npz"))).withColumn("shard_index", (F.col("_at") % shard_size).cast("int")).drop("_part", "_n", "_before", "_at")
 
 
+#: Tiles whose addresses are broadcast, so that pixels move once, to their shard: some 20 MB.
+BROADCAST_TILES = 200_000
+
+
+def place_tiles(tiles: DataFrame, shard_size: int = 512) -> DataFrame:
+    """tiles with their shard addresses, numbered on narrow rows alone (tile_id must be unique); beyond BROADCAST_TILES rows meet their address by an exchange."""
+    narrow = tiles.select("tile_id", "sample_id", "row", "col", "store")
+    numbers = cut(assign_shards(narrow, shard_size=shard_size).select("tile_id", "shard", "shard_index"))
+    few = numbers.count() <= BROADCAST_TILES
+    return tiles.join(F.broadcast(numbers) if few else numbers, "tile_id")
+
+
 def summarise(manifest: DataFrame) -> DataFrame:
     """Per source: tiles, scenes, kinds, mean fractions, pixel percentages and the share of observable tiles."""
     total = reduce(lambda a, b: a + b, [F.sum(c) for c in PIXEL_COLUMNS])

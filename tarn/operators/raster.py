@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.functions.physics import INCIDENCE, gate, verdict
+from tarn.functions.physics import GATE, INCIDENCE, verdict
 from tarn.model import CHANNELS, SchemaError
 from tarn.operators import kernels
 from tarn.operators.kernels import on_arrays, on_scenes
@@ -125,13 +127,21 @@ def feature_stack(
 
 
 def field_summary(field: Column, phi: float = 45.0) -> list[Column]:
-    """What `physics.wind_summary` says of a scene's winds, from the scene's own array: no exchange, no row for each pixel."""
-    known = F.filter(field, lambda v: v.isNotNull() & ~F.isnan(v))
-    n, ordered = F.size(known), F.array_sort(known)
-    middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
-    inside = F.size(F.filter(known, lambda v: gate(v)))
-    fraction = F.coalesce(F.try_divide(inside.cast("double"), n.cast("double")), F.lit(0.0))
-    out = {"wind_ms_mean": F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, v: a + v), n.cast("double")), "wind_ms_min": F.array_min(known), "wind_ms_max": F.array_max(known), "wind_ms_scene": middle, "wind_fraction_observable": fraction, "observability": verdict(fraction)}
+    """What `physics.wind_summary` says of a scene's winds, from the scene's own array in one pass over it: no exchange, no row for each pixel."""
+
+    @F.pandas_udf("wind_ms_mean double, wind_ms_min double, wind_ms_max double, wind_ms_scene double, wind_fraction_observable double")
+    def run(fields: pd.Series) -> pd.DataFrame:
+        rows = []
+        for own in fields:
+            known = np.asarray([] if own is None else own, dtype=float)
+            known = known[~np.isnan(known)]
+            inside = ((known >= GATE[0]) & (known <= GATE[1])).mean() if len(known) else 0.0
+            rows.append((*((known.mean(), known.min(), known.max(), np.median(known)) if len(known) else (None,) * 4), inside))
+        return pd.DataFrame(rows, columns=["wind_ms_mean", "wind_ms_min", "wind_ms_max", "wind_ms_scene", "wind_fraction_observable"], dtype=float)
+
+    found = run(field)
+    names = ("wind_ms_mean", "wind_ms_min", "wind_ms_max", "wind_ms_scene", "wind_fraction_observable")
+    out = {n: F.nanvl(found[n], F.lit(None).cast("double")) for n in names} | {"observability": verdict(found["wind_fraction_observable"])}
     return [*[F.when(field.isNotNull(), c).alias(n) for n, c in out.items()], F.when(field.isNotNull(), F.lit(float(phi))).alias("wind_phi_assumed_deg")]
 
 

@@ -53,7 +53,7 @@ def build_source(spark: SparkSession, source: str, root: str, out: str, config:
         labels.raise_if_any(manifest.band_layouts(scenes.withColumn("store", F.col("source"))), "band layouts differ inside a store")
         tiles = tiling.tile_scenes(scenes, config.tile).withColumn("store", F.col("source"))
         tiles = tiles.withColumn("label_completeness", F.try_element_at("attrs", F.lit("label_completeness")))
-        tiles = manifest.assign_shards(tiles, shard_size=config.shard_size)
+        tiles = manifest.place_tiles(tiles, config.shard_size)
         kept = tiles.select("tile_id", "sample_id", "source", "store", "shard", "shard_index", "row", "col", "kept_as", "label_completeness", "band_names", "tile_bands", "tile_mask", F.col("tile_h").alias("height"), F.col("tile_w").alias("width"), *[c for c in tiles.columns if c.startswith(("n_px_", "wind_", "observ"))], "lon", "lat", "acquired")
         return store.stage_tiles(kept, out, config.shard_size, checked=True)
 
