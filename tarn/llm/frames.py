@@ -82,13 +82,13 @@ HOT_SHARE, SPREAD = 1000, 64
 
 
 def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """rows joined to facts (one row for each key) on `key`; rows of hot keys are dealt out over SPREAD tasks, and their facts to each of these."""
+    """rows joined to facts (one row for each key) on `key`; rows of hot keys are dealt out over SPREAD tasks, and their facts to each of these; so are rows with a null key, which meet none."""
     salt, hot = fresh(rows, "salt"), fresh(rows, "hot")
     least = max(1, rows.count() // HOT_SHARE)
     found = rows.groupBy(key).count().filter(F.col("count") > least).select(key, F.lit(True).alias(hot))
     found = F.broadcast(found)  # fewer than HOT_SHARE keys
     others = [c for c in rows.columns if c != key]
-    dealt = rows.join(found, key, "left").withColumn(salt, F.when(F.col(hot), F.pmod(F.xxhash64(*others), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int")).drop(hot)
+    dealt = rows.join(found, key, "left").withColumn(salt, F.when(F.col(hot) | F.col(key).isNull(), F.pmod(F.xxhash64(*others), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int")).drop(hot)
     copies = F.when(F.col(hot), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
     table = facts.join(found, key, "left").withColumn(salt, F.explode(copies)).drop(hot)
     return dealt.join(table, [key, salt], how).drop(salt)

@@ -24,6 +24,21 @@ def without_repeats(texts, window=50):
     return out
 
 
+def by_row(rows, window=50):
+    """The text that each (doc_id, text) row keeps; rows with a null id neither cut nor are cut."""
+    words = [(t or "").encode().split() for _, t in rows]
+    least = {}
+    for (d, _), w in zip(rows, words, strict=True):
+        for i in range(len(w) - window + 1 if d is not None else 0):
+            key = tuple(w[i : i + window])
+            least[key] = min(least.get(key, d), d)
+    out = []
+    for (d, t), w in zip(rows, words, strict=True):
+        gone = {x for i in range(len(w) - window + 1 if d is not None else 0) if least[tuple(w[i : i + window])] < d for x in range(i, i + window)}
+        out.append(b" ".join(x for k, x in enumerate(w) if k not in gone).decode() if gone else t)
+    return out
+
+
 def odd_rows(good):
     """Rows with nulls, repeated ids, long and empty texts; `good` are texts that the classifier keeps."""
     a, b, c = good
@@ -55,6 +70,10 @@ def test_stages_on_odd_rows(spark):
                 assert sum(not r[1] for r in got) == 3
             if name == "substring_dedup":
                 assert len(got) == len(rows) and sum(r[0] is None for r in got) == sum(r[0] is None for r in rows)
+                # By row, whatever its id: only windows of a smaller id go; kept texts are as they were.
+                given = [tuple(r) for r in docs.collect()]
+                want = [(t[0], kept, *t[2:4]) for t, kept in zip(given, by_row([t[:2] for t in given]), strict=True)]
+                assert sorted(map(str, want)) == sorted(str((r[0], r[1], *r[2:4])) for r in got)
             if name == "tokenise":
                 assert len(got) == len(rows)
 
