@@ -17,7 +17,7 @@ Defined results: null masks and classes that aren't asked for give no parts; til
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -81,20 +81,20 @@ def label_parts(mask: np.ndarray, wanted: list[int], diagonal: bool = False) ->
     return np.repeat(out, size).reshape(h, w)
 
 
-def convex_hull(points: np.ndarray) -> np.ndarray:
+def convex_hull(points: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Corners of the hull of points (x, y), clockwise on a screen from the least; collinear points are left out."""
-    points = np.unique(points, axis=0)
+    points = sorted(set(points))
     if len(points) < 3:
         return points
     halves = []
     for side in (points, points[::-1]):
-        chain: list[np.ndarray] = []
+        chain: list[tuple[int, int]] = []
         for p in side:
             while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (p[1] - chain[-2][1]) - (chain[-1][1] - chain[-2][1]) * (p[0] - chain[-2][0]) <= 0:
                 chain.pop()
             chain.append(p)
         halves += chain[:-1]
-    return np.array(halves)
+    return halves
 
 
 def _outline(own: np.ndarray) -> dict[str, np.ndarray]:
@@ -124,8 +124,8 @@ def _outline(own: np.ndarray) -> dict[str, np.ndarray]:
     return {"name": name, "x0": x0, "y0": y0, "x1": x1, "y1": y1}
 
 
-def tile_parts(mask: np.ndarray, row: int, col: int, height: int, width: int, spec: TileSpec, wanted: list[int], diagonal: bool) -> list[dict]:
-    """The parts of a tile at (row, col) of a scene of height x width."""
+def tile_parts(mask: np.ndarray, row: int, col: int, height: int, width: int, spec: TileSpec, wanted: list[int], diagonal: bool) -> dict[str, list]:
+    """The parts of a tile at (row, col) of a scene of height x width, by column."""
     h, w = mask.shape
     local = label_parts(mask, wanted, diagonal)
     pixel = (np.arange(row, row + h)[:, None] * width + np.arange(col, col + w)[None, :]).astype(np.int64)
@@ -145,31 +145,47 @@ def tile_parts(mask: np.ndarray, row: int, col: int, height: int, width: int, sp
     bottom, right = (int(s[s > at].min(initial=n)) for s, at, n in ((rows, row, height), (cols, col, width)))
     own = name[: bottom - row, : right - col]
     lines = _outline(own)
-    names = np.unique(name[name >= 0])
+    names, first = np.unique(name, return_index=True)
+    names, first = names[names >= 0], first[names >= 0]
     oy, ox = np.nonzero(own >= 0)
     of = np.searchsorted(names, own[oy, ox])
     oy, ox = oy + row, ox + col
-    order = np.argsort(of, kind="stable")
-    cut_own = np.searchsorted(of[order], np.arange(len(names) + 1))
-    cut_seam = np.searchsorted(seam[0], np.append(names, np.iinfo(np.int64).max))
-    line_order = np.argsort(lines["name"], kind="stable")
-    cut_line = np.searchsorted(lines["name"][line_order], np.append(names, np.iinfo(np.int64).max))
-    label_of = dict(zip(name.ravel().tolist(), mask.ravel().tolist(), strict=True))
-    parts = []
-    for k, n in enumerate(names.tolist()):
-        here = order[cut_own[k] : cut_own[k + 1]]
-        y, x = oy[here].astype(np.int64), ox[here].astype(np.int64)
-        box = [int(v) for v in (x.min(), y.min(), x.max(), y.max())] if len(x) else [None] * 4
-        corners = np.concatenate([np.stack([x + i, y + j], axis=1) for i in (0, 1) for j in (0, 1)])
-        line = line_order[cut_line[k] : cut_line[k + 1]]
-        sums = [len(x), *(int(v.sum()) for v in (x, y, x * x, x * y, y * y))]
-        parts.append({
-            "label": label_of[n], "node": n, **dict(zip(("area", "sx", "sy", "sxx", "sxy", "syy"), sums, strict=True)), **dict(zip(("x_min", "y_min", "x_max", "y_max"), box, strict=True)),
-            "hull": [{"x": int(p[0]), "y": int(p[1])} for p in convex_hull(corners)] if len(x) else [],
-            "seam": [{"pixel": int(p), "held": bool(t)} for p, t in seam[1:, cut_seam[k] : cut_seam[k + 1]].T],
-            "outline": [{"x0": int(lines["x0"][i]) + col, "y0": int(lines["y0"][i]) + row, "x1": int(lines["x1"][i]) + col, "y1": int(lines["y1"][i]) + row} for i in line],
-        })
-    return parts
+    order = np.argsort(of, kind="stable")  # raster order inside a part
+    of, oy, ox = of[order], oy[order], ox[order]
+    n = len(names)
+    total = lambda v: np.bincount(of, v, n).astype(np.int64).tolist()
+    columns = {"label": mask.ravel()[first].tolist(), "node": names.tolist(), "area": np.bincount(of, minlength=n).tolist()}
+    columns |= {"sx": total(ox), "sy": total(oy), "sxx": total(ox * ox), "sxy": total(ox * oy), "syy": total(oy * oy)}
+    held_own = np.bincount(of, minlength=n) > 0
+    start = np.searchsorted(of, np.flatnonzero(held_own))
+    for c, v in (("x", ox), ("y", oy)):
+        for f, end in ((np.minimum, "min"), (np.maximum, "max")):
+            found = np.full(n, None, dtype=object)
+            if len(start):
+                found[held_own] = f.reduceat(v, start).tolist()
+            columns[f"{c}_{end}"] = found.tolist()
+    # The ends of a part's rows have the corners of its hull.
+    line = np.ones(len(of), dtype=bool)
+    line[1:] = (of[1:] != of[:-1]) | (oy[1:] != oy[:-1])
+    at = np.flatnonzero(line)
+    last = np.append(at[1:], len(of))[: len(at)] - 1
+    cut_line = np.searchsorted(of[at], np.arange(n + 1)).tolist()
+    left, right, where = ox[at].tolist(), (ox[last] + 1).tolist(), oy[at].tolist()
+    hulls = []
+    for k in range(n):
+        ends = range(cut_line[k], cut_line[k + 1])
+        corners = [(x, y) for i in ends for x in (left[i], right[i]) for y in (where[i], where[i] + 1)]
+        hulls.append([{"x": x, "y": y} for x, y in convex_hull(corners)])
+    cut_seam = np.searchsorted(seam[0], np.append(names, np.iinfo(np.int64).max)).tolist()
+    seams_of = [{"pixel": p, "held": bool(t)} for p, t in zip(seam[1].tolist(), seam[2].tolist(), strict=True)]
+    by_name = np.argsort(lines["name"], kind="stable")
+    cut_edge = np.searchsorted(lines["name"][by_name], np.append(names, np.iinfo(np.int64).max)).tolist()
+    shifted = [(lines[c][by_name] + d).tolist() for c, d in (("x0", col), ("y0", row), ("x1", col), ("y1", row))]
+    edges = [{"x0": a, "y0": b, "x1": c, "y1": d} for a, b, c, d in zip(*shifted, strict=True)]
+    columns["hull"] = hulls
+    columns["seam"] = [seams_of[cut_seam[k] : cut_seam[k + 1]] for k in range(n)]
+    columns["outline"] = [edges[cut_edge[k] : cut_edge[k + 1]] for k in range(n)]
+    return columns
 
 
 def parts(tiles: DataFrame, spec: TileSpec, wanted: list[int], diagonal: bool = False) -> DataFrame:
@@ -178,13 +194,16 @@ def parts(tiles: DataFrame, spec: TileSpec, wanted: list[int], diagonal: bool =
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = []
+            found: dict[str, list] = {c: [] for c in names}
             for t in frame.itertuples():
                 if t.tile_mask is not None:
                     mask = np.asarray(t.tile_mask).reshape(t.tile_h, t.tile_w)
-                    found += [{"sample_id": t.sample_id, **p} for p in tile_parts(mask, t.row, t.col, t.height, t.width, spec, wanted, diagonal)]
-            out = pd.DataFrame(found, columns=names)
-            yield out.astype({c: "Int32" for c in names if c[:2] in ("x_", "y_")})
+                    own = tile_parts(mask, t.row, t.col, t.height, t.width, spec, wanted, diagonal)
+                    for c, values in own.items():
+                        found[c] += values
+                    found["sample_id"] += [t.sample_id] * len(own["node"])
+            if found["node"]:
+                yield pd.DataFrame(found, columns=names).astype({c: "Int32" for c in names if c[:2] in ("x_", "y_")})
 
     return tiles.select("sample_id", "row", "col", "tile_h", "tile_w", "tile_mask", "height", "width").mapInPandas(run, PARTS)
 
@@ -274,7 +293,7 @@ def metrics(found: DataFrame) -> DataFrame:
 
     @F.pandas_udf(f"array<{POINT}>")
     def merged(corners: pd.Series) -> pd.Series:
-        return corners.map(lambda c: [{"x": int(x), "y": int(y)} for x, y in convex_hull(np.array([(p["x"], p["y"]) for p in c], dtype=np.int64))])
+        return corners.map(lambda c: [{"x": x, "y": y} for x, y in convex_hull((p["x"], p["y"]) for p in c)])
 
     hull = whole.withColumn("hull", merged("corners"))
     ahead = F.concat(F.slice("hull", 2, F.size("hull")), F.slice("hull", 1, 1))

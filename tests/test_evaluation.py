@@ -24,7 +24,7 @@ def sampled_iou(a, b, n=200_000):
 
 
 def hull(rng):
-    return [tuple(map(float, p)) for p in convex_hull(np.array([[rng.randrange(11), rng.randrange(11)] for _ in range(7)]))]
+    return [tuple(map(float, p)) for p in convex_hull([(rng.randrange(11), rng.randrange(11)) for _ in range(7)])]
 
 
 def test_iou_of_polygons():

@@ -73,8 +73,8 @@ def test_objects_equal_the_whole_scene(spark, size, overlap, diagonal):
         h, w = masks[r.sample_id].shape
         inside = filled([[(p.x, p.y) for p in ring] for ring in r.rings], h, w)
         assert set(zip(*np.nonzero(inside), strict=True)) == own
-        corners = np.array([(x + i, y + j) for y, x in own for i in (0, 1) for j in (0, 1)])
-        assert sorted((p.x, p.y) for p in r.hull) == sorted(map(tuple, objects.convex_hull(corners).tolist()))
+        corners = [(int(x) + i, int(y) + j) for y, x in own for i in (0, 1) for j in (0, 1)]
+        assert sorted((p.x, p.y) for p in r.hull) == sorted(objects.convex_hull(corners))
         assert r.perimeter == sum((y + dy, x + dx) not in own for y, x in own for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1)))
 
 
@@ -90,7 +90,7 @@ def test_rings_at_touching_corners():
 
 
 def test_hull_and_empty(spark):
-    assert objects.convex_hull(np.array([[0, 0], [2, 0], [2, 2], [0, 2], [1, 1], [1, 0]])).tolist() == [[0, 0], [2, 0], [2, 2], [0, 2]]
+    assert objects.convex_hull([(0, 0), (2, 0), (2, 2), (0, 2), (1, 1), (1, 0)]) == [(0, 0), (2, 0), (2, 2), (0, 2)]
     spec = TileSpec(size=4, overlap=1)
     tiles = tiling.tile_masks(scenes(spark, {"a": np.ones((4, 4), dtype=np.int16)}), spec)
     assert objects.vectorise(tiles.limit(0), spec, [1]).count() == 0
