@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import struct
 import uuid
+import zlib
 
+import numpy as np
+import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarn.model import MANIFEST, TileSpec
-from tarn.operators import evaluation, objects, positions, tiling
+from tarn.operators import evaluation, manifest, objects, positions, tiling
 from tarn.queries import M, _records, _t, query
-from tarn.scratch import shared_dir
+from tarn.scratch import cut, shared_dir
 from tarn.sources import store
+from tarn.sources.codecs import read_image
 
 
 def _object_parts(spark, sf):
@@ -155,3 +161,41 @@ def overlap_rank(spark, sf):
     rows = rows.withColumn("ring", F.array(corner(F.lit(0), F.lit(0)), corner(F.col("w"), F.lit(0)), corner(F.col("w"), F.col("h")), corner(F.lit(0), F.col("h"))))
     found = evaluation.overlaps(rows.filter("not t").select("scene", F.col("id").alias("found_id"), "ring"), rows.filter("t").select("scene", F.col("id").alias("true_id"), "ring"), 20.0, 0.2)
     return found.withColumn("iou", F.round("iou", 9))
+
+
+@query(f"WITH {M} SELECT tile_id, row_number() OVER (ORDER BY tile_id) - 1 AS position FROM t")
+def manifest_in_order(spark, sf):
+    """Where each row of a built manifest stands: its number in its partition after those of the partitions before."""
+    rows = cut(manifest.build_manifest([_records(spark, sf)]).select("tile_id").withColumn("seq", F.monotonically_increasing_id()))
+    part = F.shiftright("seq", 33)
+    sizes = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # a row for each partition
+    placed = rows.withColumn("part", part).join(F.broadcast(before), "part")
+    return placed.select("tile_id", (F.col("before") + F.col("seq").bitwiseAND((1 << 33) - 1)).alias("position"))
+
+
+def _tiff(image: np.ndarray, rows: int) -> bytes:
+    """A TIFF of float32, `rows` to a packed strip."""
+    strips = [zlib.compress(image[at : at + rows].astype("<f4").tobytes()) for at in range(0, len(image), rows)]
+    starts = np.cumsum([8, *map(len, strips)]).tolist()
+    lists = struct.pack(f"<{len(strips)}I", *starts[:-1]) + struct.pack(f"<{len(strips)}I", *map(len, strips))
+    at, n = starts[-1], len(strips)
+    tags = [(256, 1, image.shape[1]), (257, 1, image.shape[0]), (258, 1, 32), (259, 1, 8), (273, n, at), (277, 1, 1), (278, 1, rows), (279, n, at + 4 * n), (339, 1, 3)]
+    return struct.pack("<2sHI", b"II", 42, at + 8 * n) + b"".join(strips) + lists + struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", k, 4, c, v) for k, c, v in tags) + struct.pack("<I", 0)
+
+
+@query("""SELECT vec_id, CAST(i // 8 AS INTEGER) AS "row", round(sum(v), 5) AS total, round(arg_max(v, i), 6) AS last FROM (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings) GROUP BY ALL""")
+def tiff_rows(spark, sf):
+    """Rasters written as TIFF files of packed strips and read again."""
+
+    @F.pandas_udf("binary")
+    def written(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: _tiff(np.asarray(v).reshape(8, 8), 3))
+
+    @F.pandas_udf("array<struct<total:double,last:double>>")
+    def read(files: pd.Series) -> pd.Series:
+        images = (read_image(f)[0].astype(float) for f in files)
+        return pd.Series([[{"total": line.sum(), "last": line[-1]} for line in image] for image in images])
+
+    lines = _t(spark, sf, "embeddings").select("vec_id", F.posexplode(read(written("embedding"))).alias("row", "line"))
+    return lines.select("vec_id", "row", F.round("line.total", 5).alias("total"), F.round("line.last", 6).alias("last"))
