@@ -8,7 +8,8 @@
    other member pass the length filter and the positional filter. Lists of three and more are kept.
 3. Sets of the pairs' members are read in a third pass (a sketch of their digests keeps other documents out); pairs are
    verified once, after a suffix filter: counts by parts of the hash space bound the overlap before sets are intersected.
-4. Of each kept list, the other pairs that pass the filters and lie in different components of the links so far are verified.
+4. Of each kept list, the other pairs that pass the filters and lie in different components of the links so far are verified. In long lists a few
+   pairs of each set outside the list's main component come first: near copies join it by these, so that a group of them isn't formed pair by pair.
 5. Connected components of the links, labelled by the smallest doc_id.
 6. All links lie inside components, so each set's links are counted there: a component is cut into blocks of sets, each pair of
    blocks is one group of its own, and its overlaps are counted for all pairs at once. No pair leaves its task.
@@ -256,15 +257,21 @@ def _owner(sets: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return mix(sets.view(np.uint64) ^ mix(docs.view(np.uint64)))
 
 
+def _read(docs: np.ndarray) -> np.ndarray:
+    return mix(docs.view(np.uint64) ^ np.uint64(5))
+
+
 def _member_sets(docs: DataFrame, members: DataFrame, size: int, name: str) -> DataFrame:
     """(set, n, shingles binary): sorted 64-bit hashes of the given sets, each from the rows with its smallest doc_id (once a task), and of a few others.
 
-    members: (set, low). A sketch of fixed size tells the documents to read; where it errs, a set too many is returned."""
+    members: (set, low). A sketch of fixed size tells the documents to read, before their shingles are made, and the sets to keep; where it errs, a set too many is returned."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, any_ = CountSketch(), False
         for batch in batches:
-            sketch.add(_owner(*(c.to_numpy(zero_copy_only=False) for c in batch.columns)))
+            sets, low = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            sketch.add(_owner(sets, low))
+            sketch.add(_read(low))
             any_ = True
         if any_:
             yield from segments(sketch)
@@ -276,6 +283,7 @@ def _member_sets(docs: DataFrame, members: DataFrame, size: int, name: str) -> D
 
         def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                batch = batch.filter(pa.array(wanted.estimate(_read(batch.column(0).to_numpy(zero_copy_only=False))) > 0))
                 keys = batch.column(0).to_numpy(zero_copy_only=False)
                 for lo, hi, _, g, n, ids in _sets(batch.column(1), family, size):
                     first = np.cumsum(n) - n
@@ -319,14 +327,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 #: Lists of a pivot that go to one task.
 LISTS = 128
-#: Members of a list that are compared with the others at a time.
-BLOCK = 1024
-
-
-def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+#: Pairs whose parts are compared at a time, and cells of a table of a list's members against each other.
+BLOCK, CELLS = 1024, 1 << 20
+#: From a list of LONG members on, each set is first compared with PROBES sets of the list's main component.
+LONG, PROBES = 64, 8
+
+
+def across(n: np.ndarray, label: np.ndarray, left: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of a list's members with different labels that pass the length and positional filters, each once. Members ascend by n; left: each
+    one's shingles from the list's on. Only members outside the commonest label are compared with all, so a list that is one component but for a few costs these few times its length."""
+    _, of, times = np.unique(label, return_inverse=True, return_counts=True)
+    main = of == times.argmax()
+    others = np.flatnonzero(~main)
+    step = max(1, min(BLOCK, CELLS // len(n)))
+    for at in range(0, len(others), step):
+        i = others[at : at + step]
+        lo, hi = np.searchsorted(n, -(-n[i[0]] * threshold // 100)), np.searchsorted(n, n[i[-1]] * 100 // threshold, "right")
+        j = np.arange(lo, hi)
+        good = (of[i][:, None] != of[lo:hi][None, :]) & (main[lo:hi][None, :] | (i[:, None] < j[None, :]))
+        short, long_ = np.minimum(n[i][:, None], n[lo:hi][None, :]), np.maximum(n[i][:, None], n[lo:hi][None, :])
+        good &= (100 * short >= threshold * long_) & (np.minimum(left[i][:, None], left[lo:hi][None, :]) >= least_overlap(short, long_, threshold))
+        x, y = np.nonzero(good)
+        yield i[x], j[y]
+
+
+def probes(n: np.ndarray, label: np.ndarray, left: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As `across`, but of pairs with the commonest label only those with its first PROBES members (by set: the same ones in lists that share members), and no others."""
+    _, of, times = np.unique(label, return_inverse=True, return_counts=True)
+    main = of == times.argmax()
+    i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(~main), np.flatnonzero(main)[:PROBES], indexing="ij"))
+    short, long_ = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    good = (100 * short >= threshold * long_) & (np.minimum(left[i], left[j]) >= least_overlap(short, long_, threshold))
+    yield i[good], j[good]
+
+
+def _residual(lists: DataFrame, known: DataFrame, threshold: int, first: bool = False) -> DataFrame:
     """Pairs (a, b) of a kept list whose members have different labels and that pass the length, positional and suffix filters.
 
-    known: (pivot, set, n, label, counts)."""
+    known: (pivot, set, n, label, counts). first: only each set's probes in long lists, whose links leave few pairs of different labels to the whole pass."""
     parts = partitions(lists.sparkSession)
     none = F.lit(None).cast("long")
     # A pivot with many lists is dealt to several tasks, each with what is known of the pivot's members.
@@ -352,32 +390,41 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
         facts = np.unique(np.array(facts, dtype=[("set", "<i8"), ("n", "<i8"), ("label", "<i8")]))
         facts = facts[np.append(True, facts["set"][1:] != facts["set"][:-1])]
         counts = np.frombuffer(b"".join(counts[s] for s in facts["set"].tolist()), dtype=np.uint8).reshape(-1, PARTS)
-        found = []
+
+        def bounded(keys: list[np.ndarray]) -> pa.RecordBatch:
+            i, j = np.divmod(np.unique(np.concatenate(keys)), len(facts))
+            fine = [np.zeros(0, dtype=bool)]
+            for k in range(0, len(i), BLOCK):
+                x, y = i[k : k + BLOCK], j[k : k + BLOCK]
+                fine.append(suffix_bound(counts[x], counts[y]) >= least_overlap(facts["n"][x], facts["n"][y], threshold))
+            fine = np.concatenate(fine)
+            return pa.RecordBatch.from_arrays([pa.array(facts["set"][i[fine]]), pa.array(facts["set"][j[fine]])], ["a", "b"])
+
+        # Lists of one pivot share most of their members: a pair is bounded once for all of them.
+        keys, count = [], 0
         for members, places in held.items():
             at = np.searchsorted(facts["set"], np.frombuffer(members, dtype=np.int64)[1:])
             of = facts[at]
             if (of["label"] == of["label"][0]).all():
                 continue
-            order = np.argsort(of["n"], kind="stable")
-            of, at, left = of[order], at[order], of["n"][order] - places[1:][order]
-            for lo in range(0, len(of), BLOCK):
-                a, of_a = of[lo : lo + BLOCK], left[lo : lo + BLOCK]
-                hi = np.searchsorted(of["n"], a["n"][-1] * 100 // threshold, "right")
-                b, of_b = of[lo:hi], left[lo:hi]
-                short, long_ = a["n"][:, None], b["n"][None, :]
-                good = (a["label"][:, None] != b["label"][None, :]) & (100 * short >= threshold * long_) & (np.arange(len(a))[:, None] < np.arange(len(b))[None, :])
-                good &= np.minimum(of_a[:, None], of_b[None, :]) >= least_overlap(short, long_, threshold)
-                i, j = np.nonzero(good)
-                fine = [suffix_bound(counts[at[lo + i[k : k + BLOCK]]], counts[at[lo + j[k : k + BLOCK]]]) >= least_overlap(a["n"][i[k : k + BLOCK]], b["n"][j[k : k + BLOCK]], threshold) for k in range(0, len(i), BLOCK)]
-                if fine:
-                    fine = np.concatenate(fine)
-                    i, j = i[fine], j[fine]
-                found.append(np.unique(np.column_stack([np.minimum(a["set"][i], b["set"][j]), np.maximum(a["set"][i], b["set"][j])]), axis=0))
-            if sum(map(len, found)) > FLUSH:
-                found = [np.unique(np.concatenate(found), axis=0)]
-        if found:
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            if first:
+                found = probes(of["n"], of["label"], of["n"] - places[1:], threshold)
+            else:
+                order = np.argsort(of["n"], kind="stable")
+                of, at = of[order], at[order]
+                found = across(of["n"], of["label"], of["n"] - places[1:][order], threshold)
+            for i, j in found:
+                i, j = at[i], at[j]
+                keys.append(np.minimum(i, j) * len(facts) + np.maximum(i, j))
+                count += len(i)
+                if count > FLUSH:
+                    keys = [np.unique(np.concatenate(keys))]
+                    count = len(keys[0])
+                    if count > FLUSH // 2:
+                        yield bounded(keys)
+                        keys, count = [], 0
+        if count:
+            yield bounded(keys)
 
     return rows.repartition(parts, "pivot", "share").mapInArrow(stage, "a long, b long").distinct()
 
@@ -492,24 +539,33 @@ def linked_sets(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD
     links = materialise(_verified(pairs, sets, threshold), "links")
     label = materialise(components(links).select(F.col("node").alias("set"), F.col("component").alias("label")), "labels")
 
-    # What can still join two components: lists of a pivot with a member outside the pivot's own.
-    of_pivot = label.select(F.col("set").alias("pivot"), F.col("label").alias("own"))
-    known = stars.join(label, "set", "left").join(of_pivot, "pivot", "left").select("pivot", "set", "n", F.coalesce("label", "set").alias("label"), F.coalesce("own", "pivot").alias("own"))
-    open_ = known.filter("label <> own").select("pivot").distinct()
+    # What can still join two components: lists of a pivot with a member outside the pivot's own. Long lists come first with a few pairs for each
+    # such member, which leaves few members outside, and then all lists with all pairs that are left.
     marks = lists.filter("kind = 2").select("set", F.col("members").alias("counts")).groupBy("set").agg(F.first("counts").alias("counts"))
-    kept = lists.filter("kind = 0").join(open_, "pivot", "left_semi").select("pivot", "members", "places")
-    rest = _residual(kept, known.join(open_, "pivot", "left_semi").drop("own").join(marks, "set"), threshold)
-    rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    missing = _member_sets(docs, ends(rest).join(ends(pairs), "set", "left_anti").join(low, "set"), size, "shingles")
-    sets = sets.unionByName(missing)
-    more = materialise(_verified(rest, sets, threshold), "links")
-    named = lambda end: more.join(label.select(F.col("set").alias(end), F.col("label").alias(f"of_{end}")), end, "left").select("a", "b", F.coalesce(f"of_{end}", end).alias(f"c{end}"))
-    across = components(named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a <> b").distinct())
-    label = low.select("set").join(label, "set", "left").select("set", F.coalesce("label", "set").alias("label"))
-    label = label.join(across, F.col("label") == F.col("node"), "left").select("set", F.coalesce("component", "label").alias("label"))
-    for frame in (lists, stars, links, rest, more):
+    done, used = pairs, [lists, stars, links]
+    long_ = F.length("members") > 8 * LONG
+    for first in [False] if lists.filter((F.col("kind") == 0) & long_).isEmpty() else [True, False]:
+        of_pivot = label.select(F.col("set").alias("pivot"), F.col("label").alias("own"))
+        known = stars.join(label, "set", "left").join(of_pivot, "pivot", "left").select("pivot", "set", "n", F.coalesce("label", "set").alias("label"), F.coalesce("own", "pivot").alias("own"))
+        open_ = known.filter("label <> own").select("pivot").distinct()
+        kept = lists.filter((F.col("kind") == 0) & (long_ if first else F.lit(True))).join(open_, "pivot", "left_semi").select("pivot", "members", "places")
+        rest = _residual(kept, known.join(open_, "pivot", "left_semi").drop("own").join(marks, "set"), threshold, first)
+        rest = materialise(rest.join(done, ["a", "b"], "left_anti"), "pairs")
+        if first:  # pairs whose sets have been read; the whole pass has the others
+            rest = materialise(rest.join(sets.select(F.col("set").alias("a")).distinct(), "a", "left_semi").join(sets.select(F.col("set").alias("b")).distinct(), "b", "left_semi"), "pairs")
+        else:
+            sets = sets.unionByName(_member_sets(docs, ends(rest).join(ends(pairs), "set", "left_anti").join(low, "set"), size, "shingles"))
+        more = materialise(_verified(rest, sets, threshold), "links")
+        named = lambda end, label=label, more=more: more.join(label.select(F.col("set").alias(end), F.col("label").alias(f"of_{end}")), end, "left").select("a", "b", F.coalesce(f"of_{end}", end).alias(f"c{end}"))
+        joined = components(named("a").join(named("b"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a <> b").distinct())
+        label = low.select("set").join(label, "set", "left").select("set", F.coalesce("label", "set").alias("label"))
+        label = label.join(joined, F.col("label") == F.col("node"), "left").select("set", F.coalesce("component", "label").alias("label"))
+        label = materialise(label, "labels")
+        done = done.unionByName(rest)
+        used += [rest, more]
+    for frame in used:
         discard(frame)
-    return of, materialise(label, "labels"), sets
+    return of, label, sets
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:

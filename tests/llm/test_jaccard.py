@@ -167,3 +167,46 @@ def test_links_of_a_component_of_many_blocks(spark, monkeypatch):
     rows = fixture_rows(40)
     got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=str) == degrees(rows)
+
+
+def near_copies(n, seed=4):
+    """A text of 300 words and n copies with 1 to 8 words changed: most pairs link, a few only through others."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for d in range(n):
+        words = list(base)
+        for at in rng.sample(range(300), rng.randint(1, 8)):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+    return rows
+
+
+def test_a_group_of_near_copies_is_not_formed_pair_by_pair(spark, monkeypatch):
+    rows, formed, kept = near_copies(300), [], jaccard.materialise
+
+    def counted(df, name, *used):
+        out = kept(df, name, *used)
+        if name == "pairs":
+            formed.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_components(docs).drop("n_links").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    assert sum(formed) < 10 * len(rows)
+
+
+def test_pairs_across_labels_equal_brute_force():
+    rng = np.random.default_rng(8)
+    for labels in (1, 2, 5, 200):
+        n = np.sort(rng.integers(20, 60, 200))
+        label, left = rng.integers(0, labels, 200), n - rng.integers(0, 12, 200)
+        want = set()
+        for i in range(200):
+            for j in range(i):
+                if label[i] != label[j] and 100 * n[j] >= 75 * n[i] and min(left[i], left[j]) >= jaccard.least_overlap(n[i], n[j], 75):
+                    want.add((j, i))
+        got = [tuple(sorted(p)) for i, j in jaccard.across(n, label, left, 75) for p in zip(i.tolist(), j.tolist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
