@@ -75,18 +75,23 @@ def path_parts(path: Column) -> tuple[Column, Column, Column]:
     return F.regexp_extract(path, r"([^/]+)/[^/]+/[^/]+$", 1), F.regexp_extract(path, r"([^/]+)/[^/]+$", 1), F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
-def pair_by_stem(files: DataFrame, left_dirs: tuple[str, ...], right_dirs: tuple[str, ...]) -> DataFrame:
-    """(partition, stem, left, right): in each partition the first present directory of each list, files joined by stem; right is null where it is missing, unmatched right files are ignored."""
+def pair_by_stem(files: DataFrame, left_dirs: tuple[str, ...], right_dirs: tuple[str, ...], item: str | None = None) -> DataFrame:
+    """(partition, stem, left, right): in each partition the first present directory of each list, files joined by stem; right is null where it is missing, unmatched right files are ignored.
+
+    item: a column of files that tells apart what shares a path (listings merged from several stores); files of different items
+    never pair, and it comes out beside the others. Without it a path is one file, however often it is listed."""
     part, folder, stem = path_parts(F.col("path"))
-    rows = files.select("path", part.alias("partition"), folder.alias("dir"), stem.alias("stem"))
+    own_keys = [item] if item else []
+    keys = ["partition", "stem", *own_keys]
+    rows = files.select("path", part.alias("partition"), folder.alias("dir"), stem.alias("stem"), *own_keys)
 
     def side(dirs: tuple[str, ...], name: str) -> DataFrame:
         rank = F.array_position(F.array(*map(F.lit, dirs)), F.col("dir"))
         own = rows.filter(F.col("dir").isin(*dirs)).withColumn("rank", rank)
         best = own.groupBy("partition").agg(F.min("rank").alias("rank"))
-        return own.join(best, ["partition", "rank"]).groupBy("partition", "stem").agg(F.min("path").alias(name))
+        return own.join(best, ["partition", "rank"]).groupBy(*keys).agg(F.min("path").alias(name))
 
-    return side(left_dirs, "left").join(side(right_dirs, "right"), ["partition", "stem"], "left")
+    return side(left_dirs, "left").join(side(right_dirs, "right"), keys, "left")
 
 
 def paired_items(pairs: DataFrame) -> DataFrame:

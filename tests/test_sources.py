@@ -243,3 +243,20 @@ def test_windowed_counts_of_a_stream(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("counts").agg(F.sum("n")).first()[0] == spark.read.parquet(str(tmp_path / "ev")).count()
+
+
+def test_pages_that_share_a_path_stay_apart(spark, tmp_path):
+    """Page numbers of six digits are cut to five in a stem, as in the oracle."""
+    import duckdb
+
+    from tarn import queries
+
+    pages = spark.range(99_990, 100_080).unionByName(spark.range(9_995, 10_010)).select(F.col("id").alias("page_id"))
+    pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("pair_by_stem", "missing_pair_guard"):
+        got = queries.QUERIES[name](spark, str(tmp_path))
+        want = con.sql(queries.ORACLES[name])
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want.fetchall(), key=str)
