@@ -9,8 +9,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarn.operators.positions import HOT_CELL, cell_join
 from tarn.scratch import cut
@@ -18,6 +20,9 @@ from tarn.scratch import cut
 RING = "array<struct<x:double,y:double>>"
 
 
+#: Decimals of an overlap, so that equal ones are ties however their points were rounded.
+DIGITS = 12
+
 Ring = list[tuple[float, float]]
 
 
@@ -49,9 +54,60 @@ def iou(a: Ring, b: Ring) -> float:
     return inner / union if union > 0 else 0.0
 
 
+def _areas(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Signed areas of rings in rows of padded coordinates, n points each."""
+    at = np.arange(x.shape[1])
+    ahead = np.where(at + 1 < n[:, None], at + 1, 0)
+    cross = x * np.take_along_axis(y, ahead, 1) - np.take_along_axis(x, ahead, 1) * y
+    return np.where(at < n[:, None], cross, 0.0).sum(axis=1) / 2
+
+
+def ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """`iou` of many pairs at a time: rings (pairs, points, 2), all of a with as many points, and all of b."""
+    n, m = (np.full(len(r), r.shape[1]) for r in (a, b))
+    own, other = _areas(a[:, :, 0], a[:, :, 1], n), _areas(b[:, :, 0], b[:, :, 1], m)
+    b = np.where((other >= 0)[:, None, None], b, b[:, ::-1])
+    x, y = a[:, :, 0], a[:, :, 1]
+    for k in range(b.shape[1]):
+        (ax, ay), (bx, by) = b[:, k].T, b[:, (k + 1) % b.shape[1]].T
+        dx, dy = bx - ax, by - ay
+        at = np.arange(x.shape[1])
+        here = at < n[:, None]
+        ahead = np.where(at + 1 < n[:, None], at + 1, 0)
+        s = dx[:, None] * (y - ay[:, None]) - dy[:, None] * (x - ax[:, None])
+        t = np.take_along_axis(s, ahead, 1)
+        crossed = here & (((s > 0) & (t < 0)) | ((s < 0) & (t > 0)))
+        part = s / np.where(crossed, s - t, 1.0)
+        points = [np.stack([v, v + (np.take_along_axis(v, ahead, 1) - v) * part], axis=2).reshape(len(v), 2 * v.shape[1]) for v in (x, y)]
+        kept = np.stack([here & (s >= 0), crossed], axis=2).reshape(len(x), 2 * x.shape[1])
+        n = kept.sum(axis=1)
+        order = np.argsort(~kept, axis=1, kind="stable")[:, : max(int(n.max(initial=0)), 1)]
+        x, y = (np.take_along_axis(v, order, 1) for v in points)
+    inner = np.abs(_areas(x, y, n))
+    union = np.abs(own) + np.abs(other) - inner
+    return np.divide(inner, union, out=np.zeros(len(a)), where=union > 0)
+
+
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(keys..., a_ring, b_ring) -> (keys..., iou); pairs of rings of the same numbers of points are clipped together."""
+    for batch in batches:
+        *keys, a, b = batch.columns
+        sizes, points = [], []
+        for ring in (a, b):
+            flat = ring.flatten()
+            sizes.append(np.diff(ring.offsets.to_numpy()))
+            points.append(np.column_stack([flat.field(c).to_numpy(zero_copy_only=False) for c in "xy"]))
+        out = np.zeros(len(a))
+        starts = [np.cumsum(k) - k for k in sizes]
+        for n, m in np.unique(np.column_stack(sizes), axis=0).tolist():
+            rows = np.flatnonzero((sizes[0] == n) & (sizes[1] == m))
+            out[rows] = ious(*(p[first[rows][:, None] + np.arange(k)] for p, first, k in zip(points, starts, (n, m), strict=True)))
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(np.round(out, DIGITS))], [*batch.schema.names[: len(keys)], "iou"])
+
+
 def overlaps(found: DataFrame, truth: DataFrame, cell: float, least: float = 0.0, hot: int = HOT_CELL) -> DataFrame:
-    """(scene, found_id, true_id, iou, rank): pairs of objects of a scene whose outlines share area, each pair once; rank 1 is a found object's best,
-    ties to the smaller true_id.
+    """(scene, found_id, true_id, iou, rank): pairs of objects of a scene whose outlines share area, each pair once; iou to DIGITS decimals; rank 1 is a
+    found object's best, ties to the smaller true_id.
 
     found: (scene, found_id, ring), any simple ring; truth: (scene, true_id, ring), convex. Rings of fewer than three points and null ones meet
     nothing. Objects are dealt to the cells (of `cell` on a side: about an object's size) that their boxes touch; a pair is
@@ -70,12 +126,9 @@ def overlaps(found: DataFrame, truth: DataFrame, cell: float, least: float = 0.0
     for c in "xy":
         both = both.filter(F.col(f"_{c}") == F.floor(F.greatest(f"a_{c}0", f"b_{c}0") / cell))
 
-    @F.pandas_udf("double")
-    def scored(a: pd.Series, b: pd.Series) -> pd.Series:
-        points = lambda ring: [(p["x"], p["y"]) for p in ring]
-        return pd.Series([iou(points(x), points(y)) for x, y in zip(a, b, strict=True)])
-
-    pairs = both.select("scene", "found_id", "true_id", scored("a_ring", "b_ring").alias("iou")).filter((F.col("iou") > 0) & (F.col("iou") >= least))
+    asked = both.select("scene", "found_id", "true_id", "a_ring", "b_ring")
+    schema = T.StructType([*asked.schema.fields[:3], T.StructField("iou", T.DoubleType())])
+    pairs = asked.mapInArrow(_scored, schema).filter((F.col("iou") > 0) & (F.col("iou") >= least))
     best = Window.partitionBy("scene", "found_id").orderBy(F.desc("iou"), "true_id")
     return pairs.withColumn("rank", F.row_number().over(best))
 

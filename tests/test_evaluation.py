@@ -39,6 +39,15 @@ def test_iou_of_polygons():
     assert E.iou(box, box) == 1 and E.iou(box, [(20.0, 20.0), (21.0, 20.0), (21.0, 21.0)]) == 0
 
 
+def test_ious_of_many_pairs_equal_single_ones():
+    rng = random.Random(6)
+    hook = [(0.0, 0.0), (6.0, 0.0), (6.0, 1.0), (1.0, 1.0), (1.0, 5.0), (6.0, 5.0), (6.0, 6.0), (0.0, 6.0)]
+    box = lambda x, y, w, h: [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    boxes = [box(*(float(rng.randrange(1, 9)) for _ in range(4))) for _ in range(300)]
+    for a, b in ((boxes[:150], boxes[150:]), ([hook] * 300, boxes), ([hook[::-1]] * 300, [x[::-1] for x in boxes])):
+        assert E.ious(np.array(a), np.array(b)).tolist() == pytest.approx([E.iou(x, y) for x, y in zip(a, b, strict=True)], abs=1e-14)
+
+
 @pytest.mark.parametrize(("cell", "hot"), [(3.0, 10_000), (50.0, 5), (0.7, 2)])
 def test_overlaps_equal_all_pairs(spark, cell, hot):
     rng = random.Random(5)
