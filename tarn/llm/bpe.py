@@ -145,25 +145,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Merger:
-    """Slices to token ids, with a cache of bounded size."""
+    """Slices to token ids, with a cache of bounded size. decimals: with each slice's ids goes their text, as the digest of ids needs it; without, the cache takes half."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], decimals: bool = True) -> None:
+        self.ranks, self.decimals = ranks, decimals
         self.vocabulary: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
-        self.young: dict[bytes, tuple[tuple[int, ...], bytes]] = {}
-        self.old: dict[bytes, tuple[tuple[int, ...], bytes]] = {}
+        self.young: dict[bytes, tuple] = {}
+        self.old: dict[bytes, tuple] = {}
 
-    def __call__(self, piece: bytes) -> tuple[tuple[int, ...], bytes]:
-        """The ids of a slice, and their decimals joined by commas."""
+    def __call__(self, piece: bytes) -> tuple:
+        """The ids of a slice; with decimals, (ids, their decimals joined by commas)."""
         got = self.young.get(piece)
         if got is None:
             got = self.old.get(piece)
             if got is None:
                 rank = self.ranks.get(piece)
                 ids = (rank,) if rank is not None else self.merge(piece) if len(piece) <= LONG_SLICE else self.merge_long(piece)
-                got = ids, b",".join([b"%d" % i for i in ids])
+                got = (ids, b",".join([b"%d" % i for i in ids])) if self.decimals else ids
             if len(self.young) >= CACHE_SLICES:
                 self.old, self.young = self.young, {}
             if len(piece) <= 256:
@@ -227,7 +227,7 @@ def cut_slices(offsets: np.ndarray, raw: np.ndarray, classes: np.ndarray) -> tup
 
 
 def _encoded(column: pa.Array, classes: np.ndarray, merger: Merger) -> Iterator[tuple[bytes, list, np.ndarray]]:
-    """For each text: its bytes, its slices as (ids, decimals), and the byte offset of each slice in the text."""
+    """For each text: its bytes, what the merger gives for each slice, and the byte offset of each slice in the text."""
     for _, _, offsets, raw in slices(column):
         starts, first = cut_slices(offsets, raw, classes)
         data, bounds = raw.tobytes(), starts.tolist()
@@ -236,13 +236,13 @@ def _encoded(column: pa.Array, classes: np.ndarray, merger: Merger) -> Iterator[
             yield data[offsets[k] : offsets[k + 1]], got[lo:hi], starts[lo:hi] - offsets[k]
 
 
-def _stage(spark: SparkSession, vocabulary_path: str, at: int, build: Callable) -> Callable:
+def _stage(spark: SparkSession, vocabulary_path: str, at: int, build: Callable, decimals: bool = True) -> Callable:
     """A task's function: build(batch, encoded texts of column `at`, merger) for each batch."""
     shared = spark.sparkContext.broadcast((read_ranks(vocabulary_path), code_point_classes()))
 
     def make():
         ranks, classes = shared.value
-        merger = Merger(ranks)
+        merger = Merger(ranks, decimals)
         return lambda batches: (build(b, _encoded(b.column(at), classes, merger), merger) for b in batches)
 
     return make
@@ -281,15 +281,15 @@ def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", offsets: b
     def build(batch, encoded, merger):
         found: dict[str, list] = {r: [] for r in (*RESULTS, DIGEST)}
         for _, got, starts in encoded:
-            ids = np.fromiter(chain.from_iterable([g[0] for g in got]), dtype=np.int32)
+            ids = np.fromiter(chain.from_iterable(got), dtype=np.int32)
             found["ids"].append(ids)
             found["slice_offsets"].append(starts.astype(np.int32))
-            found["slice_tokens"].append(np.fromiter((len(g[0]) for g in got), dtype=np.int32))
+            found["slice_tokens"].append(np.fromiter(map(len, got), dtype=np.int32))
             if digest:
                 found[DIGEST].append(hashlib.sha256(merger.decode(ids.tolist())).hexdigest())
         return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[r], pa.string() if r == DIGEST else pa.list_(pa.int32())) for r in results)], [*batch.schema.names, *names])
 
-    make = _stage(docs.sparkSession, vocabulary_path, at, build)
+    make = _stage(docs.sparkSession, vocabulary_path, at, build, decimals=False)
     return arrow_stage(docs, make, ", ".join([fields, *(f"`{n}` {'string' if r == DIGEST else 'array<int>'}" for n, r in zip(names, results, strict=True))]))
 
 
@@ -300,7 +300,7 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids") -> DataFr
 
     @F.pandas_udf("binary")
     def joined(column):
-        merger = Merger(shared.value)
+        merger = Merger(shared.value, decimals=False)
         return column.map(lambda x: None if x is None else merger.decode(x))
 
     return encoded.withColumn(fresh(encoded, "decoded"), joined(F.col(f"`{ids}`")))

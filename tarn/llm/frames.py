@@ -12,8 +12,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch that carries whole texts; keeps a Python worker's batch at a few MB.
-TEXT_BATCH_ROWS = 1000
+#: Rows of an Arrow batch that carries whole texts; keeps a batch at a few MB, in the Python worker and outside the heap of its executor.
+TEXT_BATCH_ROWS = 250
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +26,14 @@ def whole_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def arrow_stage(df: DataFrame, make: Callable[[], Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]], schema: str) -> DataFrame:
-    """mapInArrow over small batches; make() builds the task's function on the executor."""
+    """mapInArrow over small batches; make() builds the task's function on the executor. Workers live on for other stages, so a task gives its Arrow memory back."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
-    return df.mapInArrow(lambda batches: make()(batches), schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from make()(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import arrow_stage, discard, fresh, materialise, partitions, small, spread_join, whole_texts
+from .frames import TEXT_BATCH_ROWS, arrow_stage, discard, fresh, materialise, partitions, small, spread_join, whole_texts
 from .sketch import SEGMENT_SCHEMA, CountSketch, merged, segments
 from .wordhash import Family, Words, grams, mix, slices, word_hashes
 
@@ -39,8 +39,10 @@ SHINGLE = 5
 #: Least similarity, in hundredths.
 THRESHOLD = 75
 FAMILY = 31
-#: Entries that a task gathers before it sends them on.
-FLUSH = 1_000_000
+#: Entries that a task gathers before it sends them on, as one Arrow batch of some 6 MB.
+FLUSH = 250_000
+#: Pairs (8 bytes each) that a task gathers to find those that several lists have.
+PAIRS = 1_000_000
 #: Parts of the hash space whose counts bound an overlap (suffix filter).
 PARTS = 512
 ENTRY = np.dtype([("shingle", "<u8"), ("set", "<i8"), ("n", "<i4"), ("at", "<i4")])
@@ -321,7 +323,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("of_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
     return joined.mapInArrow(stage, "a long, b long").distinct()
 
 
@@ -417,10 +419,10 @@ def _residual(lists: DataFrame, known: DataFrame, threshold: int, first: bool =
                 i, j = at[i], at[j]
                 keys.append(np.minimum(i, j) * len(facts) + np.maximum(i, j))
                 count += len(i)
-                if count > FLUSH:
+                if count > PAIRS:
                     keys = [np.unique(np.concatenate(keys))]
                     count = len(keys[0])
-                    if count > FLUSH // 2:
+                    if count > PAIRS // 2:
                         yield bounded(keys)
                         keys, count = [], 0
         if count:

@@ -54,3 +54,12 @@ def test_round_trip_with_offsets(spark):
         data = (r.text or "").encode()
         assert bytes(r.decoded) == data and sum(r.slice_tokens) == len(r.ids)
         assert list(r.slice_offsets) == sorted(set(r.slice_offsets)) and (not data or r.slice_offsets[0] == 0)
+
+
+def test_cache_without_decimals_holds_ids_alone():
+    ranks = {bytes([i]): i for i in range(256)}
+    lean, full = bpe.Merger(ranks, decimals=False), bpe.Merger(ranks)
+    for piece in (b"abc", b"x" * 300, b"", b"abc"):
+        assert lean(piece) == full(piece)[0]
+    assert lean.young == {b"abc": (97, 98, 99), b"": ()}
+    assert full.young[b"abc"] == ((97, 98, 99), b"97,98,99")
