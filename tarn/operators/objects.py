@@ -18,6 +18,7 @@ Defined results: null masks and classes that aren't asked for give no parts; til
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,17 @@ def _starts(extent: int, spec: TileSpec) -> np.ndarray:
     return np.zeros(1, dtype=np.int64) if last <= 0 else np.unique(np.append(np.arange(0, last + 1, spec.stride), last))
 
 
+@lru_cache(maxsize=64)
+def _layout(height: int, width: int, spec: TileSpec) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Origins of a scene's tiles, and for each line whether it is a seam; by row and by column. Tiles of equal scenes share them."""
+    starts, seams = [_starts(n, spec) for n in (height, width)], []
+    for s, n in zip(starts, (height, width), strict=True):
+        line = np.zeros(n + spec.size, dtype=bool)
+        line[s] = line[np.minimum(s + spec.size, n) - 1] = True
+        seams.append(line)
+    return starts, seams
+
+
 def label_parts(mask: np.ndarray, wanted: list[int], diagonal: bool = False) -> np.ndarray:
     """For each pixel the raster index of the first pixel of its connected part, -1 outside the wanted classes."""
     h, w = mask.shape
@@ -130,9 +142,8 @@ def tile_parts(mask: np.ndarray, row: int, col: int, height: int, width: int, sp
     local = label_parts(mask, wanted, diagonal)
     pixel = (np.arange(row, row + h)[:, None] * width + np.arange(col, col + w)[None, :]).astype(np.int64)
     name = np.where(local >= 0, (local // w + row) * width + local % w + col, -1)
-    rows, cols = _starts(height, spec), _starts(width, spec)
-    seams = [np.unique(np.concatenate([s, np.minimum(s + spec.size, n) - 1])) for s, n in ((rows, height), (cols, width))]
-    on_seam = np.isin(np.arange(row, row + h), seams[0])[:, None] | np.isin(np.arange(col, col + w), seams[1])[None, :]
+    (rows, cols), seams = _layout(height, width, spec)
+    on_seam = seams[0][row : row + h][:, None] | seams[1][col : col + w][None, :]
     held = on_seam & (name >= 0)
     seam = [np.stack([name[held], pixel[held], np.ones(held.sum(), dtype=np.int64)])]
     steps = [(-1, 0), (0, 1), (1, 0), (0, -1)] + ([(-1, -1), (-1, 1), (1, -1), (1, 1)] if diagonal else [])

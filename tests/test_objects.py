@@ -116,3 +116,14 @@ def test_components_of_groups(spark):
                     want[g, n] = pa
     got = {(r.g, r.node): r.component for r in components(spark.createDataFrame(rows, "g string, a long, b long"), ["g"]).collect()}
     assert got == {k: min(v) for k, v in want.items()}
+
+
+def test_tiles_of_equal_scenes_share_their_layout():
+    spec = TileSpec(size=4, overlap=1)
+    (rows, cols), (of_row, of_col) = objects._layout(8, 3, spec)
+    assert rows.tolist() == [0, 3, 4] and cols.tolist() == [0]
+    assert np.flatnonzero(of_row).tolist() == [0, 3, 4, 6, 7] and np.flatnonzero(of_col).tolist() == [0, 2]
+    known = objects._layout.cache_info().misses
+    for row in (0, 3, 4):
+        objects.tile_parts(np.ones((4, 3), dtype=np.int16), row, 0, 8, 3, spec, [1], False)
+    assert objects._layout.cache_info().misses == known
